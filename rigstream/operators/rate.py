@@ -33,42 +33,45 @@ def running_rate(
     rates = instants.withColumns(
         {
             "_rate": _rate(F.col(ts), F.col("_opening"), F.lag(ts).over(inside), F.lag("_closing").over(inside)),
+            "_at": F.row_number().over(inside),
             "_after": F.count(F.lit(1)).over(Window.partitionBy(*group, "_slice")) - F.row_number().over(inside),
         }
     )
+    # a slice's second reading closes its first rate, which is kept apart from the sum of the rest
     parts = rates.groupBy(*group, "_slice").agg(
-        F.sum(F.col("_rate") * _half_to(F.col("_after") + 1)).alias("_sum"),
+        F.sum(F.when(F.col("_at") > 2, F.col("_rate") * _half_to(F.col("_after") + 1))).alias("_rest"),
+        F.max(F.when(F.col("_at") == 2, F.col("_rate"))).alias("_first"),
         F.count("_rate").alias("_n"),
         F.min_by(F.struct(F.col(ts).alias("ts"), "_opening", "_closing"), ts).alias("_head"),
         F.max_by(F.struct(F.col(ts).alias("ts"), "_opening", "_closing"), ts).alias("_tail"),
-        F.min_by("_rate", F.when(F.col("_rate").isNotNull(), F.col(ts))).alias("_first_rate"),
     )
 
     # a slice's opening reading pairs with the closing one of the slice before it
     along = Window.partitionBy(*group).orderBy("_slice")
     last = F.lag("_tail").over(along)
-    joined = parts.withColumn(
+    linked = parts.withColumn(
         "_link", _rate(F.col("_head.ts"), F.col("_head._opening"), last["ts"], last["_closing"])
     )
-    has_link = F.col("_link").isNotNull().cast("bigint")
-    summed = joined.withColumns(
+    has_link = F.col("_link").isNotNull()
+    own_first = F.when(has_link, F.coalesce(F.col("_first") * _half_to(F.col("_n")), F.lit(0.0))).otherwise(F.lit(0.0))
+    counted = linked.withColumns(
         {
-            "_first_rate": F.coalesce("_link", "_first_rate"),
-            "_sum": F.coalesce("_sum", F.lit(0.0)) + F.coalesce(F.col("_link") * _half_to(F.col("_n") + 1), F.lit(0.0)),
-            "_n": F.col("_n") + has_link,
+            "_rest": F.coalesce("_rest", F.lit(0.0)) + own_first,
+            "_lead": F.coalesce("_link", "_first"),
+            "_n": F.col("_n") + has_link.cast("bigint"),
         }
     )
-    later = along.rowsBetween(1, Window.unboundedFollowing)
-    weighted = summed.withColumn("_later", F.coalesce(F.sum("_n").over(later), F.lit(0)))
+    before = F.coalesce(F.sum("_n").over(along.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    later = F.coalesce(F.sum("_n").over(along.rowsBetween(1, Window.unboundedFollowing)), F.lit(0))
+    opens_window = (before == 0).cast("bigint")
+    lead = F.coalesce(F.col("_lead") * _half_to(F.col("_n") - F.col("_opens")), F.lit(0.0))
+    weighted = counted.withColumns({"_later": later, "_opens": opens_window})
     whole = weighted.groupBy(*group).agg(
-        F.sum(F.col("_sum") * _half_to(F.col("_later"))).alias("_sum"),
-        F.sum("_n").alias("_n"),
-        F.min_by("_first_rate", F.when(F.col("_first_rate").isNotNull(), F.col("_slice"))).alias("_first_rate"),
+        F.sum((F.col("_rest") + lead) * _half_to(F.col("_later"))).alias("rate"),
         F.max_by("_tail", "_slice").alias("_tail"),
     )
-    rate = F.col("_sum") + F.coalesce(F.col("_first_rate") * _half_to(F.col("_n")), F.lit(0.0))
     return whole.select(
-        *group, F.col("_tail.ts").alias("ts"), rate.alias("rate"), F.col("_tail._opening").alias("level")
+        *group, F.col("_tail.ts").alias("ts"), "rate", F.col("_tail._opening").alias("level")
     )
 
 

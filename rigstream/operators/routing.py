@@ -41,10 +41,14 @@ def has_attributes(df: DataFrame, *defined: str, column: str = "cs", **equal: st
 
 def requires_channels(df: DataFrame, *channels: str) -> DataFrame:
     """Keep messages that carry every one of ``channels``."""
-    tests = [F.exists("tags", lambda tag, c=channel: tag["key"] == c) for channel in channels]
+    tests = [F.size(_tags_named(channel)) > 0 for channel in channels]
     return df.where(reduce(lambda a, b: a & b, tests))
 
 
+def _tags_named(name: str) -> Column:
+    return F.filter("tags", lambda tag: tag["key"] == name)
+
+
 def mnemonic(key: Column) -> Column:
     return F.substring_index(key, "@", 1)
 
@@ -128,7 +132,7 @@ def log_records(df: DataFrame, kind: str, keys: LogKeys = LogKeys()) -> DataFram
     picked = message_types(df, source)
     wanted = F.filter("tags", lambda tag: route(F.lit(source), tag["key"]) == kind)
     logs = _per_log(picked, wanted)
-    last = F.element_at("_tags", -1)
+    last = F.try_element_at("_tags", F.lit(-1))
     stamp = _number_text(last["ds"]) if kind == "depth" else last["ts"].cast("string")
     shared = _shared(keys, stamp) | {keys.hint: F.lit(HINTS[kind])}
     record = _merge_maps(F.map_from_entries(_last_entries()), _literal_map(shared))
@@ -148,7 +152,7 @@ def mse_records(df: DataFrame, keys: LogKeys = LogKeys()) -> DataFrame:
         lambda tag: ~tag["key"].contains(TRAJECTORY_MARK) & mnemonic(tag["key"]).isin(*MSE_CHANNELS),
     )
     logs = _per_log(picked, wanted)
-    stamp = _number_text(F.element_at("_tags", -1)["ds"])
+    stamp = _number_text(F.try_element_at("_tags", F.lit(-1))["ds"])
     shared = _shared(keys, stamp) | {"diameter": F.element_at("ss", "diameter")}
     record = _merge_maps(F.map_from_entries(_last_entries()), _literal_map(shared))
     return logs.withColumn("fields", record).withColumn("value", F.to_json("fields")).drop("_tags", "_log")
@@ -173,7 +177,7 @@ def trajectory_records(df: DataFrame) -> DataFrame:
 def device_records(df: DataFrame, id_value: Column, id_field: str, *channels: str) -> DataFrame:
     """A flat device record of ``channels``, stamped with the first channel's time."""
     picked = requires_channels(df, *channels)
-    found = {c: F.element_at(F.filter("tags", lambda tag, c=c: tag["key"] == c), -1) for c in channels}
+    found = {channel: F.try_element_at(_tags_named(channel), F.lit(-1)) for channel in channels}
     parts = [id_value.alias(id_field), found[channels[0]]["ts"].cast("string").alias("ts")]
     parts += [tag["value"].alias(name) for name, tag in found.items()]
     return picked.withColumn("value", F.to_json(F.struct(*parts)))

@@ -282,7 +282,7 @@ union all select 'block', event_id, '{{"id":"dev'||user_id||'","ts":"'||ts||'","
     sql["route_rig"] = f"""select id, ts, bit as bitDepth, hole as holeDepth, pump as totalPumpOutput, rpm as rotaryRpm,
 slip as inSlipStatus, pressure as standpipePressure from ({RIG}) where pump > 0"""
     sql["retention"] = (
-        f"select tankId, ts, level as waterTankLevel from ({TANK}) where ts >= 1737331200000 - 365 * 86400000"
+        f"select tankId, ts, level as waterTankLevel from ({TANK}) where ts >= 1737331200000 - 365 * 86400000::bigint"
     )
     dirty = f"""select event_id, {MS} as ms, user_id, value as v, event_id % 6 as kind from events"""
     sql["decode_block"] = f"""select event_id, case when kind = 5 then cast(user_id as varchar) end as id,

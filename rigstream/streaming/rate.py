@@ -11,15 +11,16 @@ from pyspark.sql import Column, DataFrame, functions as F
 from rigstream.operators.aggregates import STAMP, stamp
 
 _POINT = "struct<ts:bigint,opening:double,closing:double>"
-_FOLD = f"struct<head:{_POINT},tail:{_POINT},first:double,total:double,n:bigint>"
+# `rest` is the weighted sum of all rates but the first
+_FOLD = f"struct<head:{_POINT},tail:{_POINT},first:double,rest:double,n:bigint>"
 
 
 def _rate(before: Column, after: Column) -> Column:
     return F.try_divide((after["opening"] - before["closing"]) * 1000, after["ts"] - before["ts"])
 
 
-def _state(head: Column, tail: Column, first: Column, total: Column, n: Column) -> Column:
-    fields = {"head": head, "tail": tail, "first": first, "total": total, "n": n}
+def _state(head: Column, tail: Column, first: Column, rest: Column, n: Column) -> Column:
+    fields = {"head": head, "tail": tail, "first": first, "rest": rest, "n": n}
     return F.struct(*[c.alias(name) for name, c in fields.items()]).cast(_FOLD)
 
 
@@ -30,16 +31,21 @@ def _half_to(power: Column) -> Column:
 def _append(left: Column, right: Column) -> Column:
     """The fold of two stretches of a series, the right one later."""
     link = _rate(left["tail"], right["head"])
-    total = (left["total"] + link) * _half_to(right["n"] + 1) + right["total"]
+    is_first = left["n"] == 0
+    rest = (
+        F.when(is_first, F.lit(0.0)).otherwise((left["rest"] + link) * _half_to(right["n"] + 1))
+        + F.coalesce(right["first"] * _half_to(right["n"]), F.lit(0.0))
+        + right["rest"]
+    )
     joined = _state(
-        left["head"], right["tail"], F.coalesce(left["first"], link), total, left["n"] + right["n"] + 1
+        left["head"], right["tail"], F.when(is_first, link).otherwise(left["first"]), rest, left["n"] + right["n"] + 1
     )
     # readings of one instant are one point with its first and last value
     merged = F.struct(
         left["tail"]["ts"].alias("ts"), left["tail"]["opening"].alias("opening"), right["tail"]["closing"].alias("closing")
     ).cast(_POINT)
     same = _state(
-        F.when(left["n"] == 0, merged).otherwise(left["head"]), merged, left["first"], left["total"], left["n"]
+        F.when(left["n"] == 0, merged).otherwise(left["head"]), merged, left["first"], left["rest"], left["n"]
     )
     return F.when(left.isNull(), right).when(left["tail"]["ts"] == right["head"]["ts"], same).otherwise(joined)
 
@@ -72,8 +78,8 @@ def running_rate_stream(
         F.sort_array(F.collect_list(F.struct(F.col("slice.start").alias("at"), "part"))).alias("parts")
     )
     done = whole.withColumn("fold", _fold(F.transform("parts", lambda p: p["part"])))
-    first_again = F.coalesce(F.col("fold.first") * _half_to(F.col("fold.n")), F.lit(0.0))
+    first = F.coalesce(F.col("fold.first") * _half_to(F.col("fold.n") - 1), F.lit(0.0))
     return done.select(
         key, F.unix_millis("window.start").alias("window_start"), F.col("fold.tail.ts").alias("ts"),
-        (F.col("fold.total") + first_again).alias("rate"), F.col("fold.tail.opening").alias("level"),
+        (F.col("fold.rest") + first).alias("rate"), F.col("fold.tail.opening").alias("level"),
     )
