@@ -92,9 +92,11 @@ def _with(df: DataFrame, extra: str) -> str:
     return ", ".join([f"`{name}` {kind}" for name, kind in df.dtypes] + [extra])
 
 
-def _stateful(grouped, processor: StatefulProcessor, schema: str) -> DataFrame:
+def _stateful(grouped, processor: StatefulProcessor, schema: str, expires: bool = False) -> DataFrame:
+    # state that expires keeps the query running batches by the clock, so it is opted into
     return grouped.transformWithStateInPandas(
-        statefulProcessor=processor, outputStructType=schema, outputMode="Append", timeMode="ProcessingTime"
+        statefulProcessor=processor, outputStructType=schema, outputMode="Append",
+        timeMode="ProcessingTime" if expires else "None",
     )
 
 
@@ -109,7 +111,8 @@ def with_moving_anchor_stream(
     tie: list[str] | None = None, ttl_ms: int | None = None,
 ) -> DataFrame:
     processor = MovingAnchor(ts, [ts, *(tie or [])], value, min_ms, max_ms, ttl_ms)
-    return _stateful(df.groupBy(key), processor, _with(df, "anchor_ts bigint, anchor_value double"))
+    schema = _with(df, "anchor_ts bigint, anchor_value double")
+    return _stateful(df.groupBy(key), processor, schema, expires=ttl_ms is not None)
 
 
 def running_extrema_stream(extrema: DataFrame, keys: list[str] | None = None) -> DataFrame:
@@ -119,4 +122,4 @@ def running_extrema_stream(extrema: DataFrame, keys: list[str] | None = None) ->
     if keys:
         return _stateful(rows.groupBy(*keys), RunningExtrema(), schema)
     all_rows = rows.withColumn("_all", F.lit(0))
-    return _stateful(all_rows.groupBy("_all"), RunningExtrema(), schema + ", `_all` int").drop("_all")
+    return _stateful(all_rows.groupBy("_all"), RunningExtrema(), schema)
