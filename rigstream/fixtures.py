@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from rigstream.functions.text import epoch_millis
+from rigstream.operators.decode import computed_once
 
 RIG_TIE = ["l_orderkey", "l_linenumber", "l_partkey", "l_quantity"]
 
@@ -68,8 +69,10 @@ def rig(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _packed(df: DataFrame, fields: dict[str, Column], *keep: Column) -> DataFrame:
-    return df.select(*keep, F.to_json(F.struct(*[c.alias(name) for name, c in fields.items()])).alias("value"))
+def _packed(df: DataFrame, fields: dict[str, Column], **keep: Column) -> DataFrame:
+    text = F.to_json(F.struct(*[c.alias(name) for name, c in fields.items()]))
+    rows = df.withColumns(keep) if keep else df
+    return computed_once(rows, "value", text).select(*keep, "value")
 
 
 def _whole(name: str) -> Column:
@@ -87,7 +90,7 @@ def witsml_depth(spark: SparkSession, sf_dir: str) -> DataFrame:
         "WOB": _text("l_linenumber"),
         "GR": F.col("l_linestatus"),
     }
-    return _packed(table(spark, sf_dir, "lineitem"), fields, F.col("l_partkey").alias("seq"))
+    return _packed(table(spark, sf_dir, "lineitem"), fields, seq=F.col("l_partkey"))
 
 
 def witsml_time(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -130,7 +133,7 @@ def witsml_mse(spark: SparkSession, sf_dir: str) -> DataFrame:
         "diameter": F.when(part % 23 != 0, "8"),
         "diameterLogA": F.when(F.col("l_returnflag") == "A", "6"),
     }
-    return _packed(table(spark, sf_dir, "lineitem"), fields, F.col("l_orderkey"), line)
+    return _packed(table(spark, sf_dir, "lineitem"), fields, l_orderkey=F.col("l_orderkey"), l_linenumber=line)
 
 
 def witsml_trajectory(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -160,7 +163,7 @@ def attribute(spark: SparkSession, sf_dir: str) -> DataFrame:
         "statusWell": F.when(key % 7 != 0, "active"),
         "country": _text("c_nationkey"),
     }
-    return _packed(table(spark, sf_dir, "customer"), fields, key.alias("seq"))
+    return _packed(table(spark, sf_dir, "customer"), fields, seq=key)
 
 
 def _tag(key: Column, value: Column) -> Column:

@@ -6,6 +6,10 @@ from pyspark.sql import Column, functions as F
 
 # characters that count as blank at the ends of a message: U+0000 to U+0020
 BLANKS = "".join(chr(code) for code in range(0x21))
+# what a cast to double can accept: decimal numbers, and anything that may be a special or hex value
+MAYBE_NUMBER = (
+    r"^[\x00-\x20]*[-+]?(\d+\.?\d*|\.\d+)([eE][-+]?\d+)?[dDfF]?[\x00-\x20]*$|(?i:nan|inf|0x)"
+)
 LOAD_TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss"
 EVENT_TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ssX"
 DEPTH_WIDTH = 10
@@ -21,14 +25,19 @@ def is_blank(text: Column) -> Column:
     return text.isNull() | (trimmed(text) == "")
 
 
+def parsed_double(text: Column) -> Column:
+    """The number in ``text``, or null. Same results as a cast, whose failures are slow."""
+    return F.when(text.rlike(MAYBE_NUMBER), text.try_cast("double"))
+
+
 def lenient_double(text: Column) -> Column:
     """The number in ``text``, or 0.0 when there is none."""
-    return F.coalesce(text.try_cast("double"), F.lit(0.0))
+    return F.coalesce(parsed_double(text), F.lit(0.0))
 
 
 def blank_or_double(text: Column) -> Column:
     """0.0 for missing or empty text, else the number; null marks text that is no number."""
-    return F.when(text.isNull() | (text == ""), F.lit(0.0)).otherwise(text.try_cast("double"))
+    return F.when(text.isNull() | (text == ""), F.lit(0.0)).otherwise(parsed_double(text))
 
 
 def text_or(text: Column, default: str = "") -> Column:

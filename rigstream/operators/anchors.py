@@ -89,123 +89,144 @@ def rig_state(
 # never left earlier, so entries that share an exit collapse into one step.
 
 
-def _successor(ts: np.ndarray, max_ms: int) -> np.ndarray:
-    """Index of the first reading more than ``max_ms`` after each one; ``len(ts)`` without one."""
-    return np.searchsorted(ts, ts + max_ms, side="right")
+GROUP = ["id", "segment"]
+NOT_ENTERED = np.iinfo("int64").min
+
+
+def _starts(pdf: pd.DataFrame) -> np.ndarray:
+    """Where a new (device, segment) group begins in sorted rows."""
+    ids, segments = pdf["id"].to_numpy(), pdf["segment"].to_numpy()
+    change = (ids[1:] != ids[:-1]) | (segments[1:] != segments[:-1])
+    return np.concatenate([[0], np.flatnonzero(change) + 1])
+
+
+def _whole_groups(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Cut sorted batches anew so that no group is spread over two of them."""
+    held: list[pd.DataFrame] = []
+    for batch in batches:
+        if batch.empty:
+            continue
+        last = int(_starts(batch)[-1])
+        goes_on = bool(held) and (held[-1][GROUP].iloc[-1] == batch[GROUP].iloc[0]).all()
+        if last == 0 and (goes_on or not held):
+            held.append(batch)
+            continue
+        done = pd.concat([*held, batch.iloc[:last]], ignore_index=True)
+        held = [batch.iloc[last:]]
+        yield done
+    if held:
+        yield pd.concat(held, ignore_index=True)
+
+
+def _layout(pdf: pd.DataFrame, max_ms: int, segment_ms: int):
+    """Group bounds of each row, its offset in the segment, and the reading that would follow it as anchor.
+
+    Offsets of different groups are moved apart by more than a segment and a reach, so that one
+    search over all rows stays within each row's group.
+    """
+    starts = _starts(pdf)
+    sizes = np.diff(np.append(starts, len(pdf)))
+    group = np.repeat(np.arange(len(starts)), sizes)
+    offset = pdf["ts"].to_numpy() - pdf["segment"].to_numpy() * segment_ms
+    spread = group * (segment_ms + max_ms + 1) + offset
+    follower = np.searchsorted(spread, spread + max_ms, side="right")
+    return starts, starts + sizes, group, offset, spread, follower
 
 
 def _segment_steps(pdf: pd.DataFrame, max_ms: int, segment_ms: int) -> pd.DataFrame:
-    """Steps of one segment of one device; rows are distinct instants."""
-    pdf = pdf.sort_values("ts")
-    ts = pdf["ts"].to_numpy()
-    count = len(ts)
-    jump = _successor(ts, max_ms)
-    exits = np.where(jump < count, jump, np.arange(count))
+    """Entry bounds and exits of whole segments; rows are distinct instants in time order."""
+    starts, stops, group, offset, _, follower = _layout(pdf, max_ms, segment_ms)
+    exits = np.where(follower < stops[group], follower, np.arange(len(pdf)))
     # doubling: each round follows twice as many anchors, until all stand on their last one
     while not np.array_equal(further := exits[exits], exits):
         exits = further
-    start = int(pdf["segment"].iloc[0]) * segment_ms
-    # readings that can be the segment's first anchor: an earlier anchor reaches at most max_ms in
-    entries = min(int(np.searchsorted(ts, start + max_ms, side="left")) + 1, count)
-    leaving = exits[:entries]
-    is_step = np.append(leaving[1:] != leaving[:-1], True)
-    at = np.flatnonzero(is_step)
-    return pd.DataFrame(
-        {
-            "id": pdf["id"].iloc[0],
-            "segment": pdf["segment"].iloc[0],
-            "entry_ts": ts[:entries][at],
-            "exit_ts": ts[leaving[at]],
-        }
-    )
+    # readings that can be a segment's first anchor: an earlier anchor reaches at most max_ms in
+    is_entry = offset < max_ms
+    is_entry[1:] |= is_entry[:-1]
+    is_entry[starts] = True
+    entries = np.flatnonzero(is_entry)
+    ends_step = np.append((exits[entries][1:] != exits[entries][:-1]), True)
+    at = entries[ends_step]
+    ts = pdf["ts"].to_numpy()
+    return pd.DataFrame({"id": pdf["id"].to_numpy()[at], "segment": pdf["segment"].to_numpy()[at], "entry_ts": ts[at], "exit_ts": ts[exits[at]]})
 
 
-def _walk_steps(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _walk_steps(batches: Iterator[pd.DataFrame], max_ms: int) -> Iterator[pd.DataFrame]:
     """Walk the segments of each device in order, passing the anchor's time on.
 
-    Rows come sorted by device, segment and entry; state is the current anchor only.
+    Rows come sorted by device, segment and entry; the state is the current anchor.
     """
-    held: pd.DataFrame | None = None
     device, anchor = None, None
-
-    def walk(pdf: pd.DataFrame) -> pd.DataFrame:
-        nonlocal device, anchor
-        ids, segments = pdf["id"].to_numpy(), pdf["segment"].to_numpy()
-        entry, leave, reach = pdf["entry_ts"].to_numpy(), pdf["exit_ts"].to_numpy(), int(pdf["max_ms"].iloc[0])
-        change = np.flatnonzero((ids[1:] != ids[:-1]) | (segments[1:] != segments[:-1])) + 1
-        starts = np.concatenate([[0], change])
-        stops = np.append(change, len(ids))
-        entered = np.full(len(starts), np.iinfo("int64").min)
+    for pdf in _whole_groups(batches):
+        starts = _starts(pdf)
+        stops = np.append(starts[1:], len(pdf))
+        ids, entry, leave = pdf["id"].to_numpy(), pdf["entry_ts"].to_numpy(), pdf["exit_ts"].to_numpy()
+        entered = np.full(len(starts), NOT_ENTERED)
         for number, (lo, hi) in enumerate(zip(starts, stops)):
             if ids[lo] != device:
                 device, anchor = ids[lo], None
+            first = lo
             if anchor is not None:
                 entered[number] = anchor
-            first = lo if anchor is None else lo + int(np.searchsorted(entry[lo:hi], anchor + reach, side="right"))
+                first = lo + int(np.searchsorted(entry[lo:hi], anchor + max_ms, side="right"))
             if first < hi:
                 anchor = int(leave[first])
-        return pd.DataFrame({"id": ids[starts], "segment": segments[starts], "entered_ts": entered})
-
-    for batch in batches:
-        if batch.empty:
-            continue
-        rows = batch if held is None else pd.concat([held, batch], ignore_index=True)
-        # the last segment may go on in the next batch
-        tail = (rows["id"] == rows["id"].iloc[-1]) & (rows["segment"] == rows["segment"].iloc[-1])
-        held, done = rows[tail], rows[~tail]
-        if len(done):
-            yield walk(done)
-    if held is not None:
-        yield walk(held)
-
-
-def _segment_anchors(rows: pd.DataFrame, entered: pd.DataFrame, max_ms: int) -> pd.DataFrame:
-    """The anchors that lie in one segment, given the anchor it is entered with."""
-    rows = rows.sort_values("ts")
-    ts, value = rows["ts"].to_numpy(), rows["value"].to_numpy()
-    before = int(entered["entered_ts"].iloc[0])
-    first_segment = before == np.iinfo("int64").min
-    at = 0 if first_segment else int(np.searchsorted(ts, before + max_ms, side="right"))
-    jump = _successor(ts, max_ms)
-    chain = []
-    while at < len(ts):
-        chain.append(at)
-        at = int(jump[at])
-    return pd.DataFrame(
-        {"id": rows["id"].iloc[0], "anchor_ts": ts[chain], "anchor_value": value[chain]}, columns=["id", "anchor_ts", "anchor_value"]
-    )
+        yield pd.DataFrame({"id": ids[starts], "segment": pdf["segment"].to_numpy()[starts], "entered_ts": entered})
+
+
+def _segment_anchors(pdf: pd.DataFrame, max_ms: int, segment_ms: int) -> pd.DataFrame:
+    """The anchors that lie in whole segments, each entered with the anchor in ``entered_ts``."""
+    starts, stops, _, _, spread, follower = _layout(pdf, max_ms, segment_ms)
+    entered = pdf["entered_ts"].to_numpy()[starts]
+    reach = np.maximum(entered, NOT_ENTERED + segment_ms) + max_ms - pdf["segment"].to_numpy()[starts] * segment_ms
+    base = np.arange(len(starts)) * (segment_ms + max_ms + 1)
+    # an anchor left long ago reaches no reading here, nor does a missing one
+    current = np.searchsorted(spread, base + np.maximum(reach, -1), side="right")
+    current = np.where(entered == NOT_ENTERED, starts, current)
+    is_anchor = np.zeros(len(pdf), dtype=bool)
+    while len(current):
+        inside = current < stops
+        current, stops = current[inside], stops[inside]
+        is_anchor[current] = True
+        current = follower[current]
+    found = pdf[is_anchor]
+    return pd.DataFrame({"id": found["id"], "anchor_ts": found["ts"], "anchor_value": found["value"]})
 
 
 def anchors(
     df: DataFrame, max_ms: int, key: str = "id", ts: str = "ts", value: str = "blockPosition",
     tie: list[str] | None = None, segment_windows: int = 128,
 ) -> DataFrame:
-    """The readings of each device that serve as anchors: (id, anchor_ts, anchor_value)."""
+    """The readings of each device that serve as anchors: (id, anchor_ts, anchor_value).
+
+    Whole segments are kept together by an explicit partition count, which adaptive execution
+    neither splits nor merges; both passes over the segments share one shuffle.
+    """
     order = F.struct(*(tie or [value]))
     known = df.where(F.col(key).isNotNull())
     instants = known.groupBy(F.col(key).alias("id"), F.col(ts).alias("ts")).agg(F.min_by(value, order).alias("value"))
     segment_ms = max_ms * segment_windows
-    cut = instants.withColumn("segment", time_slice(F.col("ts"), segment_ms))
-    kind = dict(df.dtypes)[key]
-    number = dict(df.dtypes)[value]
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    kind, number = dict(df.dtypes)[key], dict(df.dtypes)[value]
+    cut = instants.withColumn("segment", time_slice(F.col("ts"), segment_ms)).repartition(parts, *GROUP)
 
-    steps = cut.groupBy("id", "segment").applyInPandas(
-        lambda pdf: _segment_steps(pdf, max_ms, segment_ms), f"id {kind}, segment bigint, entry_ts bigint, exit_ts bigint"
+    def steps_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        return (_segment_steps(pdf, max_ms, segment_ms) for pdf in _whole_groups(batches))
+
+    def anchors_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        return (_segment_anchors(pdf, max_ms, segment_ms) for pdf in _whole_groups(batches))
+
+    steps = cut.sortWithinPartitions(*GROUP, "ts").mapInPandas(
+        steps_of, f"id {kind}, segment bigint, entry_ts bigint, exit_ts bigint"
     )
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     entered = (
-        steps.withColumn("max_ms", F.lit(max_ms).cast("bigint"))
-        .repartition(parts, "id")
-        .sortWithinPartitions("id", "segment", "entry_ts")
-        .mapInPandas(_walk_steps, f"id {kind}, segment bigint, entered_ts bigint")
+        steps.repartition(parts, "id")
+        .sortWithinPartitions(*GROUP, "entry_ts")
+        .mapInPandas(lambda batches: _walk_steps(batches, max_ms), f"id {kind}, segment bigint, entered_ts bigint")
     )
-    return (
-        cut.groupBy("id", "segment")
-        .cogroup(entered.groupBy("id", "segment"))
-        .applyInPandas(
-            lambda rows, walk: _segment_anchors(rows, walk, max_ms),
-            f"id {kind}, anchor_ts bigint, anchor_value {number}",
-        )
+    placed = cut.join(entered.repartition(parts, *GROUP).hint("merge"), GROUP)
+    return placed.sortWithinPartitions(*GROUP, "ts").mapInPandas(
+        anchors_of, f"id {kind}, anchor_ts bigint, anchor_value {number}"
     )
 
 

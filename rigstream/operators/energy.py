@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from rigstream.functions.drilling import MISSING_CHANNEL, specific_energy
 from rigstream.functions.payloads import gateway_json_keyed
+from rigstream.functions.text import parsed_double
+from rigstream.operators.decode import computed_once
 from rigstream.schemas import LogKeys
 
 
@@ -24,7 +26,7 @@ class EnergyChannels:
 
 
 def _number(key: Column | str) -> Column:
-    return F.element_at("fields", key).try_cast("double")
+    return parsed_double(F.element_at("fields", key))
 
 
 def add_energy(df: DataFrame, names: EnergyChannels = EnergyChannels()) -> DataFrame:
@@ -36,26 +38,21 @@ def add_energy(df: DataFrame, names: EnergyChannels = EnergyChannels()) -> DataF
     log = F.coalesce(F.element_at("fields", "LogName"), F.lit(""))
     own_key = F.concat(F.lit(names.diameter), F.replace(log, F.lit(" "), F.lit("")))
     own_text = F.element_at("fields", own_key)
-    own = F.when(own_text.isNull(), F.lit(MISSING_CHANNEL)).otherwise(own_text.try_cast("double"))
-    inputs = df.withColumns(
-        {
-            "_torque": _number(names.torque),
-            "_rpm": _number(names.rpm),
-            "_rop": _number(names.rop),
-            "_wob": _number(names.wob),
-            "_diameter": F.when(own == MISSING_CHANNEL, _number(names.diameter)).otherwise(own),
-        }
-    )
-    usable = F.lit(True)
-    for name in ("_torque", "_rpm", "_rop", "_wob", "_diameter"):
-        usable = usable & F.col(name).isNotNull() & (F.col(name) != MISSING_CHANNEL)
-    energy = specific_energy(*[F.col(c) for c in ("_torque", "_rpm", "_rop", "_wob", "_diameter")])
-    keyed = inputs.where(usable).withColumns({"mse_key": F.concat(F.lit(names.result + "@"), log), "mse": energy})
+    shared_counts = own_text.isNull() | (parsed_double(own_text) == MISSING_CHANNEL)
+    channels = [
+        _number(names.torque),
+        _number(names.rpm),
+        _number(names.rop),
+        _number(names.wob),
+        F.when(shared_counts, _number(names.diameter)).otherwise(parsed_double(own_text)),
+    ]
+    inputs = computed_once(df, "_inputs", F.array(*channels))
+    usable = F.forall("_inputs", lambda v: v.isNotNull() & (v != MISSING_CHANNEL))
+    energy = specific_energy(*[F.get("_inputs", F.lit(i)) for i in range(len(channels))])
+    keyed = computed_once(inputs.where(usable), "mse", energy).withColumn("mse_key", F.concat(F.lit(names.result + "@"), log))
     kept = F.map_filter("fields", lambda key, _: (key != names.result) & (key != F.col("mse_key")))
     added = F.create_map(F.lit(names.result), F.col("mse_key"), F.col("mse_key"), F.col("mse").cast("string"))
-    return keyed.withColumn("fields", F.map_concat(kept, added)).drop(
-        "_torque", "_rpm", "_rop", "_wob", "_diameter"
-    )
+    return keyed.withColumn("fields", F.map_concat(kept, added)).drop("_inputs")
 
 
 def energy_payload(df: DataFrame, keys: LogKeys = LogKeys()) -> DataFrame:

@@ -9,7 +9,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from rigstream.operators.decode import last_wins
+from rigstream.operators.decode import bound, computed_once, last_wins
 from rigstream.schemas import LogKeys
 
 # Message types, key markers and record hints.
@@ -91,22 +91,35 @@ def _number_text(value: Column) -> Column:
     return F.when(value == whole, whole.cast("string")).otherwise(value.cast("string"))
 
 
+def _log_of(tag: Column) -> Column:
+    return F.coalesce(log_name(tag["key"]), F.lit(""))
+
+
 def _per_log(df: DataFrame, wanted: Column) -> DataFrame:
-    """Explode the log names of the ``wanted`` tags and keep each log's own tags."""
-    tags = df.withColumn("_tags", wanted)
-    names = F.array_distinct(F.transform("_tags", lambda tag: F.coalesce(log_name(tag["key"]), F.lit(""))))
-    logs = tags.select("*", F.explode(names).alias("_log"))
-    own = F.filter("_tags", lambda tag: F.coalesce(log_name(tag["key"]), F.lit("")) == F.col("_log"))
-    return logs.withColumn("_tags", own)
+    """One row per log name among the ``wanted`` tags, with that log's own tags."""
+
+    def grouped(tags: Column) -> Column:
+        names = F.array_distinct(F.transform(tags, _log_of))
+        return F.transform(
+            names, lambda name: F.struct(name.alias("log"), F.filter(tags, lambda tag: _log_of(tag) == name).alias("tags"))
+        )
+
+    logs = df.select("*", F.explode(bound(wanted, grouped)).alias("_own"))
+    return logs.withColumns({"_log": F.col("_own.log"), "_tags": F.col("_own.tags")}).drop("_own")
 
 
 def _channel_entries(tags: Column) -> Column:
     return F.transform(tags, lambda tag: F.struct(mnemonic(tag["key"]).alias("key"), tag["value"].alias("value")))
 
 
-def _merge_maps(*maps: Column) -> Column:
-    """Join maps, a later one winning on a shared key."""
-    return last_wins(F.concat(*[F.map_entries(m) for m in maps]))
+def _record(channels: Column, shared: dict[str, Column]) -> Column:
+    """Channels followed by the shared fields, a repeated key keeping its last value."""
+    fields = F.map_entries(_literal_map(shared))
+    return last_wins(F.concat(_channel_entries(channels), fields))
+
+
+def _as_message(df: DataFrame, record: Column) -> DataFrame:
+    return computed_once(df, "fields", record).withColumn("value", F.to_json("fields"))
 
 
 def _shared(keys: LogKeys, stamp: Column) -> dict[str, Column]:
@@ -135,13 +148,8 @@ def log_records(df: DataFrame, kind: str, keys: LogKeys = LogKeys()) -> DataFram
     last = F.try_element_at("_tags", F.lit(-1))
     stamp = _number_text(last["ds"]) if kind == "depth" else last["ts"].cast("string")
     shared = _shared(keys, stamp) | {keys.hint: F.lit(HINTS[kind])}
-    record = _merge_maps(F.map_from_entries(_last_entries()), _literal_map(shared))
-    return logs.withColumn("fields", record).withColumn("value", F.to_json("fields")).drop("_tags", "_log")
-
-
-def _last_entries() -> Column:
-    entries = _channel_entries(F.col("_tags"))
-    return F.map_entries(last_wins(entries))
+    record = _record(F.col("_tags"), shared)
+    return _as_message(logs, record).drop("_tags", "_log")
 
 
 def mse_records(df: DataFrame, keys: LogKeys = LogKeys()) -> DataFrame:
@@ -154,8 +162,8 @@ def mse_records(df: DataFrame, keys: LogKeys = LogKeys()) -> DataFrame:
     logs = _per_log(picked, wanted)
     stamp = _number_text(F.try_element_at("_tags", F.lit(-1))["ds"])
     shared = _shared(keys, stamp) | {"diameter": F.element_at("ss", "diameter")}
-    record = _merge_maps(F.map_from_entries(_last_entries()), _literal_map(shared))
-    return logs.withColumn("fields", record).withColumn("value", F.to_json("fields")).drop("_tags", "_log")
+    record = _record(F.col("_tags"), shared)
+    return _as_message(logs, record).drop("_tags", "_log")
 
 
 def attribute_records(df: DataFrame, keys: LogKeys = LogKeys()) -> DataFrame:
@@ -165,7 +173,7 @@ def attribute_records(df: DataFrame, keys: LogKeys = LogKeys()) -> DataFrame:
     shared = {keys.hint: F.lit("ATTRIBUTES")}
     well = {keys.shared_well: F.element_at("cs", "nameWell")}
     record = last_wins(F.concat(F.map_entries(_literal_map(shared)), entries, F.map_entries(_literal_map(well))))
-    return picked.withColumn("fields", record).withColumn("value", F.to_json("fields"))
+    return _as_message(picked, record)
 
 
 def trajectory_records(df: DataFrame) -> DataFrame:
