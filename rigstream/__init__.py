@@ -10,6 +10,13 @@ Import the sub-packages you need:
 * ``rigstream.plans``      ready-made jobs and the registered queries
 """
 
+import sys
+
+from pyspark import cloudpickle
+
 from rigstream.session import build_session, ensure_checkpoint_dir
 
 __all__ = ["build_session", "ensure_checkpoint_dir"]
+
+# functions sent to executors carry their code, so the package need not be installed there
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
 from rigstream.functions import drilling
-from rigstream.operators.skew import join_per_key, time_slice
+from rigstream.operators.skew import join_per_key, ordering, time_slice, with_slice
 
 # ---------------------------------------------------------------- first reading as anchor
 
@@ -34,8 +34,8 @@ def with_first_reading(
 
 def with_previous_reading(df: DataFrame, key: str, ts: str, tie: list[str], value: str, slice_ms: int) -> DataFrame:
     """Every reading but the first, with the previous one's ``value`` as ``anchor_value``."""
-    sliced = df.withColumn("_slice", time_slice(F.col(ts), slice_ms))
-    order = F.struct(ts, *tie)
+    sliced = with_slice(df, [key], time_slice(F.col(ts), slice_ms))
+    order = ordering([ts, *tie])
     last = sliced.groupBy(key, "_slice").agg(F.max_by(value, order).alias("_last"))
     handed_on = last.select(
         key, "_slice", F.lag("_last").over(Window.partitionBy(key).orderBy("_slice")).alias("_handed_on")
@@ -202,13 +202,13 @@ def anchors(
     Whole segments are kept together by an explicit partition count, which adaptive execution
     neither splits nor merges; both passes over the segments share one shuffle.
     """
-    order = F.struct(*(tie or [value]))
-    known = df.where(F.col(key).isNotNull())
-    instants = known.groupBy(F.col(key).alias("id"), F.col(ts).alias("ts")).agg(F.min_by(value, order).alias("value"))
+    instants = df.groupBy(F.col(key).alias("id"), F.col(ts).alias("ts")).agg(
+        F.min_by(value, ordering(tie or [value])).alias("value")
+    )
     segment_ms = max_ms * segment_windows
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     kind, number = dict(df.dtypes)[key], dict(df.dtypes)[value]
-    cut = instants.withColumn("segment", time_slice(F.col("ts"), segment_ms)).repartition(parts, *GROUP)
+    cut = with_slice(instants, ["id"], time_slice(F.col("ts"), segment_ms), "segment").repartition(parts, *GROUP)
 
     def steps_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         return (_segment_steps(pdf, max_ms, segment_ms) for pdf in _whole_groups(batches))

@@ -14,6 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import BooleanType
 
+from rigstream.operators.decode import computed_once
 from rigstream.operators.skew import join_per_key, one_per_instant, with_lags
 
 FORECAST_STEPS = 5
@@ -79,7 +80,8 @@ def _regress(df: DataFrame, key: str, features: list[Column], into: str) -> Data
     """Least-squares coefficients per key; ``features`` end with the target."""
     enough = df.where(_all_known(features)).groupBy(key).agg(_products(features).alias("_sums"), F.count(F.lit(1)).alias("n"))
     solvable = enough.where(F.col("n") >= len(features))
-    return solvable.withColumn(into, _solver(len(features))("_sums")).drop("_sums").where(F.col(into).isNotNull())
+    solved = computed_once(solvable, into, _solver(len(features))("_sums"))
+    return solved.drop("_sums").where(F.col(into).isNotNull())
 
 
 def _lag(k: int) -> Column:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from rigstream.functions.drilling import time_to_limit
 from rigstream.operators.aggregates import stamp
+from rigstream.operators.skew import ordering
 
 
 def running_rate(
@@ -19,7 +20,7 @@ def running_rate(
     before, the last opens the pair after. They are merged before the shuffle, and windows are cut
     into ``slices`` whose partial sums are combined, so no series is sorted in one task.
     """
-    order = F.struct(*(tie or [value]))
+    order = ordering(tie or [value])
     slot = F.window(stamp(F.col(ts)), window)
     rows = df.withColumns({"window_start": F.unix_millis(slot["start"]), "_end": F.unix_millis(slot["end"])})
     width = F.greatest((F.col("_end") - F.col("window_start")) / slices, F.lit(1))

@@ -47,11 +47,33 @@ def time_slice(ts: Column, slice_ms: int) -> Column:
     return F.call_function("floor", ts / F.lit(slice_ms)).cast("bigint")
 
 
+def with_slice(df: DataFrame, keys: list[str], number: Column, into: str = "_slice") -> DataFrame:
+    """Add the slice number and keep the rows that have keys and a slice.
+
+    A join on them asks for that anyway. Said here, it holds on every branch of a plan, so that
+    branches over the same slices share one shuffle.
+    """
+    known = F.col(into).isNotNull()
+    for key in keys:
+        known = known & F.col(key).isNotNull()
+    return df.withColumn(into, number).where(known)
+
+
+def ordering(columns: list[str]) -> Column:
+    """What rows are ordered by: one column as it is, several as a struct.
+
+    A struct makes Spark aggregate by sorting, a number lets it aggregate by hashing.
+    """
+    return F.col(columns[0]) if len(columns) == 1 else F.struct(*columns)
+
+
 def one_per_instant(df: DataFrame, keys: list[str], ts: str, tie: list[str], values: list[str]) -> DataFrame:
     """The last row of each key and instant, copies being merged before the shuffle."""
-    order = F.struct(*tie) if tie else F.struct(*values)
-    kept = F.max_by(F.struct(*values), order)
-    return df.groupBy(*keys, ts).agg(kept.alias("_kept")).select(*keys, ts, *[f"_kept.{v}" for v in values])
+    latest = F.max_by(ordering(values), ordering(tie or values)).alias("_kept")
+    grouped = df.groupBy(*keys, ts).agg(latest)
+    if len(values) == 1:
+        return grouped.withColumnRenamed("_kept", values[0])
+    return grouped.select(*keys, ts, *[f"_kept.{v}" for v in values])
 
 
 def with_lags(df: DataFrame, keys: list[str], ts: str, value: str, lags: int, slice_ms: int, into: str = "lags") -> DataFrame:
@@ -59,7 +81,7 @@ def with_lags(df: DataFrame, keys: list[str], ts: str, value: str, lags: int, sl
 
     ``df`` holds one row per key and instant.
     """
-    sliced = df.withColumn("_slice", time_slice(F.col(ts), slice_ms))
+    sliced = with_slice(df, keys, time_slice(F.col(ts), slice_ms))
     in_slice = Window.partitionBy(*keys, "_slice").orderBy(ts)
     numbered = sliced.withColumns(
         {
