@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from rigstream.functions.text import epoch_millis
 from rigstream.operators.decode import computed_once
+from rigstream.sources.messages import spread
 
 RIG_TIE = ["l_orderkey", "l_linenumber", "l_partkey", "l_quantity"]
 
@@ -70,8 +71,8 @@ def rig(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _packed(df: DataFrame, fields: dict[str, Column], **keep: Column) -> DataFrame:
-    text = F.to_json(F.struct(*[c.alias(name) for name, c in fields.items()]))
-    rows = df.withColumns(keep) if keep else df
+    rows = spread(df.select(*[c.alias(f"_{name}") for name, c in fields.items()], *[c.alias(n) for n, c in keep.items()]))
+    text = F.to_json(F.struct(*[F.col(f"_{name}").alias(name) for name in fields]))
     return computed_once(rows, "value", text).select(*keep, "value")
 
 

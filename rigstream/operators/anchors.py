@@ -16,9 +16,10 @@ from rigstream.operators.skew import join_per_key, ordering, time_slice, with_sl
 
 def first_reading(df: DataFrame, key: str, ts: str, tie: list[str], value: str) -> DataFrame:
     """One row per device: its first reading in (ts, tie) order and its number of rows."""
-    order = F.struct(ts, *tie)
-    return df.groupBy(key).agg(
-        F.min(order).alias("anchor_at"), F.min_by(value, order).alias("anchor_value"), F.count(F.lit(1)).alias("anchor_rows")
+    first = F.min(F.struct(F.struct(ts, *tie).alias("at"), F.col(value).alias("value")))
+    found = df.groupBy(key).agg(first.alias("first"), F.count(F.lit(1)).alias("anchor_rows"))
+    return found.select(
+        key, F.col("first.at").alias("anchor_at"), F.col("first.value").alias("anchor_value"), "anchor_rows"
     )
 
 
@@ -195,18 +196,19 @@ def _segment_anchors(pdf: pd.DataFrame, max_ms: int, segment_ms: int) -> pd.Data
 
 def anchors(
     df: DataFrame, max_ms: int, key: str = "id", ts: str = "ts", value: str = "blockPosition",
-    tie: list[str] | None = None, segment_windows: int = 128,
+    tie: list[str] | None = None, segment_windows: int = 128, partitions: int | None = None,
 ) -> DataFrame:
     """The readings of each device that serve as anchors: (id, anchor_ts, anchor_value).
 
-    Whole segments are kept together by an explicit partition count, which adaptive execution
-    neither splits nor merges; both passes over the segments share one shuffle.
+    Whole segments are kept together by an explicit partition count (``partitions``, else
+    ``spark.sql.shuffle.partitions``), which adaptive execution neither splits nor merges. Both
+    passes over the segments share one shuffle.
     """
     instants = df.groupBy(F.col(key).alias("id"), F.col(ts).alias("ts")).agg(
         F.min_by(value, ordering(tie or [value])).alias("value")
     )
     segment_ms = max_ms * segment_windows
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     kind, number = dict(df.dtypes)[key], dict(df.dtypes)[value]
     cut = with_slice(instants, ["id"], time_slice(F.col("ts"), segment_ms), "segment").repartition(parts, *GROUP)
 
@@ -232,7 +234,7 @@ def anchors(
 
 def with_moving_anchor(
     df: DataFrame, min_ms: int, max_ms: int, key: str = "id", ts: str = "ts", value: str = "blockPosition",
-    tie: list[str] | None = None, segment_windows: int = 128,
+    tie: list[str] | None = None, segment_windows: int = 128, partitions: int | None = None,
 ) -> DataFrame:
     """Readings between ``min_ms`` and ``max_ms`` after their anchor, with its time and value.
 
@@ -241,7 +243,7 @@ def with_moving_anchor(
     """
     if min_ms <= 0 or max_ms < min_ms:
         raise ValueError("needs 0 < min_ms <= max_ms")
-    found = anchors(df, max_ms, key, ts, value, tie, segment_windows)
+    found = anchors(df, max_ms, key, ts, value, tie, segment_windows, partitions)
     bucket = time_slice(F.col("anchor_ts"), max_ms)
     anchor = F.struct("anchor_ts", "anchor_value")
     reach = found.select("id", anchor.alias("anchor"), F.explode(F.array(bucket, bucket + 1)).alias("bucket"))

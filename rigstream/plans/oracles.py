@@ -244,13 +244,13 @@ from ({ATTR}) where w <> '' and tz <> '' and st <> ''"""
     sql["offset_ledger"] = """select event_type as topic_name, 'TIMELOG' as group_id, cast(user_id % 4 as integer) as partition,
 max(event_id) + 1 as offsetid from events group by event_type, user_id % 4"""
 
-    tank_mean = f"select tankId, window_start, round(avg(level), 4) as a from ({TANK}) group by all"
+    tank_mean = f"select tankId, window_start, round(avg(level), 8) as a from ({TANK}) group by all"
     tank_text = """'{"Tank '||tankId||'":[{"ts":'||window_start||',"values":{"averageWaterLevel":'||a||'}}]}'"""
     sql["payload_tank"] = f"select {tank_text} as payload from ({tank_mean})"
     sql["payload_announce"] = f"""select 0 as seq, '{{"device":"Tank '||tankId||'"}}' as payload from (select distinct tankId from ({TANK}))
 union all select 1, {tank_text} from ({tank_mean})"""
     sql["payload_wind"] = f"""select window_start, '{{'||string_agg('"'||geoZone||'":[{{"ts":'||window_start||',"values":{{"windSpeed":'||a||'}}}}]', ',' order by geoZone)||'}}' as payload
-from (select geoZone, window_start, round(avg(speed), 4) as a from ({wind}) group by all) group by window_start"""
+from (select geoZone, window_start, round(avg(speed), 8) as a from ({wind}) group by all) group by window_start"""
 
     keys = """(select event_id, msg, case when own = 'Traj1' then own else own||'@'||own_log end as key from t
 union all select event_id, msg, 'WOB@Log A' from t union all select event_id, msg, 'TOR@Log A' from t

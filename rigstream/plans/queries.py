@@ -287,7 +287,7 @@ def offset_ledger(spark, sf_dir):
 
 
 def _rounded_averages(averages: DataFrame) -> DataFrame:
-    return averages.withColumn("average", F.round("average", 4))
+    return averages.withColumn("average", F.round("average", DIGITS))
 
 
 @query
