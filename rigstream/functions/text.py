@@ -11,7 +11,8 @@ MAYBE_NUMBER = (
     r"^[\x00-\x20]*[-+]?(\d+\.?\d*|\.\d+)([eE][-+]?\d+)?[dDfF]?[\x00-\x20]*$|(?i:nan|inf|0x)"
 )
 LOAD_TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss"
-EVENT_TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ssX"
+# milliseconds of the years 1 to 9999
+FIRST_MILLIS, LAST_MILLIS = -62135596800000, 253402300799999
 DEPTH_WIDTH = 10
 DEFAULT_MESSAGE_LOG = "Log #messages_time"
 
@@ -54,9 +55,11 @@ def depth_string(depth: Column) -> Column:
 
 
 def event_time(millis: Column) -> Column:
-    """Epoch milliseconds as ISO text in the session zone; other text is passed through."""
-    stamp = F.timestamp_millis(millis.try_cast("bigint"))
-    return F.coalesce(F.date_format(stamp, EVENT_TIME_FORMAT), millis)
+    """Epoch milliseconds as ISO text in UTC, whatever the session zone; other text is passed through."""
+    number = millis.try_cast("bigint")
+    moment = F.timestamp_add("SECOND", F.floor(number / 1000), F.expr("timestamp_ntz'1970-01-01 00:00:00'"))
+    iso = F.concat(F.replace(moment.cast("string"), F.lit(" "), F.lit("T")), F.lit("Z"))
+    return F.when(number.between(FIRST_MILLIS, LAST_MILLIS), iso).otherwise(millis)
 
 
 def load_time(as_of: Column | None = None) -> Column:

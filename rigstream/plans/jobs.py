@@ -69,7 +69,7 @@ def _peak_to_peak(
     messages: DataFrame, fields: dict[str, str], value: str, prefix: str, window: str, running: bool,
     keys: list[str] | None, watermark: str,
 ) -> DataFrame:
-    rows = decode.non_null(_records(messages, fields), "id")
+    rows = decode.non_null(_records(messages, fields, zero_missing=True), "id")
     extrema = aggregates.window_extrema(rows, value, "ts", window, keys, watermark=watermark)
     if running:
         carry = state.running_extrema_stream if messages.isStreaming else aggregates.running_extrema

@@ -10,6 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, functions as F
 
+from rigstream.operators import decode, reshape
 from rigstream.operators.anchors import anchors, rig_labels, block_movement, with_moving_anchor
 from rigstream.operators.skew import join_per_key
 from rigstream.session import materialised
@@ -33,6 +34,35 @@ def record_offsets(ledger: KeyedTable, group: str) -> Emit:
     return lambda messages, batch_id: ledger.write_batch(offsets_reached(messages, group), batch_id)
 
 
+def upsert_attributes(root: str) -> Emit:
+    """A ``foreachBatch`` function over attribute messages that stores the well, wellbore and rig rows.
+
+    The messages are decoded once and kept for the three tables.
+    """
+    entities = {"well": reshape.wells, "wellbore": reshape.wellbores, "rig": reshape.rigs}
+
+    def run(messages: DataFrame, batch_id: int) -> None:
+        records = decode.non_empty_map(decode.decode_map(decode.non_empty(messages))).select("offset", "fields")
+        records.persist()
+        try:
+            for name, rows_of in entities.items():
+                KeyedTable.named(name, root).write_batch(rows_of(records, keep=("offset",)), batch_id)
+        finally:
+            records.unpersist()
+
+    return run
+
+
+def in_order(*emits: Emit) -> Emit:
+    """Run several functions on each batch, one after the other: store first, note the offsets last."""
+
+    def run(rows: DataFrame, batch_id: int) -> None:
+        for emit in emits:
+            emit(rows, batch_id)
+
+    return run
+
+
 def skip_empty(emit: Emit) -> Emit:
     def run(rows: DataFrame, batch_id: int) -> None:
         if not rows.isEmpty():

@@ -66,12 +66,13 @@ def test_screened_casts_equal_plain_casts(spark):
 
 
 def test_text_functions(spark):
-    rows = _values(spark, ["1539926210702", "soon", "12", "123456789012"]).select(
+    rows = _values(spark, ["1539926210702", "soon", "12", "123456789012", "99999999999999999", None, "-1000"]).select(
         text.event_time(F.col("value")).alias("t"), text.depth_string(F.col("value")).alias("d")
     )
     assert [tuple(r) for r in rows.collect()] == [
         ("2018-10-19T05:16:50Z", "1539926210702"), ("soon", "000000soon"), ("1970-01-01T00:00:00Z", "0000000012"),
-        ("1973-11-29T21:33:09Z", "123456789012"),
+        ("1973-11-29T21:33:09Z", "123456789012"), ("99999999999999999", "99999999999999999"), (None, None),
+        ("1969-12-31T23:59:59Z", "00000-1000"),
     ]
 
 

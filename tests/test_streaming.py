@@ -238,6 +238,21 @@ def test_offset_ledger(spark, tmp_path):
     assert offsets_reached(messages, "G").count() == 3
 
 
+def test_attribute_tables_and_ledger_in_one_stream(spark, tmp_path):
+    folder, root = str(tmp_path / "in"), str(tmp_path / "tables")
+    base = {"nameWell": "W", "nameWellbore": "B", "nameRig": "R", "timeZone": "UTC", "statusWell": "active"}
+    _store(spark, folder, [base | {"state": "TX"}, base | {"nameRig": "R2"}, base | {"state": "OK"}, {"nameWell": "V"}], files=2)
+    ledger = KeyedTable.named("offsetmgr", root, order=("offsetid",))
+    emit = batches.skip_empty(batches.in_order(batches.upsert_attributes(root), batches.record_offsets(ledger, "ATTRIBUTE")))
+    messages = read_messages(spark, folder, streaming=True, maxFilesPerTrigger="1")
+    jobs.start(messages, str(tmp_path / "checkpoint"), emit=emit).awaitTermination()
+    wells = KeyedTable.named("well", root).read(spark).collect()
+    assert [(r.namewell, r.state, r.surface_latitude) for r in wells] == [("W", "OK", "")]
+    assert sorted(r.namerig for r in KeyedTable.named("rig", root).read(spark).collect()) == ["R", "R2"]
+    assert KeyedTable.named("wellbore", root).read(spark).count() == 1
+    assert json.loads(starting_offsets(ledger.read(spark), "t", "ATTRIBUTE")) == {"t": {"0": 3, "1": 4}}
+
+
 def test_sources_share_one_layout(spark, tmp_path):
     (tmp_path / "lines").mkdir()
     (tmp_path / "lines" / "a.txt").write_text('{"id":"1"}\n\n{"id":"2"}\n')
