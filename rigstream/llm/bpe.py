@@ -62,7 +62,7 @@ class Codec:
         self.keys = np.array(sorted(merges), np.int64)
         self.merged = np.array([merges[k] for k in self.keys.tolist()], np.int64)
         self.of_byte = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
-        self.split = regex.compile(self.pattern).findall
+        self.split = regex.compile(pattern).findall
         self.known: dict[str, bytes] = {}
         self.ranks = ranks
 
