@@ -5,20 +5,94 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rigstream.llm import bpe
-from rigstream.llm.common import table
+from rigstream.llm import bpe, language, lengths, mixing, topk, urls
+from rigstream.llm.common import held_out, table
+
+#: Fixed values of the contract.
+URL_RULES = [
+    urls.Rule("org", "/", True),
+    urls.Rule("example.org", "/es/", False),
+    urls.Rule("example.org", "/en/1", False),
+    urls.Rule("com", "/fr/", True),
+    urls.Rule("com", "/de/", False),
+]
+
+
+def _ranks() -> bytes:
+    return bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
 def op1_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
-    return bpe.digests(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN, ["doc_id"])
+    return bpe.digests(table(spark, sf_dir, "documents"), _ranks(), public_tokenizers.PATTERN, ["doc_id"])
+
+
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return urls.filter_urls(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    known = docs.where(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).select("lang", "text")
+    found = language.identify(docs.select("doc_id", "text"), language.fit(known))
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op8_length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("text")
+    counted = lengths.token_counts(docs, _ranks(), public_tokenizers.PATTERN).select("n_tokens")
+    return lengths.limits(lengths.histogram(counted))
+
+
+def op9_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = topk.scaled(table(spark, sf_dir, "embeddings"))
+    found = topk.top_k(vectors, vectors.where(F.col("vec_id") % 20 == 0))
+    return found.select("query_id", "rank", "vec_id", "score")
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: made for name, made in globals().items() if name.startswith("op") and callable(made)}
 
 
+ORACLES = {
+    "op2_url_filter": r"""
+WITH parts AS (
+  SELECT page_id, url, coalesce(strpos(url, '://'), 0) AS pos FROM pages
+), cut AS (
+  SELECT page_id, CASE WHEN pos = 0 THEN '' ELSE regexp_extract(substr(url, pos + 3), '^[^/?#]*') END AS raw,
+         CASE WHEN pos = 0 THEN '' ELSE substr(url, pos + 3) END AS rest FROM parts
+), placed AS (
+  SELECT page_id, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(substr(rest, length(raw) + 1), '^[^?#]*') AS path FROM cut
+), rules(h, p, verdict) AS (
+  VALUES ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'),
+         ('com', '/fr/', 'allow'), ('com', '/de/', 'block')
+), fits AS (
+  SELECT page_id, host, path, arg_max(h || p, length(h || p)) AS rule, arg_max(verdict, length(h || p)) AS verdict
+  FROM placed JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p) GROUP BY ALL
+)
+SELECT placed.page_id, placed.host, placed.path, fits.rule, coalesce(fits.verdict, 'allow') AS verdict
+FROM placed LEFT JOIN fits USING (page_id)""",
+    "op9_top_k": """
+WITH v AS (
+  SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND q.vec_id % 20 = 0
+), ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20""",
+}
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return ORACLES
