@@ -5,8 +5,9 @@ whole part is taken; the fraction is an inclusion probability that is rounded to
 probabilities are points of a cube. In the flight, steps along the null space of the constraints
 (words and documents of the source) move three fractional documents at a time until one of them
 lands on a face, so both totals stay exact. At most two documents per block stay fractional. They
-meet those of other blocks of the source in further flights, and at last the two that a source has
-left are rounded to the totals nearest to its own.
+meet those of other blocks of the source in further flights. At last the two that a source has left
+land together with RESERVE documents held back from the last flight: of all ways to round these, the
+one whose totals are nearest is taken.
 
 Documents of a source fly in blocks of about ``BLOCK``, dealt by a hash, so a source with a third of
 all rows is many tasks, and a step of the next level joins ``FAN`` blocks. The draws come from a hash
@@ -30,6 +31,7 @@ from rigstream.session import materialised
 
 BLOCK = 20_000
 FAN = 1_000
+RESERVE = 12
 #: Fixed values of the contract: weights repeat over the sources in order; the mix's size against
 #: all sizes; a source's target against its size at most.
 WEIGHTS, SHARE, MOST = (5.0, 2.0, 1.0), 1.5, 2.0
@@ -104,30 +106,42 @@ def _move(done: list[float], held: list[int], step: Sequence[float], chances: li
 
 
 def landing(sizes: list[float], parts: list[float]) -> list[float]:
-    """Round the few parts that are left to the totals of words, then documents, that are nearest."""
+    """Round the at most RESERVE + 2 parts that are left so that words and documents miss least."""
     open_ = [k for k, v in enumerate(parts) if EDGE < v < 1 - EDGE]
-    words, count = sum(sizes[k] * parts[k] for k in open_), sum(parts[k] for k in open_)
-
-    def miss(bits: int) -> tuple[float, float]:
-        chosen = [k for n, k in enumerate(open_) if bits >> n & 1]
-        return abs(sum(sizes[k] for k in chosen) - words), abs(len(chosen) - count)
-
-    best = min(range(1 << len(open_)), key=miss)
     rounded = [float(round(v)) for v in parts]
-    for n, k in enumerate(open_):
-        rounded[k] = float(best >> n & 1)
+    if open_:
+        size, part = np.array(sizes)[open_], np.array(parts)[open_]
+        choices = np.arange(1 << len(open_))[:, None] >> np.arange(len(open_)) & 1
+        words, count = choices @ size - size @ part, choices.sum(1) - part.sum()
+        best = choices[np.argmin(np.abs(words) / max(1.0, size.mean()) + np.abs(count) / len(open_))]
+        for k, chosen in zip(open_, best.tolist()):
+            rounded[k] = float(chosen)
     return rounded
 
 
+def last_flight(sizes: list[float], parts: list[float], draw: np.random.Generator) -> list[float]:
+    """The flight and the landing of a source's last block.
+
+    Two documents alone could miss the totals by half a long text, so RESERVE documents of all
+    sizes wait for the landing, whose every outcome is tried.
+    """
+    open_ = [k for k, v in enumerate(parts) if EDGE < v < 1 - EDGE]
+    waiting = {open_[i * len(open_) // RESERVE] for i in range(RESERVE)} if len(open_) > RESERVE + 2 else set(open_)
+    flying = [k for k in range(len(parts)) if k not in waiting]
+    done = list(parts)
+    for k, v in zip(flying, flight([sizes[k] for k in flying], [parts[k] for k in flying], draw)):
+        done[k] = v
+    return landing(sizes, done)
+
+
 def _fly(level: int, last: bool):
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         # the largest first, so that what is left for the landing is small
         rows = rows.sort_values(["_size", "_key"], ascending=False, kind="stable")
         source, block = (None if pd.isna(key[0]) else key[0]), int(key[1])
         sizes = rows["_size"].tolist()
-        parts = flight(sizes, rows["_part"].tolist(), _seed(source, block, level))
-        if last:
-            parts = landing(sizes, parts)
+        fly = last_flight if last else flight
+        parts = fly(sizes, rows["_part"].tolist(), _seed(source, block, level))
         settled = np.array([v in (0.0, 1.0) for v in parts], bool)
         values = np.array(parts)
         rows["_part"] = np.where(settled, 0.0, values)
