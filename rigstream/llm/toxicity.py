@@ -38,7 +38,7 @@ EVIDENCE, PRECISION = 25.0, 0.5
 #: Lengths of beginnings that may become terms; letters a whole word needs to be met with an edit.
 BEGINNINGS = range(4, 9)
 EDIT_WORD = 5
-#: A longer form with so much of a term's evidence takes its place.
+#: A longer form that stands in so many of a term's toxic documents takes its place.
 SPECIFIC = 0.95
 #: Characters on either side of an occurrence that are searched for quotation marks.
 WINDOW = 80
@@ -255,7 +255,7 @@ def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def learn_terms(rows: DataFrame) -> list[Term]:
     """The terms of ``rows`` (text, toxic) with enough evidence.
 
-    Of a word and its beginnings the longest form that keeps the evidence counts; a further one
+    Of a word and its beginnings the longest form that keeps the toxic documents counts; a further one
     only adds a term where it is more precise.
     """
     totals = rows.agg(F.count(F.lit(1)), F.sum(F.col("toxic").cast("long"))).first()
@@ -269,11 +269,11 @@ def learn_terms(rows: DataFrame) -> list[Term]:
     sums = counted.agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     strong = sums.where((k > 0) & (k >= PRECISION * n) & (evidence >= EVIDENCE))
     found = strong.withColumn("evidence", evidence).orderBy(F.desc("evidence"), "term").limit(MAX_TERMS).collect()
-    strongest: dict[str, float] = {}
+    strongest: dict[str, int] = {}
     for row in found:
         for i in range(1, len(row.term)):
-            strongest[row.term[:i]] = max(strongest.get(row.term[:i], 0.0), row.evidence)
-    found = [row for row in found if strongest.get(row.term, 0.0) < SPECIFIC * row.evidence]
+            strongest[row.term[:i]] = max(strongest.get(row.term[:i], 0), row.toxic)
+    found = [row for row in found if strongest.get(row.term, 0) < SPECIFIC * row.toxic]
     chosen: dict[str, float] = {}
     terms = []
     for row in sorted(found, key=lambda r: (len(r.term), r.term)):
