@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from rigstream.llm.common import WORD
 from rigstream.session import materialised
 
-BLOCK = 20_000
+BLOCK = 2_000
 FAN = 1_000
 RESERVE = 12
 #: Fixed values of the contract: weights repeat over the sources in order; the mix's size against

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rigstream.llm import bpe, language, lengths, mixing, topk, toxicity, urls
+from rigstream.llm import bpe, fingerprints, language, lengths, mixing, topk, toxicity, urls, warc
 from rigstream.llm.common import held_out, table
+from rigstream.session import ensure_checkpoint_dir
 
 #: Fixed values of the contract.
 URL_RULES = [
@@ -52,6 +54,10 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op8_length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("text")
     counted = lengths.token_counts(docs, _ranks(), public_tokenizers.PATTERN).select("n_tokens")
@@ -64,11 +70,29 @@ def op9_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("query_id", "rank", "vec_id", "score")
 
 
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = f"{ensure_checkpoint_dir(spark)}/warc-{uuid.uuid4().hex}"
+    warc.write_archives(warc.mark_revisits(table(spark, sf_dir, "pages")), folder)
+    return warc.read_archives(spark, folder).select(
+        warc.page_id(F.col("record_id")).alias("page_id"), "payload_bytes", "payload_digest",
+        F.col("warc_type").alias("record_type"), warc.page_id(F.col("refers_to")).alias("refers_to"),
+    )
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: made for name, made in globals().items() if name.startswith("op") and callable(made)}
 
 
 ORACLES = {
+    "op10_warc": """
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages
+), g AS (
+  SELECT *, max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) AS last FROM p
+)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> last THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> last THEN last END AS refers_to FROM g""",
     "op2_url_filter": r"""
 WITH parts AS (
   SELECT page_id, url, coalesce(strpos(url, '://'), 0) AS pos FROM pages

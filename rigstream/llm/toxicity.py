@@ -313,14 +313,15 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     """Learn from ``docs`` (doc_id, text) as far as ``labels`` (doc_id, toxic) name them."""
     rows = labelled(docs, labels)
     terms = learn_terms(rows)
-    held = add_figures(rows, terms).select("toxic", *FIGURES).orderBy("toxic", *FIGURES).collect()
+    held = add_figures(rows, terms).select("toxic", *FIGURES).collect()
     if not held:
         return Model()
+    held = sorted(map(tuple, held))  # sums of floats in one order, whatever the partitions
     toxic = np.array([r[0] for r in held], float)
     if not terms:
         share = min(max(toxic.mean(), 1e-12), 1 - 1e-12)
         return Model([], [math.log(share / (1 - share)), 0.0, 0.0, 0.0, 0.0])
-    return Model(terms, fit_weights(np.array([tuple(r)[1:] for r in held], float), toxic))
+    return Model(terms, fit_weights(np.array([r[1:] for r in held], float), toxic))
 
 
 def add_figures(docs: DataFrame, terms: list[Term], text: str = "text") -> DataFrame:
