@@ -64,7 +64,7 @@ def sketch(text: Column, k: int = K, s: int = S, size: int = SIZE) -> Column:
     """The smallest distinct anchor hashes of a text, in order."""
     def hashes(words: Column) -> Column:
         long = let(_inner(words, s), lambda h: _chosen(h, k, s, lambda i: _hash(h, i, k, s)))
-        return F.when(F.size(words) < k, F.transform(words, F.xxhash64)).otherwise(long)
+        return F.when(F.size(words) < k, F.transform(words, lambda w: F.xxhash64(w))).otherwise(long)
 
     return F.slice(F.sort_array(F.array_distinct(let(_words(text), hashes))), 1, size)
 
