@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rigstream.llm import bpe, fingerprints, language, lengths, mixing, topk, toxicity, urls, warc
+from rigstream.llm import bpe, fingerprints, jaccard, language, lengths, mixing, topk, toxicity, urls, warc
 from rigstream.llm.common import held_out, table
 from rigstream.session import ensure_checkpoint_dir
 
@@ -54,6 +54,10 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.linked_components(table(spark, sf_dir, "documents"), words=4, percent=85)
+
+
 def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited_fingerprints(table(spark, sf_dir, "documents"))
 
