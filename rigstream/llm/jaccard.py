@@ -3,14 +3,16 @@
 Documents are sets of word shingles, shingles are 64-bit hashes. Two documents link when their sets
 have a Jaccard likeness of at least ``percent`` / 100. Documents of one set are one class.
 
-1. Groups. Classes that share a minimum hash are compared with one of them; the likenesses that are
-   high enough join classes to groups of similar documents.
+1. Groups. Classes that share a minimum hash are compared with the one that shares most with all,
+   as copies are more alike to their model than to each other; likenesses that are high enough join
+   classes to groups of similar documents.
 2. Matrix. Linked sets share one of their first shingles in any common order, the first being
    n - ceil(percent * n / 100) + 1. So the matrix needs a row only for each group and each of its
    first shingles, and only for shingles that several groups have. The order puts frequent shingles
    last, as far as a bounded list knows them; it decides the cost, never the result.
 3. Bounds. A class meets the parts (of at most ``PART`` classes) of larger groups with which it shares
-   a matrix row. A set cannot be more alike to a member than its share of the part's union of shingles
+   a matrix row. Every class has a parity sketch; where two sketches differ in more bits than linked
+   sets of these sizes may differ in shingles, no link is possible, and no text needs to move. A set cannot be more alike to a member than its share of the part's union of shingles
    says; only parts that qualify are opened, until the first link to the group, since the members of a
    group are connected already.
 
@@ -30,7 +32,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from rigstream.llm.common import pieces
 from rigstream.llm.components import components
@@ -39,8 +41,10 @@ from rigstream.session import materialised
 WORDS, PERCENT = 5, 80
 #: Classes of a part, and queries that meet a part together.
 PART, QUERIES = 64, 512
-#: Minimum hashes that bring classes together for the groups.
-BANDS = 4
+#: Minimum hashes of a class, and how many of them bring classes together for the groups.
+BANDS, MEETING = 16, 4
+#: Bits of a parity sketch.
+BITS = 1_024
 #: Frequent shingles that are known: the most frequent HOT of those met HOT_TIMES in so many shingles.
 HOT, HOT_TIMES, HOT_STEP = 100_000, 4, 2_000_000
 #: A table of ids goes to every task up to this size; beyond it the texts are shuffled to the ids.
@@ -124,6 +128,19 @@ def class_of(shingles: np.ndarray) -> int:
     return int(_mix(both).view(np.int64)[0])
 
 
+def parity(shingles: np.ndarray) -> np.ndarray:
+    """Bit i is set if an odd number of shingles fall to i, so two sketches differ in no more bits than the sets in shingles."""
+    odd = np.bincount((shingles & _U(BITS - 1)).astype(np.int64), minlength=BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
+def may_link(percent: int) -> Column:
+    """Whether sets of sizes n, n2 with sketches sketch, sketch2 may link at all."""
+    differing = F.aggregate(F.zip_with("sketch", "sketch2", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda a, x: a + x)
+    sizes = 100 * F.least("n", "n2") >= percent * F.greatest("n", "n2")
+    return sizes & ((100 + percent) * differing <= (100 - percent) * (F.col("n") + F.col("n2")))
+
+
 def first_shingles(shingles: np.ndarray, percent: int, hot: np.ndarray, rank: np.ndarray) -> np.ndarray:
     """The first n - ceil(percent * n / 100) + 1 of a set: unknown ones in order, then the known, rarest first."""
     n = len(shingles)
@@ -147,8 +164,9 @@ def _linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
 
 
 def profiles(docs: DataFrame, k: int) -> DataFrame:
-    """Of each row of ``docs`` (doc_id, text): ``n``, ``cls`` and ``keys``; rows with ``hot`` list frequent shingles."""
-    seeds = _mix(np.arange(101, 101 + BANDS, dtype=_U))
+    """Of each row of ``docs`` (doc_id, text): ``n``, ``cls``, ``keys`` and ``sketch``; rows with ``hot`` list frequent shingles."""
+    odd = _mix(np.arange(101, 101 + BANDS, dtype=_U)) | _U(1)
+    longs = pa.list_(pa.int64())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, count, seen = [], 0, set()
@@ -157,10 +175,10 @@ def profiles(docs: DataFrame, k: int) -> DataFrame:
                 sets = shingle_sets(part.column("text").to_pylist(), k)
                 ids, rows = part.column("doc_id"), len(sets)
                 classes = [class_of(s) for s in sets]
-                keys = [[int(x) for x in np.array([_mix(s ^ m).min() for m in seeds]).view(np.int64)] if len(s) else [] for s in sets]
+                keys = [np.array([(s * m).min() for m in odd]).view(np.int64) if len(s) else [] for s in sets]
                 yield pa.RecordBatch.from_arrays([
                     ids, pa.array([len(s) for s in sets], pa.int64()), pa.array(classes, pa.int64()),
-                    pa.array(keys, pa.list_(pa.int64())), pa.nulls(rows, pa.list_(pa.int64())), pa.nulls(rows, pa.list_(pa.int64())),
+                    pa.array(keys, longs), pa.array([parity(s) for s in sets], longs), pa.nulls(rows, longs), pa.nulls(rows, longs),
                 ], names=names)
                 for c, s in zip(classes, sets):
                     if c not in seen:
@@ -176,15 +194,11 @@ def profiles(docs: DataFrame, k: int) -> DataFrame:
     def frequent(sets: list[np.ndarray]) -> pa.RecordBatch:
         found, times = np.unique(np.concatenate(sets), return_counts=True)
         often = times >= HOT_TIMES
-        listed = [pa.array([x[often].view(np.int64).tolist()], pa.list_(pa.int64())) for x in (found, times.astype(np.int64))]
-        return pa.RecordBatch.from_arrays(
-            [pa.nulls(1, id_type), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.list_(pa.int64())), *listed],
-            names=names,
-        )
-
-    names = ["doc_id", "n", "cls", "keys", "hot", "times"]
-    id_type = pa.int64()
-    schema = "doc_id long, n long, cls long, keys array<long>, hot array<long>, times array<long>"
+        listed = [pa.array([x[often].view(np.int64)], longs) for x in (found, times.astype(np.int64))]
+        return pa.RecordBatch.from_arrays([*[pa.nulls(1, pa.int64())] * 3, *[pa.nulls(1, longs)] * 2, *listed], names=names)
+
+    names = ["doc_id", "n", "cls", "keys", "sketch", "hot", "times"]
+    schema = "doc_id long, n long, cls long, keys array<long>, sketch array<long>, hot array<long>, times array<long>"
     return materialised(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, schema))
 
 
@@ -235,10 +249,17 @@ def open_parts(members: dict, queries: dict, percent: int) -> list[tuple[int, in
 
 def _groups(docs: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame:
     """``cls`` and ``grp`` of the classes that are in a group of several."""
-    keyed = classes.select("cls", "doc_id", F.posexplode("keys").alias("band", "key"))
-    buckets = keyed.groupBy("band", "key").agg(F.min("cls").alias("centre"), F.max("cls").alias("_last")).where("centre < _last")
-    pairs = keyed.join(buckets.drop("_last"), ["band", "key"]).where(F.col("cls") != F.col("centre")).select("centre", "cls", "doc_id")
-    pairs = materialised(pairs.distinct())
+    keyed = classes.select("cls", F.posexplode("keys").alias("band", "key"))
+    sizes = keyed.groupBy("band", "key").agg(F.count(F.lit(1)).alias("_size")).where("_size > 1")
+    met = materialised(keyed.join(sizes, ["band", "key"]))
+    weights = met.groupBy("cls").agg(F.sum("_size").alias("_weight"))
+    near = met.where(F.col("band") < MEETING).join(weights, "cls")
+    centres = near.groupBy("band", "key").agg(F.max(F.struct("_weight", "cls")).alias("_best"))
+    pairs = near.join(centres, ["band", "key"]).select("cls", F.col("_best.cls").alias("centre")).where("cls <> centre").distinct()
+    sketches = classes.select("cls", "doc_id", "n", "sketch")
+    theirs = classes.select(F.col("cls").alias("centre"), F.col("n").alias("n2"), F.col("sketch").alias("sketch2"))
+    known = pairs.join(sketches, "cls").join(theirs, "centre").where(may_link(percent))
+    pairs = materialised(known.select("centre", "cls", "doc_id"))
     salts = pairs.groupBy("centre").agg(F.ceil(F.count(F.lit(1)) / QUERIES).cast("int").alias("_salts"))
     salts = materialised(salts)
     asks = pairs.join(salts, "centre").select(
@@ -293,13 +314,20 @@ def _between(docs: DataFrame, classes: DataFrame, matrix: DataFrame, k: int, per
     asked = placed.select("token", "cls", "n", F.col("grp").alias("_grp"), F.col("gsize").alias("_gsize"))
     smaller = (F.col("_gsize") < F.col("gsize")) | ((F.col("_gsize") == F.col("gsize")) & (F.col("_grp") < F.col("grp")))
     fits = (100 * F.col("_most") >= percent * F.col("n")) & (100 * F.col("n") >= percent * F.col("_least"))
-    met = materialised(asked.join(rows, "token").where(smaller & fits).select("cls", "grp", "part").distinct())
+    shared = asked.join(rows, "token").where(smaller & fits).select("cls", "grp", "part").distinct()
+    own = classes.select("cls", "n", "sketch")
+    members = parts.select(F.col("cls").alias("member"), "grp", "part").join(
+        classes.select(F.col("cls").alias("member"), F.col("n").alias("n2"), F.col("sketch").alias("sketch2")), "member"
+    )
+    possible = shared.join(own, "cls").join(members, ["grp", "part"]).where(may_link(percent))
+    possible = materialised(possible.select("cls", "member", "grp", "part"))
+    met = materialised(possible.select("cls", "grp", "part").distinct())
     salts = met.groupBy("grp", "part").agg(F.ceil(F.count(F.lit(1)) / QUERIES).cast("int").alias("_salts"))
     asks = met.join(salts, ["grp", "part"]).select(
         "cls", F.lit(True).alias("asks"), "grp", "part", F.pmod(F.xxhash64("cls"), F.col("_salts")).cast("int").alias("salt")
     )
-    members = parts.select("cls", "grp", "part").join(salts, ["grp", "part"]).select(
-        "cls", F.lit(False).alias("asks"), "grp", "part", F.explode(F.sequence(F.lit(0), F.col("_salts") - 1)).alias("salt")
+    members = possible.select("member", "grp", "part").distinct().join(salts, ["grp", "part"]).select(
+        F.col("member").alias("cls"), F.lit(False).alias("asks"), "grp", "part", F.explode(F.sequence(F.lit(0), F.col("_salts") - 1)).alias("salt")
     )
     wanted = asks.unionByName(members).join(classes.select("cls", "doc_id"), "cls")
     return _compare(_with_texts(docs, wanted), ["grp", "part", "salt"], k, percent, open_parts)
@@ -317,8 +345,8 @@ def linked_components(docs: DataFrame, words: int = WORDS, percent: int = PERCEN
     hot = often.orderBy(F.desc("times"), "token").limit(HOT).collect()
     # sets so small that a shingle more or less is too much link with their copies alone
     least = -(-percent // (100 - percent)) if percent < 100 else 1 << 62
-    every = rows.where(F.col("n") > 0).groupBy("cls").agg(F.min("doc_id").alias("doc_id"), F.max(F.struct("n", "keys")).alias("x"))
-    every = materialised(every.select("cls", "doc_id", "x.n", "x.keys"))
+    every = rows.where(F.col("n") > 0).groupBy("cls").agg(F.min("doc_id").alias("doc_id"), F.max(F.struct("n", "keys", "sketch")).alias("x"))
+    every = materialised(every.select("cls", "doc_id", "x.*"))
     classes = every.where((F.col("n") >= least) & F.col("doc_id").isNotNull())
     groups = _groups(docs, classes, words, percent)
     matrix = _matrix(docs, hot, groups, words, percent, least)
