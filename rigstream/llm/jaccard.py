@@ -3,8 +3,8 @@
 Documents are sets of word shingles, shingles are 64-bit hashes. Two documents link when their sets
 have a Jaccard likeness of at least ``percent`` / 100. Documents of one set are one class.
 
-1. Groups. Classes that share a minimum hash are compared with the one that shares most with all,
-   as copies are more alike to their model than to each other; likenesses that are high enough join
+1. Groups. Classes that share a minimum hash are compared with those few that share most with all,
+   as copies are more alike to their models than to each other; likenesses that are high enough join
    classes to groups of similar documents.
 2. Matrix. Linked sets share one of their first shingles in any common order, the first being
    n - ceil(percent * n / 100) + 1. So the matrix needs a row only for each group and each of its
@@ -41,12 +41,12 @@ from rigstream.session import materialised
 WORDS, PERCENT = 5, 80
 #: Classes of a part, and queries that meet a part together.
 PART, QUERIES = 64, 512
-#: Minimum hashes of a class, and how many of them bring classes together for the groups.
-BANDS, MEETING = 16, 4
-#: Bits of a parity sketch.
-BITS = 1_024
+#: Minimum hashes of a class, how many of them bring classes together for the groups, and models of a meeting.
+BANDS, MEETING, MODELS = 16, 4, 8
+#: Bits of a parity sketch, and of the wider one that sets of WIDE_FROM shingles have as well.
+BITS, WIDE_BITS, WIDE_FROM = 1_024, 8_192, 1_000
 #: Frequent shingles that are known: the most frequent HOT of those met HOT_TIMES in so many shingles.
-HOT, HOT_TIMES, HOT_STEP = 100_000, 4, 2_000_000
+HOT, HOT_TIMES, HOT_STEP = 300_000, 2, 2_000_000
 #: A table of ids goes to every task up to this size; beyond it the texts are shuffled to the ids.
 BROADCAST_BYTES = 32 * 1024 * 1024
 STEP_BYTES = 1_000_000
@@ -128,15 +128,19 @@ def class_of(shingles: np.ndarray) -> int:
     return int(_mix(both).view(np.int64)[0])
 
 
-def parity(shingles: np.ndarray) -> np.ndarray:
+def parity(shingles: np.ndarray, bits: int = BITS) -> np.ndarray:
     """Bit i is set if an odd number of shingles fall to i, so two sketches differ in no more bits than the sets in shingles."""
-    odd = np.bincount((shingles & _U(BITS - 1)).astype(np.int64), minlength=BITS) & 1
+    odd = np.bincount((shingles & _U(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
 def may_link(percent: int) -> Column:
     """Whether sets of sizes n, n2 with sketches sketch, sketch2 may link at all."""
-    differing = F.aggregate(F.zip_with("sketch", "sketch2", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda a, x: a + x)
+    def apart(a: str, b: str) -> Column:
+        return F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, x: n + x)
+
+    both_wide = (F.col("n") >= WIDE_FROM) & (F.col("n2") >= WIDE_FROM)
+    differing = F.when(both_wide, apart("wide", "wide2")).otherwise(apart("sketch", "sketch2"))
     sizes = 100 * F.least("n", "n2") >= percent * F.greatest("n", "n2")
     return sizes & ((100 + percent) * differing <= (100 - percent) * (F.col("n") + F.col("n2")))
 
@@ -178,7 +182,8 @@ def profiles(docs: DataFrame, k: int) -> DataFrame:
                 keys = [np.array([(s * m).min() for m in odd]).view(np.int64) if len(s) else [] for s in sets]
                 yield pa.RecordBatch.from_arrays([
                     ids, pa.array([len(s) for s in sets], pa.int64()), pa.array(classes, pa.int64()),
-                    pa.array(keys, longs), pa.array([parity(s) for s in sets], longs), pa.nulls(rows, longs), pa.nulls(rows, longs),
+                    pa.array(keys, longs), pa.array([parity(s) for s in sets], longs),
+                    pa.array([parity(s, WIDE_BITS) if len(s) >= WIDE_FROM else None for s in sets], longs), *[pa.nulls(rows, longs)] * 2,
                 ], names=names)
                 for c, s in zip(classes, sets):
                     if c not in seen:
@@ -195,10 +200,10 @@ def profiles(docs: DataFrame, k: int) -> DataFrame:
         found, times = np.unique(np.concatenate(sets), return_counts=True)
         often = times >= HOT_TIMES
         listed = [pa.array([x[often].view(np.int64)], longs) for x in (found, times.astype(np.int64))]
-        return pa.RecordBatch.from_arrays([*[pa.nulls(1, pa.int64())] * 3, *[pa.nulls(1, longs)] * 2, *listed], names=names)
+        return pa.RecordBatch.from_arrays([*[pa.nulls(1, pa.int64())] * 3, *[pa.nulls(1, longs)] * 3, *listed], names=names)
 
-    names = ["doc_id", "n", "cls", "keys", "sketch", "hot", "times"]
-    schema = "doc_id long, n long, cls long, keys array<long>, sketch array<long>, hot array<long>, times array<long>"
+    names = ["doc_id", "n", "cls", "keys", "sketch", "wide", "hot", "times"]
+    schema = "doc_id long, n long, cls long, keys array<long>, sketch array<long>, wide array<long>, hot array<long>, times array<long>"
     return materialised(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, schema))
 
 
@@ -247,6 +252,11 @@ def open_parts(members: dict, queries: dict, percent: int) -> list[tuple[int, in
     return links
 
 
+def _seconds(classes: DataFrame, name: str) -> DataFrame:
+    """What ``may_link`` needs of the second class of a pair."""
+    return classes.select(F.col("cls").alias(name), *[F.col(c).alias(f"{c}2") for c in ("n", "sketch", "wide")])
+
+
 def _groups(docs: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame:
     """``cls`` and ``grp`` of the classes that are in a group of several."""
     keyed = classes.select("cls", F.posexplode("keys").alias("band", "key"))
@@ -254,10 +264,12 @@ def _groups(docs: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFr
     met = materialised(keyed.join(sizes, ["band", "key"]))
     weights = met.groupBy("cls").agg(F.sum("_size").alias("_weight"))
     near = met.where(F.col("band") < MEETING).join(weights, "cls")
-    centres = near.groupBy("band", "key").agg(F.max(F.struct("_weight", "cls")).alias("_best"))
+    # the heaviest class of each of MODELS shares of a meeting
+    share = F.pmod(F.xxhash64("cls"), F.lit(MODELS)).alias("_share")
+    centres = near.groupBy("band", "key", share).agg(F.max(F.struct("_weight", "cls")).alias("_best"))
     pairs = near.join(centres, ["band", "key"]).select("cls", F.col("_best.cls").alias("centre")).where("cls <> centre").distinct()
-    sketches = classes.select("cls", "doc_id", "n", "sketch")
-    theirs = classes.select(F.col("cls").alias("centre"), F.col("n").alias("n2"), F.col("sketch").alias("sketch2"))
+    sketches = classes.select("cls", "doc_id", "n", "sketch", "wide")
+    theirs = _seconds(classes, "centre")
     known = pairs.join(sketches, "cls").join(theirs, "centre").where(may_link(percent))
     pairs = materialised(known.select("centre", "cls", "doc_id"))
     salts = pairs.groupBy("centre").agg(F.ceil(F.count(F.lit(1)) / QUERIES).cast("int").alias("_salts"))
@@ -315,10 +327,8 @@ def _between(docs: DataFrame, classes: DataFrame, matrix: DataFrame, k: int, per
     smaller = (F.col("_gsize") < F.col("gsize")) | ((F.col("_gsize") == F.col("gsize")) & (F.col("_grp") < F.col("grp")))
     fits = (100 * F.col("_most") >= percent * F.col("n")) & (100 * F.col("n") >= percent * F.col("_least"))
     shared = asked.join(rows, "token").where(smaller & fits).select("cls", "grp", "part").distinct()
-    own = classes.select("cls", "n", "sketch")
-    members = parts.select(F.col("cls").alias("member"), "grp", "part").join(
-        classes.select(F.col("cls").alias("member"), F.col("n").alias("n2"), F.col("sketch").alias("sketch2")), "member"
-    )
+    own = classes.select("cls", "n", "sketch", "wide")
+    members = parts.select(F.col("cls").alias("member"), "grp", "part").join(_seconds(classes, "member"), "member")
     possible = shared.join(own, "cls").join(members, ["grp", "part"]).where(may_link(percent))
     possible = materialised(possible.select("cls", "member", "grp", "part"))
     met = materialised(possible.select("cls", "grp", "part").distinct())
@@ -345,7 +355,7 @@ def linked_components(docs: DataFrame, words: int = WORDS, percent: int = PERCEN
     hot = often.orderBy(F.desc("times"), "token").limit(HOT).collect()
     # sets so small that a shingle more or less is too much link with their copies alone
     least = -(-percent // (100 - percent)) if percent < 100 else 1 << 62
-    every = rows.where(F.col("n") > 0).groupBy("cls").agg(F.min("doc_id").alias("doc_id"), F.max(F.struct("n", "keys", "sketch")).alias("x"))
+    every = rows.where(F.col("n") > 0).groupBy("cls").agg(F.min("doc_id").alias("doc_id"), F.max(F.struct("n", "keys", "sketch", "wide")).alias("x"))
     every = materialised(every.select("cls", "doc_id", "x.*"))
     classes = every.where((F.col("n") >= least) & F.col("doc_id").isNotNull())
     groups = _groups(docs, classes, words, percent)
