@@ -287,7 +287,10 @@ def _groups(docs: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFr
 
 
 def _matrix(docs: DataFrame, hot: list, groups: DataFrame, k: int, percent: int, least: int) -> DataFrame:
-    """``token``, ``cls``, ``n``, ``grp`` of first shingles that several groups have."""
+    """``token``, ``cls``, ``n``, ``grp`` of first shingles that several groups have.
+
+    ``room`` is the number of the set's shingles from this one on.
+    """
     known = np.array(sorted((r.token, i) for i, r in enumerate(reversed(hot))), np.int64).reshape(-1, 2)
     order = np.argsort(known[:, 0].view(_U), kind="stable")
     shared = docs.sparkSession.sparkContext.broadcast((known[order, 0].view(_U), known[order, 1]))
@@ -303,12 +306,14 @@ def _matrix(docs: DataFrame, hot: list, groups: DataFrame, k: int, percent: int,
                     np.concatenate(firsts).view(np.int64) if firsts else np.zeros(0, np.int64),
                     np.repeat(np.array([class_of(s) for s in sets], np.int64), each),
                     np.repeat(np.array([len(s) for s in sets], np.int64), each),
+                    np.concatenate([len(s) - np.arange(len(f)) for s, f in zip(sets, firsts)] or [np.zeros(0, np.int64)]),
                 ]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["token", "cls", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["token", "cls", "n", "room"])
 
-    rows = docs.select("text").mapInArrow(run, "token long, cls long, n long").repartition("token")
-    several = rows.groupBy("token").agg(F.min("cls").alias("_a"), F.max("cls").alias("_b"), F.max("n").alias("_n"))
-    several = several.where((F.col("_a") < F.col("_b")) & (F.col("_n") > 0)).select("token")
+    rows = docs.select("text").mapInArrow(run, "token long, cls long, n long, room long").repartition("token")
+    # asks for all columns, so that both uses of the rows share one exchange
+    several = rows.groupBy("token").agg(F.min("cls").alias("_a"), F.max("cls").alias("_b"), F.max("n").alias("_n"), F.max("room").alias("_r"))
+    several = several.where((F.col("_a") < F.col("_b")) & (F.col("_n") > 0) & (F.col("_r") > 0)).select("token")
     met = materialised(rows.join(several, "token").distinct())
     grouped = met.join(groups, "cls", "left").withColumn("grp", F.coalesce("grp", "cls"))
     apart = grouped.groupBy("token").agg(F.min("grp").alias("_a"), F.max("grp").alias("_b")).where("_a < _b").select("token")
@@ -321,12 +326,16 @@ def _between(docs: DataFrame, classes: DataFrame, matrix: DataFrame, k: int, per
     sizes = nodes.groupBy("grp").agg(F.count(F.lit(1)).alias("gsize"))
     parts = nodes.join(sizes, "grp").withColumn("part", F.pmod(F.xxhash64("cls"), F.ceil(F.col("gsize") / PART)).cast("int"))
     parts = materialised(parts)
-    placed = matrix.select("token", "cls", "n").join(parts, "cls")
-    rows = placed.groupBy("token", "grp", "part", "gsize").agg(F.min("n").alias("_least"), F.max("n").alias("_most"))
-    asked = placed.select("token", "cls", "n", F.col("grp").alias("_grp"), F.col("gsize").alias("_gsize"))
+    placed = matrix.select("token", "cls", "n", "room").join(parts, "cls")
+    rows = placed.groupBy("token", "grp", "part", "gsize").agg(
+        F.min("n").alias("_least"), F.max("n").alias("_most"), F.max("room").alias("_room")
+    )
+    asked = placed.select("token", "cls", "n", "room", F.col("grp").alias("_grp"), F.col("gsize").alias("_gsize"))
     smaller = (F.col("_gsize") < F.col("gsize")) | ((F.col("_gsize") == F.col("gsize")) & (F.col("_grp") < F.col("grp")))
     fits = (100 * F.col("_most") >= percent * F.col("n")) & (100 * F.col("n") >= percent * F.col("_least"))
-    shared = asked.join(rows, "token").where(smaller & fits).select("cls", "grp", "part").distinct()
+    # at their first common shingle, both sets must have as many left as linked sets share
+    roomy = (100 + percent) * F.least("room", "_room") >= percent * (F.col("n") + F.col("_least"))
+    shared = asked.join(rows, "token").where(smaller & fits & roomy).select("cls", "grp", "part").distinct()
     own = classes.select("cls", "n", "sketch", "wide")
     members = parts.select(F.col("cls").alias("member"), "grp", "part").join(_seconds(classes, "member"), "member")
     possible = shared.join(own, "cls").join(members, ["grp", "part"]).where(may_link(percent))
