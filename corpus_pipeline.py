@@ -4,21 +4,64 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
-
 import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
 from rigstream import ensure_checkpoint_dir
-from rigstream.llm import bpe
+from rigstream.llm import bpe, jaccard, language, mixing, toxicity
 from rigstream.llm.common import table
 
 
+def toxic_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Leave out documents whose score is at least 0.5; all labels of the table labels teach the scorer."""
+    model = toxicity.fit(docs.select("doc_id", "text"), table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).where(F.col("predicted") == 0).select(*docs.columns)
+
+
+def unknown_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Leave out documents without letters, and those that no language's model describes."""
+    model = language.fit(docs.select("lang", "text"))
+    return language.identify(docs, model).where(language.recognised()).select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep one document of each component of documents alike (five words, 0.8): the one of the smallest id.
+
+    Documents without an id or without words are kept. Of rows with equal ids one stays, that with
+    the smallest text.
+    """
+    found = jaccard.linked_components(docs.select("doc_id", "text"))
+    gone = found.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
+    columns = [c for c in docs.columns if c != "doc_id"]
+    kept = docs.join(gone, "doc_id", "left_anti")
+    # only ids that occur twice are put together, so that texts do not move for the others
+    twice = kept.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    if twice.isEmpty():
+        return kept.select(*docs.columns)
+    repeated = kept.join(twice.select("doc_id"), "doc_id").groupBy("doc_id")
+    first = repeated.agg(F.min(F.struct("text", *[c for c in columns if c != "text"])).alias("_row"))
+    once = first.select(*[F.col("doc_id") if c == "doc_id" else F.col("_row")[c].alias(c) for c in docs.columns])
+    return kept.join(twice.select("doc_id"), "doc_id", "left_anti").select(*docs.columns).unionByName(once)
+
+
+def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix takes it."""
+    return mixing.apply(docs, mixing.mix(docs))
+
+
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every text, and digests of the ids and of what they decode to."""
+    """Number of tokens, and digests of the ids and of what they decode to, of every text."""
     ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
     return bpe.digests(docs, ranks, public_tokenizers.PATTERN, ["doc_id"])
 
 
-STAGES = [("bpe", tokens)]
+STAGES = [
+    ("toxicity", toxic_documents),
+    ("language", unknown_languages),
+    ("near_duplicates", near_duplicates),
+    ("mixing", mixed_sources),
+    ("bpe", tokens),
+]
 
 #: No stage but the last could be said in SQL; the tests hold the pipeline against brute force.
 ORACLE_SQL = None

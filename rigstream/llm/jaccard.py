@@ -286,14 +286,14 @@ def _groups(docs: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFr
     return found.select(F.col("node").alias("cls"), F.col("label").alias("grp"))
 
 
-def _matrix(docs: DataFrame, hot: list, groups: DataFrame, k: int, percent: int, least: int) -> DataFrame:
+def _matrix(docs: DataFrame, hot: np.ndarray, groups: DataFrame, k: int, percent: int, least: int) -> DataFrame:
     """``token``, ``cls``, ``n``, ``grp`` of first shingles that several groups have.
 
     ``room`` is the number of the set's shingles from this one on.
     """
-    known = np.array(sorted((r.token, i) for i, r in enumerate(reversed(hot))), np.int64).reshape(-1, 2)
-    order = np.argsort(known[:, 0].view(_U), kind="stable")
-    shared = docs.sparkSession.sparkContext.broadcast((known[order, 0].view(_U), known[order, 1]))
+    order = np.argsort(hot)
+    # ranks grow with frequency; `hot` has the most frequent first
+    shared = docs.sparkSession.sparkContext.broadcast((hot[order], -order))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens, rank = shared.value
@@ -361,7 +361,7 @@ def linked_components(docs: DataFrame, words: int = WORDS, percent: int = PERCEN
     rows = found.where(F.col("hot").isNull())
     listed = found.where(F.col("hot").isNotNull()).select(F.explode(F.arrays_zip("hot", "times")).alias("x"))
     often = listed.groupBy(F.col("x.hot").alias("token")).agg(F.sum("x.times").alias("times"))
-    hot = often.orderBy(F.desc("times"), "token").limit(HOT).collect()
+    hot = often.orderBy(F.desc("times"), "token").limit(HOT).select("token").toArrow().column(0).to_numpy().view(_U)
     # sets so small that a shingle more or less is too much link with their copies alone
     least = -(-percent // (100 - percent)) if percent < 100 else 1 << 62
     every = rows.where(F.col("n") > 0).groupBy("cls").agg(F.min("doc_id").alias("doc_id"), F.max(F.struct("n", "keys", "sketch", "wide")).alias("x"))
