@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rigstream import ensure_checkpoint_dir
 from rigstream.llm import bpe, jaccard, language, mixing, toxicity
-from rigstream.llm.common import table
+from rigstream.llm.common import measured, table
 
 
 def toxic_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,7 +31,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     the smallest text.
     """
     found = jaccard.linked_components(docs.select("doc_id", "text"))
-    gone = found.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
+    gone = measured(found.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct())
     columns = [c for c in docs.columns if c != "doc_id"]
     kept = docs.join(gone, "doc_id", "left_anti")
     # only ids that occur twice are put together, so that texts do not move for the others

@@ -11,11 +11,15 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructField, StructType
 
+from rigstream.session import materialised
+
 T = TypeVar("T")
 #: Fixed values of the contracts: words are what stands between these characters.
 WORD = r"[^\x20\x09-\x0D]+"
 #: Characters of text that one step inside a task holds at once.
 STEP_CHARS = 4_000_000
+#: A table goes to every task up to this size.
+BROADCAST_BYTES = 48 * 1024 * 1024
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,6 +36,18 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def measured(df: DataFrame) -> DataFrame:
+    """``df``, computed once, marked to go to every task if it is at most BROADCAST_BYTES large.
+
+    For joins with texts: a bounded table lets the texts stay where they are, a larger one is joined
+    by a shuffle.
+    """
+    df = materialised(df)
+    widths = {"long": 8, "bigint": 8, "int": 4, "boolean": 1, "binary": 40, "string": 40}
+    size = df.count() * (32 + sum(widths.get(kind, 64) for _, kind in df.dtypes))
+    return F.broadcast(df) if size <= BROADCAST_BYTES else df
+
+
 def once(shared: Broadcast, make: Callable[[Any], T]) -> T:
     """What ``make`` builds of a broadcast value, built once in each Python worker."""
     if "_made" not in shared.__dict__:

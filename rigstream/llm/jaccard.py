@@ -34,7 +34,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from rigstream.llm.common import pieces
+from rigstream.llm.common import measured, pieces
 from rigstream.llm.components import components
 from rigstream.session import materialised
 
@@ -47,8 +47,6 @@ BANDS, MEETING, MODELS = 16, 4, 8
 BITS, WIDE_BITS, WIDE_FROM = 1_024, 8_192, 1_000
 #: Frequent shingles that are known: the most frequent HOT of those met HOT_TIMES in so many shingles.
 HOT, HOT_TIMES, HOT_STEP = 300_000, 2, 2_000_000
-#: A table of ids goes to every task up to this size; beyond it the texts are shuffled to the ids.
-BROADCAST_BYTES = 32 * 1024 * 1024
 STEP_BYTES = 1_000_000
 
 _U = np.uint64
@@ -208,15 +206,9 @@ def profiles(docs: DataFrame, k: int) -> DataFrame:
 
 
 def _with_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``wanted`` (doc_id, ...) with the texts of its documents.
-
-    The ids are computed once and measured: a bounded table goes to every task, so that texts which
-    nobody wants do not move; a larger one is joined by a shuffle.
-    """
-    wanted = materialised(wanted)
-    size = wanted.count() * 16 * len(wanted.columns)
+    """``wanted`` (doc_id, ...) with the texts of its documents."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return texts.join(F.broadcast(wanted) if size <= BROADCAST_BYTES else wanted, "doc_id")
+    return texts.join(measured(wanted), "doc_id")
 
 
 def _compare(rows: DataFrame, keys: list[str], k: int, percent: int, compare: Callable) -> DataFrame:

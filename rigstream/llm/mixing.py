@@ -26,7 +26,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from rigstream.llm.common import WORD
+from rigstream.llm.common import WORD, measured
 from rigstream.session import materialised
 
 BLOCK = 2_000
@@ -220,4 +220,4 @@ def apply(docs: DataFrame, mixed: DataFrame) -> DataFrame:
     """The rows of ``docs``, each as often as ``mixed`` takes it."""
     taken = mixed.where(F.col("copies") > 0).select("_key", "copies").distinct()
     keyed = docs.withColumn("_key", _key("doc_id", "source", "text"))
-    return keyed.join(taken, "_key").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*docs.columns)
+    return keyed.join(measured(taken), "_key").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*docs.columns)
