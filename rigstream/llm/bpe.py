@@ -29,7 +29,7 @@ SHORT = 64
 #: Trees that run together.
 ROWS = 8_192
 #: Encoded pieces that a worker remembers; beyond that it starts anew.
-REMEMBERED = 200_000
+REMEMBERED = 100_000
 NONE = np.iinfo(np.int64).max
 
 
@@ -39,16 +39,26 @@ def read_ranks(path: str) -> bytes:
         return file.read()
 
 
-class Codec:
-    """Encoder and decoder of one vocabulary."""
+def parse_ranks(rank_file: bytes) -> dict[bytes, int]:
+    """Rank of each token."""
+    return {base64.b64decode(a): int(b) for a, b in (line.split() for line in rank_file.splitlines() if line)}
+
+
+def tokens_by_id(ranks: dict[bytes, int]) -> list[bytes]:
+    tokens = [b""] * (max(ranks.values()) + 1)
+    for token, rank in ranks.items():
+        tokens[rank] = token
+    return tokens
+
+
+class Encoder:
+    """Encoder of one vocabulary."""
 
     def __init__(self, rank_file: bytes, pattern: str):
         import regex
 
-        ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in rank_file.splitlines() if line)}
-        self.tokens = [b""] * (max(ranks.values()) + 1)
-        for token, rank in ranks.items():
-            self.tokens[rank] = token
+        ranks = parse_ranks(rank_file)
+        self.tokens = tokens_by_id(ranks)
         self.packed = [np.int32(i).tobytes() for i in range(len(self.tokens))]
         get = ranks.get
         merges = {}
@@ -75,10 +85,6 @@ class Codec:
         self._learn([p for p in set(chain.from_iterable(split)) if p not in known])
         return [b"".join(map(known.__getitem__, p)) for p in split]
 
-    def decode_ids(self, ids: list[int]) -> bytes:
-        """The bytes of token ids."""
-        return b"".join(map(self.tokens.__getitem__, ids))
-
     def _learn(self, pieces: list[str]) -> None:
         rows: dict[int, list[tuple[str, bytes]]] = {}
         for piece in pieces:
@@ -203,31 +209,50 @@ def encode(docs: DataFrame, rank_file: bytes, pattern: str, text: str = "text",
     ranks = docs.sparkSession.sparkContext.broadcast(rank_file)
 
     def step(texts: pa.Array) -> list[pa.Array]:
-        packed = once(ranks, lambda data: Codec(data, pattern)).encode_texts(texts.to_pylist())
-        ends = np.cumsum([0, *map(len, packed)]) // 4
-        return [pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(packed), np.int32)))]
+        return [_encoded(once(ranks, lambda data: Encoder(data, pattern)), texts)]
 
     return map_rows(docs, [StructField(into, ArrayType(IntegerType()))], text, step)
 
 
-def decode(docs: DataFrame, rank_file: bytes, pattern: str, ids: str = "ids", into: str = "decoded") -> DataFrame:
+def decode(docs: DataFrame, rank_file: bytes, ids: str = "ids", into: str = "decoded") -> DataFrame:
     """Add the bytes that ``ids`` stand for; null ids are empty."""
     ranks = docs.sparkSession.sparkContext.broadcast(rank_file)
 
     def step(found: pa.Array) -> list[pa.Array]:
-        codec = once(ranks, lambda data: Codec(data, pattern))
-        numbers = found.flatten().to_numpy().tolist()
-        ends = np.cumsum([0, *pc.fill_null(pc.list_value_length(found), 0).to_pylist()]).tolist()
-        return [pa.array([codec.decode_ids(numbers[b:e]) for b, e in zip(ends, ends[1:])], pa.binary())]
+        return [_decoded(once(ranks, lambda data: tokens_by_id(parse_ranks(data))), found)]
 
     return map_rows(docs, [StructField(into, BinaryType())], ids, step)
 
 
+def round_trip(docs: DataFrame, rank_file: bytes, pattern: str, text: str = "text") -> DataFrame:
+    """Add ``ids`` and, decoded from them, ``decoded``; one Python worker does both."""
+    ranks = docs.sparkSession.sparkContext.broadcast(rank_file)
+
+    def step(texts: pa.Array) -> list[pa.Array]:
+        encoder = once(ranks, lambda data: Encoder(data, pattern))
+        ids = _encoded(encoder, texts)
+        return [ids, _decoded(encoder.tokens, ids)]
+
+    return map_rows(docs, [StructField("ids", ArrayType(IntegerType())), StructField("decoded", BinaryType())], text, step)
+
+
+def _encoded(encoder: Encoder, texts: pa.Array) -> pa.Array:
+    packed = encoder.encode_texts(texts.to_pylist())
+    ends = np.cumsum([0, *map(len, packed)]) // 4
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(packed), np.int32)))
+
+
+def _decoded(tokens: list[bytes], found: pa.Array) -> pa.Array:
+    numbers = found.flatten().to_numpy().tolist()
+    ends = np.cumsum([0, *pc.fill_null(pc.list_value_length(found), 0).to_pylist()]).tolist()
+    return pa.array([b"".join(map(tokens.__getitem__, numbers[b:e])) for b, e in zip(ends, ends[1:])], pa.binary())
+
+
 def digests(docs: DataFrame, rank_file: bytes, pattern: str, keep: list[str]) -> DataFrame:
     """``keep``, then number and SHA-256 of the ids of ``text`` and the SHA-256 of the bytes they decode to."""
-    encoded = decode(encode(docs.select(*keep, "text"), rank_file, pattern).drop("text"), rank_file, pattern)
+    coded = round_trip(docs.select(*keep, "text"), rank_file, pattern)
     listed = F.array_join(F.col("ids").cast("array<string>"), " ")
-    return encoded.select(
+    return coded.select(
         *keep,
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(listed, 256).alias("ids_sha256"),
