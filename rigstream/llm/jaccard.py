@@ -104,7 +104,7 @@ def _sets(texts: list[str | None], k: int) -> list[np.ndarray]:
     # a run of k words is hashed from its words, in order
     factors = _powers(k + 1)[1:]
     runs = words * factors[0]
-    for j in range(1, k):
+    for j in range(1, min(k, len(words))):
         runs[: len(words) - j] += words[j:] * factors[j]
     runs = _mix(runs)
     bounds = np.searchsorted(starts, np.append(0, ends))

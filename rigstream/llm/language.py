@@ -109,6 +109,8 @@ class Model:
 def learn(texts: dict[str, list[bytes]]) -> Model:
     """The frozen model of some texts per language."""
     languages = sorted(texts)
+    if not languages:
+        return Model([], np.zeros(256, np.int64), 1, np.zeros(1, np.int32), np.zeros((1, 0), np.uint16))
     seen = np.zeros(256, bool)
     for found in texts.values():
         seen[np.unique(np.frombuffer(b"".join(found), np.uint8))] = True
@@ -136,8 +138,8 @@ def learn(texts: dict[str, list[bytes]]) -> Model:
     places = np.zeros(1, np.int64)
     for order in range(ORDER + 1):
         # the contexts of this order that any language has seen often enough, most often seen first
-        codes, sums = np.unique(np.concatenate([g[order][0] // kinds for g in counts] or [places[:0]]), return_inverse=True)
-        often = np.bincount(sums, np.concatenate([g[order][1] for g in counts] or [places[:0]]), len(codes)) if len(codes) else np.zeros(0)
+        codes, sums = np.unique(np.concatenate([g[order][0] // kinds for g in counts]), return_inverse=True)
+        often = np.bincount(sums, np.concatenate([g[order][1] for g in counts]), len(codes)) if len(codes) else np.zeros(0)
         most = TABLE_BYTES // (2 * kinds * max(1, len(languages)))
         keep = np.argsort(-often, kind="stable")[:most]
         kept = np.sort(codes[keep][often[keep] >= LEAST])

@@ -92,14 +92,14 @@ class UrlTrie:
     @staticmethod
     def _in_paths(node: Node, path: str) -> Rule | None:
         best = node.rule
-        for segment in path.split("/"):
+        *whole, last = path.split("/")
+        for segment in whole:  # a separator stands behind each of these
             best = next((rule for begin, rule in node.parts if segment.startswith(begin)), best)
             node = node.down.get(segment)
             if node is None:
-                break
-            # the entry "/a/" ends behind a separator, so a further segment must follow
+                return best
             best = node.rule or best
-        return best
+        return next((rule for begin, rule in node.parts if last.startswith(begin)), best)
 
 
 def host_of(url: Column) -> Column:
@@ -120,13 +120,14 @@ def filter_urls(pages: DataFrame, rules: list[Rule], default_allow: bool = True,
     fallback = "allow" if default_allow else "block"
     columns = [c for c in pages.columns if c.lower() not in ("host", "path")]
     parted = pages.select(*columns, host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path"))
-    # one column holds both parts, so that they go through the trie together
-    parted = parted.withColumn("rule", F.concat("host", F.lit("\n"), "path"))
+    # one column holds both parts, so that they go through the trie together; a host has no slash
+    parted = parted.withColumn("rule", F.concat("host", "path"))
 
     def step(parts: pa.Array) -> list[pa.Array]:
         if "_trie" not in shared.__dict__:
             shared._trie = UrlTrie([Rule(*r) for r in shared.value])
-        found = [shared._trie.judge(*x.split("\n", 1)) for x in parts.to_pylist()]
+        cut = [x.partition("/") for x in parts.to_pylist()]
+        found = [shared._trie.judge(host, slash + rest) for host, slash, rest in cut]
         return [
             pa.array([r.name if r else None for r in found], pa.string()),
             pa.array([("allow" if r.allow else "block") if r else fallback for r in found], pa.string()),
