@@ -6,9 +6,9 @@ from pyspark.sql import Column, functions as F
 
 # characters that count as blank at the ends of a message: U+0000 to U+0020
 BLANKS = "".join(chr(code) for code in range(0x21))
-# what a cast to double can accept: decimal numbers, and anything that may be a special or hex value
+# numbers: decimal ones, hexadecimal ones, and the special values in their one spelling
 MAYBE_NUMBER = (
-    r"^[\x00-\x20]*[-+]?(\d+\.?\d*|\.\d+)([eE][-+]?\d+)?[dDfF]?[\x00-\x20]*$|(?i:nan|inf|0x)"
+    r"^[\x00-\x20]*[-+]?((\d+\.?\d*|\.\d+)([eE][-+]?\d+)?[dDfF]?|0[xX][0-9a-fA-F.]+[pP][-+]?\d+[dDfF]?|NaN|Infinity)[\x00-\x20]*$"
 )
 LOAD_TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss"
 # milliseconds of the years 1 to 9999
@@ -27,7 +27,10 @@ def is_blank(text: Column) -> Column:
 
 
 def parsed_double(text: Column) -> Column:
-    """The number in ``text``, or null. Same results as a cast, whose failures are slow."""
+    """The number in ``text``, or null; of the special values only ``NaN`` and ``Infinity``.
+
+    Other text is screened first, as a cast that fails is slow.
+    """
     return F.when(text.rlike(MAYBE_NUMBER), text.try_cast("double"))
 
 

@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from rigstream.functions import drilling
 from rigstream.operators.skew import join_per_key, ordering, time_slice, with_slice
@@ -26,26 +26,46 @@ def first_reading(df: DataFrame, key: str, ts: str, tie: list[str], value: str)
 def with_first_reading(
     df: DataFrame, key: str = "id", ts: str = "ts", tie: list[str] | None = None, value: str = "bitDepth"
 ) -> DataFrame:
-    """Every reading but the device's first, with the first one's ``value`` as ``anchor_value``."""
+    """Every reading but the device's first, with the first one's ``value`` as ``anchor_value``.
+
+    Only one reading is the first; others of the same instant and tie are compared with it.
+    """
     tie = tie or []
     anchors = first_reading(df, key, ts, tie, value)
     joined = join_per_key(df, anchors, [key], "anchor_rows")
-    return joined.where(F.struct(ts, *tie) != F.col("anchor_at")).drop("anchor_at")
+    return without_first(joined, key, [ts, *tie], value, F.col("anchor_at")).drop("anchor_at")
+
+
+def without_first(paired: DataFrame, key: str, order: list[str], value: str, first: Column) -> DataFrame:
+    """All rows but one per key: of those whose ``order`` columns equal ``first``, one of the lowest ``value``.
+
+    Other readings of that instant are readings like any other. Equal rows are counted before they
+    meet, so copies do not travel.
+    """
+    at_first = F.struct(*order).eqNullSafe(first)
+    rest = [value, *[c for c in paired.columns if c not in (key, value, *order)]]
+    same = paired.where(at_first).groupBy(*paired.columns).agg(F.count(F.lit(1)).alias("_copies"))
+    lowest = same.groupBy(key).agg(F.min(F.struct(*rest)).alias("_lowest"))
+    left = F.col("_copies") - F.struct(*rest).eqNullSafe(F.col("_lowest")).cast("int")
+    again = same.join(lowest, key).withColumn("_copy", F.explode(F.array_repeat(F.lit(1), left.cast("int"))))
+    return paired.where(~at_first).unionByName(again.select(*paired.columns))
 
 
 def with_previous_reading(df: DataFrame, key: str, ts: str, tie: list[str], value: str, slice_ms: int) -> DataFrame:
     """Every reading but the first, with the previous one's ``value`` as ``anchor_value``."""
     sliced = with_slice(df, [key], time_slice(F.col(ts), slice_ms))
     order = ordering([ts, *tie])
-    last = sliced.groupBy(key, "_slice").agg(F.max_by(value, order).alias("_last"))
+    # values go in structs, so that a value that is null is told from a reading that is missing
+    last = sliced.groupBy(key, "_slice").agg(F.max_by(F.struct(F.col(value).alias("v")), order).alias("_last"))
     handed_on = last.select(
         key, "_slice", F.lag("_last").over(Window.partitionBy(key).orderBy("_slice")).alias("_handed_on")
     )
     inside = Window.partitionBy(key, "_slice").orderBy(ts, *tie)
-    numbered = sliced.withColumns({"_at": F.row_number().over(inside), "_before": F.lag(value).over(inside)})
+    numbered = sliced.withColumns({"_at": F.row_number().over(inside), "_before": F.lag(F.struct(F.col(value).alias("v"))).over(inside)})
     joined = numbered.join(handed_on, [key, "_slice"])
     anchored = joined.withColumn("anchor_value", F.when(F.col("_at") == 1, F.col("_handed_on")).otherwise(F.col("_before")))
-    return anchored.where(F.col("anchor_value").isNotNull()).drop("_slice", "_at", "_before", "_handed_on")
+    found = anchored.where(F.col("anchor_value").isNotNull()).withColumn("anchor_value", F.col("anchor_value.v"))
+    return found.drop("_slice", "_at", "_before", "_handed_on")
 
 
 def rig_statuses(paired: DataFrame) -> DataFrame:

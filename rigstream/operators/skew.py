@@ -87,19 +87,20 @@ def with_lags(df: DataFrame, keys: list[str], ts: str, value: str, lags: int, sl
         {
             "_at": F.row_number().over(in_slice),
             "_left": F.count(F.lit(1)).over(Window.partitionBy(*keys, "_slice")) - F.row_number().over(in_slice),
-            "_near": F.collect_list(value).over(in_slice.rowsBetween(-lags, -1)),
+            # lists leave nulls out, so values go in structs
+            "_near": F.collect_list(F.struct(F.col(value).alias("v"))).over(in_slice.rowsBetween(-lags, -1)),
         }
     )
     # the first row and the last `lags` rows of every slice are enough to hand values on
     edges = numbered.where((F.col("_at") == 1) | (F.col("_left") < lags)).select(*keys, "_slice", ts, "_at", value)
     over_edges = Window.partitionBy(*keys).orderBy(ts).rowsBetween(-lags, -1)
     carried = (
-        edges.withColumn("_far", F.collect_list(value).over(over_edges))
+        edges.withColumn("_far", F.collect_list(F.struct(F.col(value).alias("v"))).over(over_edges))
         .where(F.col("_at") == 1)
         .select(*keys, "_slice", "_far")
     )
     joined = numbered.join(carried, [*keys, "_slice"])
     # within a slice the nearest values come from the slice, the rest from what was carried in
-    before = F.reverse(F.concat("_far", "_near"))
+    before = F.transform(F.reverse(F.concat("_far", "_near")), lambda x: x["v"])
     padded = F.concat(before, F.array_repeat(F.lit(None).cast(df.schema[value].dataType), lags))
     return joined.withColumn(into, F.slice(padded, 1, lags)).drop("_slice", "_at", "_left", "_near", "_far")

@@ -9,6 +9,7 @@ from rigstream import schemas
 from rigstream.operators import aggregates, anchors, decode, energy, forecast, payload_tables, rate, reshape
 from rigstream.operators.energy import EnergyChannels
 from rigstream.schemas import LogKeys
+from rigstream.sources.tables import batch_base
 from rigstream.streaming import batches, state
 from rigstream.streaming.rate import running_rate_stream
 
@@ -191,12 +192,14 @@ def start(
 ) -> StreamingQuery:
     """Run a stream into a ``foreachBatch`` function or a Spark sink, resuming from its checkpoint.
 
-    Without an ``interval`` the available data is processed and the query ends.
+    Without an ``interval`` the available data is processed and the query ends. ``emit`` gets batch
+    numbers that keep growing when a checkpoint is lost (``tables.batch_base``).
     """
     writer = rows.writeStream.option("checkpointLocation", checkpoint)
     if name:
         writer = writer.queryName(name)
     writer = writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)
     if emit is not None:
-        return writer.foreachBatch(emit).start()
+        base = batch_base(rows.sparkSession, checkpoint)
+        return writer.foreachBatch(lambda batch, batch_id: emit(batch, base + batch_id)).start()
     return writer.format(sink).options(**options).start()

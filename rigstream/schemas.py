@@ -76,3 +76,6 @@ HASH_LAYOUT = {
     "rig": (("namewell", "namerig"), 2),
     "offsetmgr": (("topic_name",), 1),
 }
+
+# The columns of the offset ledger.
+LEDGER = "topic_name string, group_id string, partition int, offsetid bigint"

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,9 +29,11 @@ def build_session(app_name: str, master: str | None = None, **extra: str) -> Spa
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder; a scratch one only where none is set."""
+    """The cluster's shared checkpoint folder; a scratch one where none is set and all runs on this machine."""
     current = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if current is None:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines of the cluster share")
         current = tempfile.mkdtemp(prefix="rigstream-checkpoint-")
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(current)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -15,13 +16,20 @@ def offsets_reached(messages: DataFrame, group: str) -> DataFrame:
     return reached.select(F.col("topic").alias("topic_name"), F.lit(group).alias("group_id"), "partition", "offsetid")
 
 
-def starting_offsets(ledger: DataFrame, topic: str, group: str) -> str:
+#: Kafka's number for "from the latest record on".
+LATEST = -1
+
+
+def starting_offsets(ledger: DataFrame, topic: str, group: str, partitions: Iterable[int] = ()) -> str:
     """Kafka's ``startingOffsets`` for a topic and group; ``latest`` where nothing is recorded.
 
+    Kafka's source wants every partition of the topic named, so give ``partitions``: those that the
+    ledger does not know, as nothing was read of them yet, start at the latest record.
     The ledger holds one row per topic partition, so this is a handful of rows.
     """
     mine = ledger.where((F.col("topic_name") == topic) & (F.col("group_id") == group))
     reached = mine.select("partition", "offsetid").collect()
     if not reached:
         return "latest"
-    return json.dumps({topic: {str(row.partition): row.offsetid for row in reached}})
+    offsets = {int(n): LATEST for n in partitions} | {row.partition: row.offsetid for row in reached}
+    return json.dumps({topic: {str(n): offsets[n] for n in sorted(offsets)}})

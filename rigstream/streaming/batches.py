@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, functions as F
 
 from rigstream.operators import decode, reshape
-from rigstream.operators.anchors import anchors, rig_labels, block_movement, with_moving_anchor
+from rigstream.operators.anchors import anchors, block_movement, rig_labels, with_moving_anchor, without_first
 from rigstream.operators.skew import join_per_key
 from rigstream.session import materialised
 from rigstream.sources.offsets import offsets_reached
@@ -77,7 +77,7 @@ def rig_state_batches(state: KeyedTable, emit: Emit, tie: list[str] | None = Non
 
     def run(rows: DataFrame, batch_id: int) -> None:
         found = rows.groupBy("id").agg(
-            F.min(F.struct(*order)).alias("first_at"), F.min_by("bitDepth", F.struct(*order)).alias("first_value"),
+            F.min(F.struct(*order)).alias("first_at"), F.min_by("bitDepth", F.struct(*order, "bitDepth")).alias("first_value"),
             F.count(F.lit(1)).alias("anchor_rows"),
         )
         known = state.read_before(rows.sparkSession, batch_id)
@@ -94,7 +94,8 @@ def rig_state_batches(state: KeyedTable, emit: Emit, tie: list[str] | None = Non
         )
         state.write_batch(merged.where("is_new").select("id", "anchor_ts", "anchor_value"), batch_id)
         paired = join_per_key(rows, merged.drop("first_value", "anchor_ts"), ["id"], "anchor_rows")
-        kept = paired.where(~(F.col("is_new") & (F.struct(*order) == F.col("first_at"))))
+        first = F.when(F.col("is_new"), F.col("first_at"))
+        kept = without_first(paired, "id", order, "bitDepth", first)
         emit(rig_labels(kept.drop("is_new", "first_at")), batch_id)
 
     return run

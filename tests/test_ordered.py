@@ -129,6 +129,15 @@ def test_previous_reading(spark):
     assert got == sorted(want)
 
 
+def test_null_values_keep_their_place(spark):
+    rows = [("a", 1, 0, 5.0), ("a", 2, 1, None), ("a", 3, 2, 7.0), ("a", 40, 3, 8.0)]
+    df = spark.createDataFrame(rows, DDL)
+    before = anchors.with_previous_reading(df, "id", "ts", ["seq"], "level", slice_ms=30)
+    assert sorted((r.ts, r.anchor_value) for r in before.collect()) == [(2, 5.0), (3, None), (40, 7.0)]
+    lagged = skew.with_lags(df.drop("seq"), ["id"], "ts", "level", 2, slice_ms=30)
+    assert {r.ts: r.lags for r in lagged.collect()} == {1: [None, None], 2: [5.0, None], 3: [None, 5.0], 40: [7.0, None]}
+
+
 def _hannan_rissanen(x, p, q):
     """The same estimate by plain least squares."""
     y, order = np.diff(x), forecast.long_order(p, q)

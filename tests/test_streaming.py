@@ -7,13 +7,14 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from rigstream.operators import reshape
+from rigstream.operators import anchors, reshape
 from rigstream.plans import jobs
-from rigstream.schemas import PRIMARY_KEYS
+from rigstream.schemas import PRIMARY_KEYS, RIG
 from rigstream.sources.messages import from_kafka, read_messages, read_text
 from rigstream.sources.offsets import offsets_reached, starting_offsets
-from rigstream.sources.tables import KeyedTable
+from rigstream.sources.tables import KeyedTable, batch_base
 from rigstream.streaming import batches
+from rigstream.streaming.state import with_first_reading_stream
 
 FAR = 10_000_000
 
@@ -213,16 +214,17 @@ def test_keyed_table_replay_and_compaction(spark, tmp_path):
     want = [("0000000001", "GR", "x", 0.0), ("0000000001", "ROP", "8", 8.0), ("0000000002", "ROP", "7", 7.0)]
     assert state(table.read(spark)) == want
     again = jobs.depth_logs(read_messages(spark, folder)).where(F.col("offset") >= 2)
-    table.write_batch(again, 1)
+    base = batch_base(spark, str(tmp_path / "checkpoint"))
+    table.write_batch(again, base + 1)
     assert state(table.read(spark)) == want
-    assert state(table.read_before(spark, 1)) == [("0000000001", "ROP", "6", 6.0)]
-    assert table.read_before(spark, 0) is None
-    assert table.compact(spark) == 1 and table.compact(spark) == 1
+    assert state(table.read_before(spark, base + 1)) == [("0000000001", "ROP", "6", 6.0)]
+    assert table.read_before(spark, base) is None
+    assert table.compact(spark) == base + 1 and table.compact(spark) == base + 1
     assert state(table.read(spark)) == want
     wells = [(9, f"W{n}", "WB", "L", "ROP", "0000000009", 9.0, 1.0, "1") for n in range(2, 22)]
     newer = spark.createDataFrame(wells, again.schema)
-    table.write_batch(newer, 2)
-    assert len(state(table.read(spark))) == 23 and len(state(table.read_before(spark, 2))) == 3
+    table.write_batch(newer, base + 2)
+    assert len(state(table.read(spark))) == 23 and len(state(table.read_before(spark, base + 2))) == 3
     found = [len(state(table.read_bucket(spark, b))) for b in range(4)]
     assert sum(found) == 23 and min(found) > 0
 
@@ -238,6 +240,53 @@ def test_offset_ledger(spark, tmp_path):
     assert offsets_reached(messages, "G").count() == 3
 
 
+@pytest.mark.parametrize("compact", [False, True])
+def test_a_lost_checkpoint_loses_no_row(spark, tmp_path, monkeypatch, compact):
+    table = KeyedTable.named("depth_log", str(tmp_path / "tables"))
+    clock = iter([1_000, 2_000])
+    monkeypatch.setattr("rigstream.sources.tables.time.time", lambda: next(clock))
+    for run, records in enumerate([[_log("1", ROP="5"), _log("2", ROP="7")], [_log("1", ROP="6"), _log("3", ROP="9")]]):
+        folder = str(tmp_path / f"in{run}")
+        _store(spark, folder, records, files=1)
+        stream = jobs.depth_logs(read_messages(spark, folder, streaming=True))
+        jobs.start(stream, str(tmp_path / f"checkpoint{run}"), emit=batches.upsert_into(table)).awaitTermination()
+        if compact:
+            table.compact(spark)
+    found = {r.depthstring: r.value for r in table.read(spark).collect()}
+    assert found == {"0000000001": 6.0, "0000000002": 7.0, "0000000003": 9.0}
+
+
+def test_tables_and_ledger_before_the_first_row(spark, tmp_path):
+    ledger = KeyedTable.named("offsetmgr", str(tmp_path), order=("offsetid",))
+    assert ledger.read(spark).columns == ["topic_name", "group_id", "partition", "offsetid"]
+    assert starting_offsets(ledger.read(spark), "t", "G", range(2)) == "latest"
+    messages = spark.createDataFrame([("t", 1, 4)], "topic string, partition int, offset bigint")
+    run = batches.record_offsets(ledger, "G")
+    run(messages.limit(0), 0)
+    assert ledger.read(spark).collect() == []
+    run(messages, 1)
+    assert json.loads(starting_offsets(ledger.read(spark), "t", "G", range(3))) == {"t": {"0": -1, "1": 5, "2": -1}}
+    assert KeyedTable.named("well", str(tmp_path)).read(spark).collect() == []
+
+
+def test_readings_of_the_first_instant_are_kept_by_all_forms(spark, tmp_path):
+    levels = {"a": [(1, 3.0), (1, 3.0), (1, 5.0), (2, 4.0)], "b": [(7, 1.0)]}
+    rows = [(k, t, v, 9.0, 1.0, 0.0, 0, 0.0) for k, found in levels.items() for t, v in found]
+    readings = spark.createDataFrame(rows, ", ".join(f"{name} {kind}" for name, kind in RIG.items()))
+    want = [("a", 1, 3.0), ("a", 1, 5.0), ("a", 2, 4.0)]
+    pick = lambda df: sorted((r.id, r.ts, r.bitDepth) for r in df.collect())
+    assert pick(anchors.with_first_reading(readings)) == want
+    emitted = []
+    step = batches.rig_state_batches(batches.state_table(str(tmp_path / "state")), lambda df, n: emitted.extend(pick(df)))
+    step(readings, 0)
+    assert sorted(emitted) == want
+    readings.write.parquet(str(tmp_path / "in"))
+    stream = with_first_reading_stream(spark.readStream.schema(readings.schema).parquet(str(tmp_path / "in")), tie=["bitDepth"])
+    query = jobs.start(stream, str(tmp_path / "c"), name="first_instant")
+    query.awaitTermination()
+    assert pick(spark.table("first_instant")) == want
+
+
 def test_attribute_tables_and_ledger_in_one_stream(spark, tmp_path):
     folder, root = str(tmp_path / "in"), str(tmp_path / "tables")
     base = {"nameWell": "W", "nameWellbore": "B", "nameRig": "R", "timeZone": "UTC", "statusWell": "active"}
