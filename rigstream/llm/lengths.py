@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.types import LongType, StructField
 
 from rigstream.llm.common import map_rows, once
+from rigstream.session import materialised
 
 #: Lengths that one step of the suffix sums orders together.
 SPAN = 1024
@@ -50,6 +51,8 @@ def limits(hist: DataFrame) -> DataFrame:
     ``tokens_kept`` when every document is cut at the limit, ``share_fitting`` of the documents that
     need no cut. Between two lengths that occur, ``tokens_kept`` grows by ``docs_longer`` a step.
     """
+    # computed once, as rows and spans both come from it
+    hist = materialised(hist)
     rows = hist.withColumns({"tokens": F.col("length") * F.col("docs"), "_span": F.floor(F.col("length") / SPAN)})
     spans = rows.groupBy("_span").agg(F.sum("docs").alias("_d"), F.sum("tokens").alias("_t"))
     beyond = Window.orderBy(F.desc("_span")).rowsBetween(Window.unboundedPreceding, -1)
