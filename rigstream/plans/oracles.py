@@ -215,6 +215,11 @@ case when rop = 0 and tor = 0 then '"NaN"' when rop = 0 then '"Infinity"' else c
     sql["depth_log"] = depth_rows
     sql["upsert_latest"] = f"""select namewell, namewellbore, namelog, mnemonic, depthstring, arg_max(depth, (seq, value, value_str)) as depth,
 arg_max(value, (seq, value, value_str)) as value, arg_max(value_str, (seq, value, value_str)) as value_str, max(seq) as seq
+from ({_unpivot(DEPTH, DEPTH_CHANNELS, DEPTH_COLUMNS + ", seq")}) group by 1, 2, 3, 4, 5"""
+    # rows of the second checkpoint outrank those of the first, as their batches are later
+    sql["upsert_replayed"] = f"""select namewell, namewellbore, namelog, mnemonic, depthstring,
+arg_max(depth, (seq % 2, seq, value, value_str)) as depth, arg_max(value, (seq % 2, seq, value, value_str)) as value,
+arg_max(value_str, (seq % 2, seq, value, value_str)) as value_str, arg_max(seq, (seq % 2, seq, value, value_str)) as seq
 from ({_unpivot(DEPTH, DEPTH_CHANNELS, DEPTH_COLUMNS + ", seq")}) group by 1, 2, 3, 4, 5"""
     time_base = f"""select 'W'||user_id as namewell, 'WB1' as namewellbore, 'Log 1' as namelog, {STAMP.format(MS)} as ts,
 event_type, cast(value as varchar) as cv, json_extract_string(props, '$.k') as kv from events"""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -11,8 +12,9 @@ from rigstream.functions.payloads import flat_json
 from rigstream.operators import (
     aggregates, anchors, decode, energy, forecast, payload_tables, rate, reshape, routing,
 )
+from rigstream.session import ensure_checkpoint_dir
 from rigstream.sources.offsets import offsets_reached
-from rigstream.sources.tables import latest_rows
+from rigstream.sources.tables import BATCHES_PER_RUN, KeyedTable, latest_rows
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -278,6 +280,22 @@ def upsert_latest(spark, sf_dir):
     return latest_rows(rows, list(schemas.PRIMARY_KEYS["depth_log"]), order)
 
 
+@query
+def upsert_replayed(spark, sf_dir):
+    """The depth log through a stored table: two checkpoints' batches, each counted from 0, one replayed, one empty."""
+    rows = reshape.depth_log(_maps(fixtures.witsml_depth(spark, sf_dir)), keep=("seq",))
+    folder = f"{ensure_checkpoint_dir(spark)}/upsert-{uuid.uuid4().hex}"
+    table = KeyedTable.named("depth_log", folder, order=("seq", "value", "value_str"))
+    part = F.pmod(F.col("seq"), F.lit(2))
+    # the second checkpoint starts later and counts from 0 again
+    for base, mine in ((BATCHES_PER_RUN, 0), (2 * BATCHES_PER_RUN, 1)):
+        table.write_batch(rows.where(part == mine), base)
+        table.write_batch(rows.limit(0), base + 1)
+        table.compact(spark)
+        table.write_batch(rows.where(part == mine), base)
+    return table.read(spark)
+
+
 @query
 def offset_ledger(spark, sf_dir):
     return offsets_reached(fixtures.messages(spark, sf_dir), "TIMELOG")
