@@ -36,6 +36,15 @@ def _records(messages: DataFrame, fields: dict[str, str], zero_missing: bool = F
     return decode.decoded(decode.decode_record(blank_free, fields, zero_missing=zero_missing))
 
 
+def quarantine(messages: DataFrame, fields: dict[str, str], zero_missing: bool = False) -> DataFrame:
+    """The messages that a job over ``fields`` (such as ``schemas.RIG``) leaves out as undecodable.
+
+    Their text and the reason; blank messages are none. Run it as a second query over the same source.
+    """
+    known = decode.decode_record(decode.non_blank(messages), fields, zero_missing=zero_missing)
+    return decode.quarantined(known)
+
+
 def _maps(messages: DataFrame) -> DataFrame:
     return decode.non_empty_map(decode.decode_map(decode.non_empty(messages)))
 

@@ -29,6 +29,7 @@ s as (select *,
   case when hole-bit<-0.3048 then -1 when hole-bit<0.33 then 0 else 1 end as bob
   from p)"""
 
+# written from the slip test down, in another order than the operator's rules, to check them by a second form
 LABEL = """case when bit=-999.25 and hole=-999.25 then 'Depth Data Issue'
   when bit<=0 and bit<>-999.25 and hole>0 then 'Out of Hole'
   when pd=0 and ps=1 and td=-1 and bob=1 then 'Pumping'

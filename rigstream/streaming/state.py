@@ -3,7 +3,8 @@
 State per device is one reading. A processor sees a device's rows of one micro-batch, ordered
 here by time and tie, so bound the batch at the source (``maxOffsetsPerTrigger``,
 ``maxFilesPerTrigger``). For a stream in which one device dominates use
-``rigstream.streaming.batches``, which spreads its rows over the cluster.
+``rigstream.streaming.batches``, which spreads its rows over the cluster. Readings without a device
+id are left out, as in the batch operators.
 """
 
 from __future__ import annotations
@@ -103,7 +104,8 @@ def _stateful(grouped, processor: StatefulProcessor, schema: str, expires: bool
 def with_first_reading_stream(
     df: DataFrame, key: str = "id", ts: str = "ts", tie: list[str] | None = None, value: str = "bitDepth"
 ) -> DataFrame:
-    return _stateful(df.groupBy(key), FirstReading([ts, *(tie or [])], value), _with(df, "anchor_value double"))
+    known = df.where(F.col(key).isNotNull())
+    return _stateful(known.groupBy(key), FirstReading([ts, *(tie or [])], value), _with(df, "anchor_value double"))
 
 
 def with_moving_anchor_stream(
@@ -112,7 +114,8 @@ def with_moving_anchor_stream(
 ) -> DataFrame:
     processor = MovingAnchor(ts, [ts, *(tie or [])], value, min_ms, max_ms, ttl_ms)
     schema = _with(df, "anchor_ts bigint, anchor_value double")
-    return _stateful(df.groupBy(key), processor, schema, expires=ttl_ms is not None)
+    known = df.where(F.col(key).isNotNull())
+    return _stateful(known.groupBy(key), processor, schema, expires=ttl_ms is not None)
 
 
 def running_extrema_stream(extrema: DataFrame, keys: list[str] | None = None) -> DataFrame:

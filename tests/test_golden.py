@@ -7,6 +7,7 @@ from rigstream import schemas
 from rigstream.functions import drilling
 from rigstream.operators import aggregates, anchors, decode, payload_tables, rate
 
+# The golden cases below must hold as they stand.
 RIG_CASES = [
     (None, -999.25, -999.25, 200, 150, 0, 243, "Depth Data Issue"),
     (None, 0, 100, 200, 150, 0, 243, "Out of Hole"),

@@ -272,6 +272,7 @@ def test_tables_and_ledger_before_the_first_row(spark, tmp_path):
 def test_readings_of_the_first_instant_are_kept_by_all_forms(spark, tmp_path):
     levels = {"a": [(1, 3.0), (1, 3.0), (1, 5.0), (2, 4.0)], "b": [(7, 1.0)]}
     rows = [(k, t, v, 9.0, 1.0, 0.0, 0, 0.0) for k, found in levels.items() for t, v in found]
+    rows += [(None, t, 1.0, 9.0, 1.0, 0.0, 0, 0.0) for t in (1, 2)]
     readings = spark.createDataFrame(rows, ", ".join(f"{name} {kind}" for name, kind in RIG.items()))
     want = [("a", 1, 3.0), ("a", 1, 5.0), ("a", 2, 4.0)]
     pick = lambda df: sorted((r.id, r.ts, r.bitDepth) for r in df.collect())
@@ -287,6 +288,13 @@ def test_readings_of_the_first_instant_are_kept_by_all_forms(spark, tmp_path):
     assert pick(spark.table("first_instant")) == want
 
 
+def test_quarantine_holds_what_a_job_leaves_out(spark):
+    texts = ['{"id":"a","ts":1,"bitDepth":"x"}', '{"id":"a","ts":2}', "no json", ""]
+    messages = spark.createDataFrame([(t,) for t in texts], "value string")
+    bad = {r.value for r in jobs.quarantine(messages, RIG, zero_missing=True).collect()}
+    assert bad == {texts[0], texts[2]}
+
+
 def test_attribute_tables_and_ledger_in_one_stream(spark, tmp_path):
     folder, root = str(tmp_path / "in"), str(tmp_path / "tables")
     base = {"nameWell": "W", "nameWellbore": "B", "nameRig": "R", "timeZone": "UTC", "statusWell": "active"}
