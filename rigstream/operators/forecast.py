@@ -3,8 +3,9 @@
 Fitting follows Hannan and Rissanen: a long autoregression gives residuals, then the
 differences are regressed on their own lags and on the lagged residuals. Both steps need only
 sums of products per device, so the data is read by plain aggregates, and the equations that are
-solved are a few numbers per device. Coefficients therefore differ slightly from those of an
-iterative optimiser.
+solved are a few numbers per device, solved for a batch of devices at once. Coefficients
+therefore differ slightly from those of an iterative optimiser. A device whose equations have no
+single solution is forecast by its mean difference and marked.
 """
 
 from __future__ import annotations
@@ -16,8 +17,13 @@ from pyspark.sql.types import BooleanType
 
 from rigstream.operators.decode import computed_once
 from rigstream.operators.skew import join_per_key, one_per_instant, with_lags
+from rigstream.session import materialised
 
 FORECAST_STEPS = 5
+#: Scaled equations with a larger condition number count as having no single solution.
+MOST_CONDITION = 1e12
+#: Columns of a model beside its key.
+MODEL = ["n", "intercept", "ar", "ma", "long_ar", "mean_step", "status"]
 
 
 def long_order(p: int, q: int) -> int:
@@ -56,32 +62,40 @@ def _solver(width: int):
 
     @F.pandas_udf("array<double>")
     def solve(packed: pd.Series) -> pd.Series:
-        out = []
-        for sums in packed:
-            full = np.zeros((width, width))
-            full[rows, columns] = sums
-            full[columns, rows] = sums
-            left, right = full[:-1, :-1], full[:-1, -1]
-            scale = np.sqrt(np.diag(left))
-            if not np.isfinite(full).all() or (scale == 0).any():
-                out.append(None)
-                continue
-            scaled = left / np.outer(scale, scale)
-            if np.linalg.cond(scaled) > 1e12:
-                out.append(None)
-                continue
-            out.append(np.linalg.solve(scaled, right / scale) / scale)
+        out: list[list[float] | None] = [None] * len(packed)
+        if not out:
+            return pd.Series(out, dtype=object)
+        sums = np.array([[np.nan if x is None else x for x in row] for row in packed], dtype=float)
+        full = np.empty((len(packed), width, width))
+        full[:, rows, columns] = full[:, columns, rows] = sums
+        left, right = full[:, :-1, :-1], full[:, :-1, -1]
+        scale = np.sqrt(np.einsum("kii->ki", left))
+        at = np.nonzero(np.isfinite(sums).all(axis=1) & (scale > 0).all(axis=1))[0]
+        scale = scale[at]
+        scaled = left[at] / (scale[:, :, None] * scale[:, None, :])
+        regular = np.linalg.cond(scaled) < MOST_CONDITION
+        at, scale, scaled = at[regular], scale[regular], scaled[regular]
+        solved = np.linalg.solve(scaled, (right[at] / scale)[:, :, None])[:, :, 0] / scale
+        for i, beta in zip(at, solved):
+            out[i] = beta.tolist()
         return pd.Series(out)
 
     return solve
 
 
-def _regress(df: DataFrame, key: str, features: list[Column], into: str) -> DataFrame:
-    """Least-squares coefficients per key; ``features`` end with the target."""
-    enough = df.where(_all_known(features)).groupBy(key).agg(_products(features).alias("_sums"), F.count(F.lit(1)).alias("n"))
-    solvable = enough.where(F.col("n") >= len(features))
-    solved = computed_once(solvable, into, _solver(len(features))("_sums"))
-    return solved.drop("_sums").where(F.col(into).isNotNull())
+def _regress(df: DataFrame, key: str, features: list[Column], into: str, **more: Column) -> DataFrame:
+    """Least-squares coefficients of every key, null where they are not determined; ``features`` end with the target.
+
+    ``n`` counts the rows in which all features are known; ``more`` are further aggregates.
+    """
+    known = _all_known(features)
+    named = [F.col(f"_f{i}") for i in range(len(features))]
+    told = df.withColumns({f"_f{i}": F.when(known, feature) for i, feature in enumerate(features)})
+    count = F.count(named[-1]).alias("n")
+    sums = told.groupBy(key).agg(_products(named).alias("_sums"), count, *[c.alias(name) for name, c in more.items()])
+    enough = sums.withColumn("_sums", F.when(F.col("n") >= len(features), F.col("_sums")))
+    packed = F.coalesce("_sums", F.array(*[F.lit(None).cast("double")] * (len(features) * (len(features) + 1) // 2)))
+    return computed_once(enough, into, _solver(len(features))(packed)).drop("_sums")
 
 
 def _lag(k: int) -> Column:
@@ -97,24 +111,40 @@ def _residual(k: int, order: int) -> Column:
 
 
 def fit(lagged: DataFrame, key: str, p: int, q: int) -> DataFrame:
-    """One model per key: (key, n, intercept, ar, ma, long_ar). Keys without enough readings have none."""
-    ones = F.lit(1.0)
+    """One model for every key: (key, n, intercept, ar, ma, long_ar, mean_step, status).
+
+    ``status`` is ``fitted`` where the equations have one solution. Constant or exactly linear series,
+    and series too short, are modelled by their mean difference (``mean``), and a single
+    reading by no change (``level``); ``n`` counts the differences that the model rests on.
+    """
+    ones, nothing = F.lit(1.0), F.array().cast("array<double>")
+    means = {"mean_step": F.avg(_lag(0)), "_steps": F.count(_lag(0)), "_rows": F.count(F.lit(1))}
+    order = long_order(p, q)
     if not q:
-        plain = _regress(lagged, key, [ones, *[_lag(k) for k in range(1, p + 1)], _lag(0)], "_beta")
-        rows = plain.withColumn("long_ar", F.array().cast("array<double>"))
+        rows = _regress(lagged, key, [ones, *[_lag(k) for k in range(1, p + 1)], _lag(0)], "_beta", **means)
+        rows = rows.withColumn("long_ar", nothing)
     else:
-        order = long_order(p, q)
-        first = _regress(lagged, key, [ones, *[_lag(k) for k in range(1, order + 1)], _lag(0)], "long_ar")
-        with_long = join_per_key(lagged, first.withColumnRenamed("n", "_rows"), [key], "_rows")
+        plain = _regress(lagged, key, [ones, *[_lag(k) for k in range(1, order + 1)], _lag(0)], "long_ar", **means)
+        first = materialised(plain)
+        determined = first.where(F.col("long_ar").isNotNull()).select(key, "_rows", "long_ar")
+        with_long = join_per_key(lagged, determined, [key], "_rows")
         errors = [_residual(k, order) for k in range(1, q + 1)]
         features = [ones, *[_lag(k) for k in range(1, p + 1)], *errors, _lag(0)]
-        second = _regress(with_long, key, features, "_beta")
-        rows = second.join(first.drop("n"), key)
+        rows = first.drop("n").join(_regress(with_long, key, features, "_beta"), key, "left")
+    is_fitted, step = F.col("_beta").isNotNull(), F.coalesce("mean_step", F.lit(0.0))
+
+    def zeros(count: int) -> Column:
+        return F.array_repeat(F.lit(0.0), count)
+
     return rows.select(
-        key, "n", F.get("_beta", F.lit(0)).alias("intercept"),
-        F.slice("_beta", 2, p).alias("ar") if p else F.array().cast("array<double>").alias("ar"),
-        F.slice("_beta", p + 2, q).alias("ma") if q else F.array().cast("array<double>").alias("ma"),
-        "long_ar",
+        key,
+        F.when(is_fitted, F.col("n")).otherwise(F.col("_steps")).alias("n"),
+        F.when(is_fitted, F.get("_beta", F.lit(0))).otherwise(step).alias("intercept"),
+        (F.when(is_fitted, F.slice("_beta", 2, p)).otherwise(zeros(p)) if p else nothing).alias("ar"),
+        (F.when(is_fitted, F.slice("_beta", p + 2, q)).otherwise(zeros(q)) if q else nothing).alias("ma"),
+        (F.when(is_fitted, F.col("long_ar")).otherwise(F.concat(F.array(step), zeros(order))) if q else nothing).alias("long_ar"),
+        "mean_step",
+        F.when(is_fitted, "fitted").when(F.col("_steps") > 0, "mean").otherwise("level").alias("status"),
     )
 
 
@@ -140,13 +170,13 @@ def is_usable(models: DataFrame) -> DataFrame:
 
 
 def fit_or_reuse(lagged: DataFrame, stored: DataFrame, key: str, p: int, q: int) -> DataFrame:
-    """Keep stored models that are stationary and invertible; fit the other keys anew."""
-    columns = [key, "n", "intercept", "ar", "ma", "long_ar"]
-    good = is_usable(stored).where(F.col("stationary") & F.col("invertible")).select(*columns)
+    """Keep stored models that were fitted and are stationary and invertible; model the other keys anew."""
+    is_good = F.col("stationary") & F.col("invertible") & (F.col("status") == "fitted")
+    good = is_usable(stored).where(is_good).select(key, *MODEL)
     keys = lagged.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
     stale = keys.join(good, key, "left_anti")
     fresh = fit(join_per_key(lagged, stale, [key], "_rows"), key, p, q)
-    return good.join(keys, key, "left_semi").unionByName(fresh.select(*columns))
+    return good.join(keys, key, "left_semi").unionByName(fresh.select(key, *MODEL))
 
 
 def _predictor(p: int, q: int, steps: int):
@@ -154,28 +184,52 @@ def _predictor(p: int, q: int, steps: int):
 
     @F.pandas_udf("array<double>")
     def predict(level: pd.Series, diffs: pd.Series, intercept: pd.Series, ar: pd.Series, ma: pd.Series, long_ar: pd.Series) -> pd.Series:
-        out = []
-        for x, past, c, phi, theta, long in zip(level, diffs, intercept, ar, ma, long_ar):
-            past = np.asarray(past, dtype=float)
-            recent = list(past[:p])
-            errors = [past[k] - long[0] - np.dot(long[1:], past[k + 1 : k + 1 + order]) for k in range(q)]
-            path = []
-            for _ in range(steps):
-                step = c + np.dot(phi, recent) + np.dot(theta, errors)
-                x = x + step
-                path.append(x)
-                recent = ([step] + recent)[:p]
-                errors = ([0.0] + errors)[:q]
-            out.append(path)
-        return pd.Series(out)
+        if not len(level):
+            return pd.Series([], dtype=object)
+        # row k of these tables belongs to device k
+        x, past, c = level.to_numpy(float), np.array(diffs.tolist(), dtype=float), intercept.to_numpy(float)
+        phi, theta, long = (np.array(v.tolist(), dtype=float).reshape(len(x), -1) for v in (ar, ma, long_ar))
+        recent = past[:, :p]
+        errors = np.empty((len(x), q))
+        for k in range(q):
+            errors[:, k] = past[:, k] - long[:, 0] - (long[:, 1:] * past[:, k + 1 : k + 1 + order]).sum(axis=1)
+        path = np.empty((len(x), steps))
+        for i in range(steps):
+            step = c + (phi * recent).sum(axis=1) + (theta * errors).sum(axis=1)
+            x = x + step
+            path[:, i] = x
+            recent = np.column_stack([step, recent])[:, :p]
+            errors = np.column_stack([np.zeros(len(x)), errors])[:, :q]
+        return pd.Series(list(path))
 
     return predict
 
 
 def forecast(lagged: DataFrame, models: DataFrame, key: str, ts: str, value: str, p: int, q: int, steps: int = FORECAST_STEPS) -> DataFrame:
-    """The next ``steps`` values of each modelled key: (key, step, forecast)."""
+    """The next ``steps`` values of each modelled key with a known value: (key, step, forecast, status).
+
+    Where the last differences are not all known, the model's mean difference continues the series.
+    """
     needed = max(p, long_order(p, q) + q)
-    last = lagged.groupBy(key).agg(F.max_by(F.struct(F.col(value).alias("level"), "diffs"), ts).alias("last"))
-    ready = last.join(models, key).where(F.get("last.diffs", F.lit(needed - 1)).isNotNull()) if needed else last.join(models, key)
-    path = _predictor(p, q, steps)("last.level", "last.diffs", "intercept", "ar", "ma", "long_ar")
-    return ready.select(key, F.posexplode(path).alias("step", "forecast")).withColumn("step", F.col("step") + 1)
+    reading = F.struct(F.col(value).alias("level"), F.slice("diffs", 1, needed).alias("diffs") if needed else "diffs")
+    last = lagged.where(F.col(value).isNotNull()).groupBy(key).agg(F.max_by(reading, ts).alias("last"))
+    joined = last.join(models, key)
+    is_fitted = F.col("status") == "fitted"
+    if needed:
+        is_fitted = is_fitted & F.forall("last.diffs", lambda d: d.isNotNull())
+    step = F.coalesce("mean_step", F.lit(0.0))
+
+    def fallback(column: str, count: int) -> Column:
+        return F.when(is_fitted, F.col(column)).otherwise(F.array_repeat(F.lit(0.0), count))
+
+    ready = joined.select(
+        key, "last.level", F.transform("last.diffs", lambda d: F.coalesce(d, F.lit(0.0))).alias("diffs"),
+        F.when(is_fitted, F.col("intercept")).otherwise(step).alias("intercept"),
+        fallback("ar", p).alias("ar"), fallback("ma", q).alias("ma"),
+        fallback("long_ar", long_order(p, q) + 1 if q else 0).alias("long_ar"),
+        F.when(is_fitted, "fitted").when(F.col("mean_step").isNotNull(), "mean").otherwise("level").alias("status"),
+    )
+    path = _predictor(p, q, steps)("level", "diffs", "intercept", "ar", "ma", "long_ar")
+    return ready.select(key, "status", F.posexplode(path).alias("step", "forecast")).select(
+        key, (F.col("step") + 1).alias("step"), "forecast", "status"
+    )

@@ -41,8 +41,11 @@ def has_attributes(df: DataFrame, *defined: str, column: str = "cs", **equal: st
 
 def requires_channels(df: DataFrame, *channels: str) -> DataFrame:
     """Keep messages that carry every one of ``channels``."""
-    tests = [F.size(_tags_named(channel)) > 0 for channel in channels]
-    return df.where(reduce(lambda a, b: a & b, tests))
+    return df.where(_carries(channels))
+
+
+def _carries(channels: tuple[str, ...]) -> Column:
+    return reduce(lambda a, b: a & b, [F.size(_tags_named(channel)) > 0 for channel in channels])
 
 
 def _tags_named(name: str) -> Column:
@@ -182,34 +185,66 @@ def trajectory_records(df: DataFrame) -> DataFrame:
     return rows.where(F.col("_tag.key").contains(TRAJECTORY_MARK)).withColumn("value", F.col("_tag.value")).drop("_tag")
 
 
-def device_records(df: DataFrame, id_value: Column, id_field: str, *channels: str) -> DataFrame:
-    """A flat device record of ``channels``, stamped with the first channel's time."""
-    picked = requires_channels(df, *channels)
+def _json_text(text: Column) -> Column:
+    """``text`` as a JSON string literal; null stays null."""
+    return F.when(text.isNotNull(), F.regexp_extract(F.to_json(F.struct(text.alias("v"))), r'(?s)^\{"v":(.*)\}$', 1))
+
+
+def _device_value(id_value: Column, id_field: str, channels: tuple[str, ...], quoted: bool) -> Column:
+    """A flat device record of ``channels`` as JSON, stamped with the first channel's time.
+
+    Readings go out bare, as they came, or as text if ``quoted``. A missing id or value leaves its field out.
+    """
     found = {channel: F.try_element_at(_tags_named(channel), F.lit(-1)) for channel in channels}
-    parts = [id_value.alias(id_field), found[channels[0]]["ts"].cast("string").alias("ts")]
-    parts += [tag["value"].alias(name) for name, tag in found.items()]
-    return picked.withColumn("value", F.to_json(F.struct(*parts)))
+    fields = {id_field: _json_text(id_value), "ts": _json_text(found[channels[0]]["ts"].cast("string"))}
+    fields |= {name: _json_text(tag["value"]) if quoted else tag["value"] for name, tag in found.items()}
+    written = [F.concat(F.lit(f'"{name}":'), value) for name, value in fields.items()]
+    return F.concat(F.lit("{"), F.concat_ws(",", *written), F.lit("}"))
+
+
+def _device_topics() -> dict[str, tuple[Column, Column, str, tuple[str, ...], bool]]:
+    """Per topic: which messages go there, the device's id and its field, the channels, whether readings are quoted."""
+    is_tank = F.element_at("cs", "tankId").isNotNull() & (F.element_at("cs", "deviceType") == "WaterTank")
+    is_bit, is_default = F.col("deviceType") == "DrillBit", F.col("deviceType") == "default"
+    rig = ("bitDepth", "holeDepth", "totalPumpOutput", "rotaryRpm", "inSlipStatus", "standpipePressure")
+    return {
+        "tank": (is_tank, F.element_at("cs", "tankId"), "tankId", ("waterTankLevel",), True),
+        "rpm": (is_bit, F.element_at("ss", "id"), "id", ("currentRpm",), False),
+        "block": (is_default, F.element_at("ss", "deviceName"), "id", ("blockPosition",), False),
+        "rig": (is_default, F.col("deviceName"), "id", rig, False),
+    }
+
+
+def device_records(df: DataFrame, *topics: str) -> DataFrame:
+    """The records of device telemetry for ``topics`` (by default all), in one pass; adds ``topic`` and ``value``.
+
+    A message that serves several topics gives a row for each.
+    """
+    made = []
+    for topic, (chosen, id_value, id_field, channels, quoted) in _device_topics().items():
+        if not topics or topic in topics:
+            value = _device_value(id_value, id_field, channels, quoted)
+            record = F.struct(F.lit(topic).alias("topic"), value.alias("value"))
+            made.append(F.when(chosen & _carries(channels), record))
+    listed = F.filter(F.array(*made), lambda record: record.isNotNull())
+    kept = [c for c in df.columns if c not in ("topic", "value")]
+    return message_types(df, TELEMETRY).select(*kept, F.inline(listed))
 
 
 def tank_records(df: DataFrame) -> DataFrame:
-    tanks = has_attributes(message_types(df, TELEMETRY), "tankId", deviceType="WaterTank")
-    return device_records(tanks, F.element_at("cs", "tankId"), "tankId", "waterTankLevel")
+    return device_records(df, "tank").drop("topic")
 
 
 def rpm_records(df: DataFrame) -> DataFrame:
-    bits = device_types(message_types(df, TELEMETRY), "DrillBit")
-    return device_records(bits, F.element_at("ss", "id"), "id", "currentRpm")
+    return device_records(df, "rpm").drop("topic")
 
 
 def block_records(df: DataFrame) -> DataFrame:
-    blocks = device_types(message_types(df, TELEMETRY), "default")
-    return device_records(blocks, F.element_at("ss", "deviceName"), "id", "blockPosition")
+    return device_records(df, "block").drop("topic")
 
 
 def rig_records(df: DataFrame) -> DataFrame:
-    rigs = device_types(message_types(df, TELEMETRY), "default")
-    channels = ("bitDepth", "holeDepth", "totalPumpOutput", "rotaryRpm", "inSlipStatus", "standpipePressure")
-    return device_records(rigs, F.col("deviceName"), "id", *channels)
+    return device_records(df, "rig").drop("topic")
 
 
 def retained(df: DataFrame, as_of_millis: int, ts: str = "ts", days: int = RETENTION_DAYS) -> DataFrame:

@@ -155,6 +155,63 @@ def _logs(kind: str, hint: str, at: str, skipped: str) -> str:
     return f"with t as ({TAGS})\n" + "\nunion all\n".join(rows)
 
 
+def _least_squares(name: str, source: str, features: list[str], target: str) -> str:
+    """CTEs that solve normal equations per tank by elimination; ``name`` holds n and the coefficients b0, b1, ..."""
+    width = len(features)
+    columns = [*features, target]
+    pairs = [(i, j) for i in range(width) for j in range(i, width + 1)]
+    known = " and ".join(f"{c} is not null" for c in columns)
+    sums = ", ".join(f"sum({columns[i]} * {columns[j]}) as a{i}_{j}" for i, j in pairs)
+    steps = [f"{name}_0 as (select tankId, count(*) as n, {sums} from {source} where {known} group by tankId having count(*) > {width})"]
+    for m in range(width - 1):
+        cells = [
+            f"a{i}_{j} - a{m}_{i} * a{m}_{j} / a{m}_{m} as a{i}_{j}" if i > m else f"a{i}_{j}" for i, j in pairs
+        ]
+        steps.append(f"{name}_{m + 1} as (select tankId, n, {', '.join(cells)} from {name}_{m})")
+    solved = []
+    for i in reversed(range(width)):
+        known_part = "".join(f" - a{i}_{j} * b{j}" for j in range(i + 1, width))
+        solved.append(f"(a{i}_{width}{known_part}) / a{i}_{i} as b{i}")
+    steps.append(f"{name} as (select tankId, n, {', '.join(solved)} from {name}_{width - 1})")
+    return ",\n".join(steps)
+
+
+def _arima(prefix: str, readings: str) -> str:
+    """CTEs of the models with one lag and two errors, fitted on ``readings``; the table ``<prefix>_m`` holds them."""
+    long, errors = _least_squares(f"{prefix}_long", readings, ["1", *[f"y{k}" for k in range(1, 6)]], "y0"), []
+    for k in range(3):
+        guess = " + ".join(f"b{i} * y{k + i}" for i in range(1, 6))
+        errors.append(f"y{k} - (b0 + {guess}) as e{k}")
+    own = _least_squares(f"{prefix}_own", f"{prefix}_e", ["1", "y1", "e1", "e2"], "y0")
+    return f"""{long},
+{prefix}_e as (select r.*, {', '.join(errors)} from {readings} r join {prefix}_long using (tankId)),
+{own},
+{prefix}_m as (select tankId, case when b0 is null then steps else n end as n, coalesce(b0, mean, 0) as c, coalesce(b1, 0) as phi,
+  coalesce(b2, 0) as t1, coalesce(b3, 0) as t2, case when b0 is not null then 'fitted' when steps > 0 then 'mean' else 'level' end as status
+  from (select tankId, avg(y0) as mean, count(y0) as steps from {readings} group by tankId) left join {prefix}_own using (tankId))"""
+
+
+LAGS = ", ".join(f"lag(y0, {k}) over w as y{k}" for k in range(1, 8))
+SERIES = f"""with recursive t as ({TANK}),
+d as (select tankId, ts, level, level - lag(level) over (partition by tankId order by ts) as y0 from t),
+l as (select *, {LAGS} from d window w as (partition by tankId order by ts))"""
+STATIONARY, INVERTIBLE = "abs(phi) < 1", "(abs(t2) < 1 and t1 + t2 > -1 and t2 - t1 > -1)"
+
+
+def _path(models: str, long: str) -> str:
+    """The CTE ``f`` that carries the five steps on from each tank's last reading."""
+    errors = []
+    for k in range(2):
+        guess = " + ".join(f"b{i} * y{k + i}" for i in range(1, 6))
+        errors.append(f"coalesce(y{k} - (b0 + {guess}), 0) as e{k}")
+    return f"""z as (select * from l qualify row_number() over (partition by tankId order by ts desc) = 1),
+f as (select tankId, 0 as step, level as x, y0 as y, {', '.join(errors)}, c, phi, t1, t2, status
+    from z join {models} using (tankId) left join {long} using (tankId)
+  union all select tankId, step + 1, x + s, s, 0, e0, c, phi, t1, t2, status
+    from (select *, c + phi * y + t1 * e0 + t2 * e1 as s from f where step < 5))
+select tankId, cast(step as bigint) as step, round(x, 6) as forecast, status from f where step > 0"""
+
+
 def oracle_sql() -> dict[str, str]:
     sql: dict[str, str] = {}
     sql["rig_state"] = f"{RIG_FIRST} select {RIG_COLUMNS}, {LABEL} as RIGSTATE from s"
@@ -283,8 +340,8 @@ from t where msg = 'POST_TELEMETRY_DEPTH' and user_id % 5 <> 0"""
     sql["route_device"] = f"""with t as (select * from ({TAGS}) where msg = 'POST_TELEMETRY')
 select 'tank' as topic, event_id, '{{"tankId":"'||user_id||'","ts":"'||ts||'","waterTankLevel":"'||v||'"}}' as value from t
 where user_id % 3 = 0 and user_id % 2 = 0
-union all select 'rpm', event_id, '{{"id":"bit'||user_id||'","ts":"'||ts||'","currentRpm":"'||v||'"}}' from t where user_id % 3 = 1
-union all select 'block', event_id, '{{"id":"dev'||user_id||'","ts":"'||ts||'","blockPosition":"'||v||'"}}' from t where user_id % 3 = 2"""
+union all select 'rpm', event_id, '{{"id":"bit'||user_id||'","ts":"'||ts||'","currentRpm":'||v||'}}' from t where user_id % 3 = 1
+union all select 'block', event_id, '{{"id":"dev'||user_id||'","ts":"'||ts||'","blockPosition":'||v||'}}' from t where user_id % 3 = 2"""
     sql["route_rig"] = f"""select id, ts, bit as bitDepth, hole as holeDepth, pump as totalPumpOutput, rpm as rotaryRpm,
 slip as inSlipStatus, pressure as standpipePressure from ({RIG}) where pump > 0"""
     sql["retention"] = (
@@ -306,5 +363,20 @@ m as (select tankId, regr_slope(y, y1) as phi, regr_intercept(y, y1) as c, arg_m
   from l group by tankId having count(y1) >= 3),
 f as (select tankId, 0 as step, x, y, phi, c from m
   union all select tankId, step + 1, x + c + phi * y, c + phi * y, phi, c from f where step < 5)
-select tankId, cast(step as bigint) as step, round(x, 6) as forecast from f where step > 0"""
+select tankId, cast(step as bigint) as step, round(x, 6) as forecast, 'fitted' as status from f where step > 0"""
+    sql["arima_forecast"] = f"{SERIES},\n{_arima('a', 'l')},\n{_path('a_m', 'a_long')}"
+    sql["arima_models"] = f"""{SERIES},
+{_arima('a', 'l')}
+select tankId, n, round(c, 8) as intercept, round(phi, 8) as ar1, round(t1, 8) as ma1, round(t2, 8) as ma2, status,
+{STATIONARY} as stationary, {INVERTIBLE} as invertible from a_m"""
+    chosen = f"status = 'fitted' and {STATIONARY} and {INVERTIBLE}"
+    sql["arima_reuse"] = f"""{SERIES},
+early as (select * from l where ts < 1705795200000),
+{_arima('o', 'early')},
+{_arima('a', 'l')},
+m as (select *, {chosen} as kept from o_m where {chosen} union all select *, false from a_m where tankId not in (select tankId from o_m where {chosen})),
+g as (select tankId, coalesce(o.b0, a.b0) as b0, {', '.join(f"coalesce(o.b{i}, a.b{i}) as b{i}" for i in range(1, 6))}
+  from (select * from o_long where tankId in (select tankId from m where kept)) o full join
+  (select * from a_long where tankId not in (select tankId from m where kept)) a using (tankId)),
+{_path('m', 'g')}"""
     return sql

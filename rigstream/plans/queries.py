@@ -25,6 +25,7 @@ BLOCK_MAX_MS = 14_400_000
 TANK_LIMIT = 60.0
 AS_OF = "2024-02-01 00:00:00"
 RETENTION_AS_OF_MS = 1_737_331_200_000
+REUSE_BEFORE_MS = 1_705_795_200_000
 DIGITS = 8
 
 _REGISTRY: dict[str, Query] = {}
@@ -392,13 +393,8 @@ def route_trajectory(spark, sf_dir):
 
 @query
 def route_device(spark, sf_dir):
-    raw = fixtures.envelopes(spark, sf_dir)
-    parts = {"tank": routing.tank_records(raw), "rpm": routing.rpm_records(raw), "block": routing.block_records(raw)}
-    rows = None
-    for topic, records in parts.items():
-        part = records.select(F.lit(topic).alias("topic"), "event_id", "value")
-        rows = part if rows is None else rows.unionByName(part)
-    return rows
+    records = routing.device_records(fixtures.envelopes(spark, sf_dir), "tank", "rpm", "block")
+    return records.select("topic", "event_id", "value")
 
 
 @query
@@ -410,6 +406,7 @@ def route_rig(spark, sf_dir):
     tags = F.array(*[F.struct(F.lit(c).alias("key"), v.alias("value"), "ts") for c, v in sent.items()])
     raw = fixtures.rig(spark, sf_dir).select(
         F.lit(routing.TELEMETRY).alias("msgType"), F.lit("default").alias("deviceType"), F.col("id").alias("deviceName"),
+        F.expr("map('', '')").alias("cs"), F.expr("map('', '')").alias("ss"),
         F.filter(tags, lambda tag: tag["value"].isNotNull()).alias("tags"),
     )
     decoded = decode.decoded(decode.decode_record(routing.rig_records(raw), schemas.RIG))
@@ -456,23 +453,42 @@ def flat_payload(spark, sf_dir):
 # ------------------------------------------------------------------ forecasts
 
 
+def _tank_series(spark, sf_dir, p, q):
+    return forecast.lagged_series(fixtures.tank(spark, sf_dir), "tankId", "ts", "waterTankLevel", p, q, 5 * DAY_MS)
+
+
+def _tank_path(lagged, models, p, q):
+    path = forecast.forecast(lagged, models, "tankId", "ts", "waterTankLevel", p, q)
+    return path.select("tankId", F.col("step").cast("bigint").alias("step"), F.round("forecast", 6).alias("forecast"), "status")
+
+
 @query
 def ar1_forecast(spark, sf_dir):
-    lagged = forecast.lagged_series(fixtures.tank(spark, sf_dir), "tankId", "ts", "waterTankLevel", 1, 0, 5 * DAY_MS)
-    models = forecast.fit(lagged, "tankId", 1, 0)
-    path = forecast.forecast(lagged, models, "tankId", "ts", "waterTankLevel", 1, 0)
-    return path.select("tankId", F.col("step").cast("bigint").alias("step"), F.round("forecast", 6).alias("forecast"))
+    lagged = _tank_series(spark, sf_dir, 1, 0)
+    return _tank_path(lagged, forecast.fit(lagged, "tankId", 1, 0), 1, 0)
 
 
 @query
 def arima_forecast(spark, sf_dir):
-    lagged = forecast.lagged_series(fixtures.tank(spark, sf_dir), "tankId", "ts", "waterTankLevel", 1, 2, 5 * DAY_MS)
-    models = forecast.fit(lagged, "tankId", 1, 2)
-    return forecast.forecast(lagged, models, "tankId", "ts", "waterTankLevel", 1, 2)
+    lagged = _tank_series(spark, sf_dir, 1, 2)
+    return _tank_path(lagged, forecast.fit(lagged, "tankId", 1, 2), 1, 2)
 
 
 @query
 def arima_models(spark, sf_dir):
-    lagged = forecast.lagged_series(fixtures.tank(spark, sf_dir), "tankId", "ts", "waterTankLevel", 1, 2, 5 * DAY_MS)
+    lagged = _tank_series(spark, sf_dir, 1, 2)
     usable = forecast.is_usable(forecast.fit(lagged, "tankId", 1, 2))
-    return usable.select("tankId", "n", "intercept", "stationary", "invertible")
+    return usable.select(
+        "tankId", "n", _round("intercept"), F.round(F.get("ar", F.lit(0)), DIGITS).alias("ar1"),
+        F.round(F.get("ma", F.lit(0)), DIGITS).alias("ma1"), F.round(F.get("ma", F.lit(1)), DIGITS).alias("ma2"),
+        "status", "stationary", "invertible",
+    )
+
+
+@query
+def arima_reuse(spark, sf_dir):
+    """Models fitted on the readings of the first 20 days are kept where they still serve, then forecast all readings."""
+    lagged = _tank_series(spark, sf_dir, 1, 2)
+    early = lagged.where(F.col("ts") < F.lit(REUSE_BEFORE_MS))
+    stored = forecast.fit(early, "tankId", 1, 2)
+    return _tank_path(lagged, forecast.fit_or_reuse(lagged, stored, "tankId", 1, 2), 1, 2)

@@ -89,7 +89,28 @@ def test_envelope_filters(spark):
     assert routing.has_attributes(rows, "a").count() == 1 and routing.has_attributes(rows, a="2").count() == 0
     assert routing.requires_channels(rows, "x", "blockPosition").count() == 1
     assert routing.requires_channels(rows, "x", "y").count() == 0
-    assert [r.value for r in routing.block_records(rows).collect()] == ['{"id":"D","ts":"5","blockPosition":"1"}']
+    assert [r.value for r in routing.block_records(rows).collect()] == ['{"id":"D","ts":"5","blockPosition":1}']
+
+
+def test_device_records_of_all_topics(spark):
+    rig = [(c, str(i), 9, None) for i, c in enumerate(["bitDepth", "holeDepth", "totalPumpOutput", "rotaryRpm", "inSlipStatus"])]
+    tags = [("blockPosition", "1.5", 5, None), ("blockPosition", "2.50", 6, None), *rig, ("standpipePressure", None, 9, None)]
+    tank = {"tankId": 'T"\\\n', "deviceType": "WaterTank"}
+    rows = spark.createDataFrame(
+        [
+            ("POST_TELEMETRY", "d}", "default", {}, {"deviceName": "D"}, tags),
+            ("POST_TELEMETRY", "d", "DrillBit", tank, {}, [("waterTankLevel", "7", 1, None), ("currentRpm", "8", 2, None)]),
+            ("POST_ATTRIBUTES", "d", "default", {}, {"deviceName": "D"}, tags),
+            ("POST_TELEMETRY", None, None, None, None, None),
+        ],
+        schemas.ENVELOPE_DDL,
+    )
+    assert {(r.topic, r.value) for r in routing.device_records(rows).collect()} == {
+        ("block", '{"id":"D","ts":"6","blockPosition":2.50}'),
+        ("rig", '{"id":"d}","ts":"9","bitDepth":0,"holeDepth":1,"totalPumpOutput":2,"rotaryRpm":3,"inSlipStatus":4}'),
+        ("tank", '{"tankId":"T\\"\\\\\\n","ts":"1","waterTankLevel":"7"}'),
+        ("rpm", '{"ts":"2","currentRpm":8}'),
+    }
 
 
 def test_retention(spark):

@@ -174,7 +174,7 @@ def test_arima(spark):
     lagged = forecast.lagged_series(df, "id", "ts", "level", 1, 2, slice_ms=900)
     models = forecast.fit(lagged, "id", 1, 2).cache()
     fitted = {r.id: np.array([r.intercept, *r.ar, *r.ma]) for r in models.collect()}
-    assert set(fitted) == {"a", "b"}
+    assert set(fitted) == {"a", "b", "short"} and fitted["short"] == pytest.approx([0, 0, 0, 0])
     paths = {}
     for r in forecast.forecast(lagged, models, "id", "ts", "level", 1, 2).collect():
         paths.setdefault(r.id, {})[r.step] = r.forecast
@@ -185,9 +185,32 @@ def test_arima(spark):
         assert abs(fitted[key][1] - 0.6) < 0.3
 
     usable = {r.id: (r.stationary, r.invertible) for r in forecast.is_usable(models).collect()}
-    assert usable == {"a": (True, True), "b": (True, True)}
+    assert usable == {"a": (True, True), "b": (True, True), "short": (True, True)}
     # a stored explosive model is fitted anew, a good one is kept as it is
     stored = models.withColumn("ar", F.when(F.col("id") == "a", F.array(F.lit(1.5))).otherwise(F.col("ar"))).withColumn("n", F.lit(-1).cast("bigint"))
     renewed = {r.id: (r.n, list(r.ar)) for r in forecast.fit_or_reuse(lagged, stored, "id", 1, 2).collect()}
     assert renewed["b"][0] == -1 and renewed["a"][0] > 0
     assert renewed["a"][1] == pytest.approx([fitted["a"][1]])
+
+
+@pytest.mark.parametrize("p, q", [(1, 0), (1, 2), (0, 0), (2, 1)])
+def test_every_device_with_a_value_gets_a_forecast(spark, p, q):
+    draw = np.random.default_rng(5)
+    series = {
+        "idle": [7.0] * 40, "rising": [2.0 + 3.0 * i for i in range(40)], "pair": [1.0, 2.5], "single": [4.0],
+        "free": draw.normal(size=40).tolist(), "gap": [*draw.normal(size=38).tolist(), None, 6.0], "empty": [None, None],
+    }
+    df = spark.createDataFrame([(k, i * 100, i, v) for k, s in series.items() for i, v in enumerate(s)], DDL)
+    lagged = forecast.lagged_series(df, "id", "ts", "level", p, q, slice_ms=900)
+    models = forecast.fit(lagged, "id", p, q)
+    assert {r.id for r in models.collect()} == set(series)
+    found = {(r.id, r.step): (r.forecast, r.status) for r in forecast.forecast(lagged, models, "id", "ts", "level", p, q).collect()}
+    assert {i for i, _ in found} == set(series) - {"empty"}
+    for step in range(1, 6):
+        assert found["idle", step][0] == pytest.approx(7.0)
+        assert found["rising", step][0] == pytest.approx(119.0 + 3.0 * step)
+        assert found["pair", step][0] == pytest.approx(2.5 + 1.5 * step)
+        assert found["single", step] == (4.0, "level")
+        assert found["free", step][1] == "fitted"
+        assert np.isfinite(found["gap", step][0])
+    assert forecast.forecast(lagged.limit(0), models, "id", "ts", "level", p, q).collect() == []
