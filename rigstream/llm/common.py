@@ -17,7 +17,7 @@ T = TypeVar("T")
 #: Fixed values of the contracts: words are what stands between these characters.
 WORD = r"[^\x20\x09-\x0D]+"
 #: Characters of text that one step inside a task holds at once.
-STEP_CHARS = 1_000_000
+STEP_CHARS = 250_000
 #: A table goes to every task up to this size.
 BROADCAST_BYTES = 48 * 1024 * 1024
 
