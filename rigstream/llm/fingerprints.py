@@ -6,12 +6,15 @@ words alone, so equal passages choose equal anchors at equal distances, whatever
 A fingerprint is the list of the SIZE smallest distinct anchor hashes, and the likeness of two is the
 Jaccard likeness of the anchor sets as those lists estimate it (exactly, if the sets are that small).
 
-A text of fewer than K words has its words as anchors. Null and empty texts, and texts of white space,
-have no anchors and an empty fingerprint; two such are alike (1), one such and another are not (0).
+A text without a chosen k-mer has its words as anchors; that are all of fewer than K words and some of
+up to 2 * K - S - 2. Null and empty texts, and texts of white space, have no anchors and an empty
+fingerprint; two such are alike (1), one such and another are not (0).
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from rigstream.llm.common import WORD, let
@@ -57,16 +60,27 @@ def anchors(text: Column, k: int = K, s: int = S) -> Column:
         made = lambda h: _chosen(h, k, s, lambda i: F.struct(i.alias("pos"), _hash(h, i, k, s).alias("hash")))
         return let(_inner(words, s), made)
 
-    return let(_words(text), lambda w: F.when(F.size(w) < k, short(w)).otherwise(long(w)))
+    return _or_words(text, k, short, long)
 
 
 def sketch(text: Column, k: int = K, s: int = S, size: int = SIZE) -> Column:
     """The smallest distinct anchor hashes of a text, in order."""
-    def hashes(words: Column) -> Column:
-        long = let(_inner(words, s), lambda h: _chosen(h, k, s, lambda i: _hash(h, i, k, s)))
-        return F.when(F.size(words) < k, F.transform(words, lambda w: F.xxhash64(w))).otherwise(long)
+    def short(words: Column) -> Column:
+        return F.transform(words, lambda w: F.xxhash64(w))
+
+    def long(words: Column) -> Column:
+        return let(_inner(words, s), lambda h: _chosen(h, k, s, lambda i: _hash(h, i, k, s)))
+
+    return F.slice(F.sort_array(F.array_distinct(_or_words(text, k, short, long))), 1, size)
+
+
+def _or_words(text: Column, k: int, short: Callable[[Column], Column], long: Callable[[Column], Column]) -> Column:
+    """``long`` of the words of a text, or ``short`` of them if there are fewer than ``k`` or nothing was chosen."""
+    def either(words: Column) -> Column:
+        found = lambda chosen: F.when(F.size(chosen) == 0, short(words)).otherwise(chosen)
+        return F.when(F.size(words) < k, short(words)).otherwise(let(long(words), found))
 
-    return F.slice(F.sort_array(F.array_distinct(let(_words(text), hashes))), 1, size)
+    return let(_words(text), either)
 
 
 def _words(text: Column) -> Column:

@@ -217,6 +217,16 @@ def test_anchors_do_not_depend_on_what_stands_around(spark):
     assert inside[0] == inside[1] and inside[0]
 
 
+def test_texts_with_words_have_anchors(spark):
+    draw = random.Random(12)
+    texts = [" ".join("w%d" % draw.randrange(10**6) for _ in range(n)) for n in (1, 4, 5, 5, 5, 6, 6, 6, 7, 8) for _ in range(6)]
+    docs = spark.createDataFrame([*enumerate(texts)], "doc_id long, text string")
+    for row in docs.select("text", fingerprints.anchors(F.col("text")).alias("a")).collect():
+        assert row.a, row.text
+    for row in fingerprints.edited_fingerprints(docs).collect():
+        assert row.fingerprint and row.edited_fingerprint and row.near_next == 0
+
+
 def test_top_k_equals_brute_force(spark):
     draw = np.random.default_rng(5)
     known = {i: np.round(draw.normal(size=6), 1).tolist() for i in range(300)}
