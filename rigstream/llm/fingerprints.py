@@ -3,8 +3,9 @@
 A k-mer is K consecutive words. Its inner substrings are S words long; it is chosen if the smallest
 hash among them is that of the first or the last one. Whether a k-mer is chosen depends on its own
 words alone, so equal passages choose equal anchors at equal distances, whatever stands around them.
-A fingerprint is the list of the SIZE smallest distinct anchor hashes, and the likeness of two is the
-Jaccard likeness of the anchor sets as those lists estimate it (exactly, if the sets are that small).
+A fingerprint is the list of all anchors with their positions, so it grows with the text. The likeness
+of two is the Jaccard likeness of all their anchors, which meet by hash and by the distance from the
+anchor before: a passage meets its copy elsewhere but for the copy's first anchor.
 
 A text without a chosen k-mer has its words as anchors; that are all of fewer than K words and some of
 up to 2 * K - S - 2. Null and empty texts, and texts of white space, have no anchors and an empty
@@ -20,7 +21,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from rigstream.llm.common import WORD, let
 
 K, S = 5, 2
-SIZE = 64
 #: Documents that are put in order together, and the most slices they are cut into; at that number
 #: slices grow instead, and are sorted on disk.
 SLICE, SLICES = 2_000, 4_096
@@ -63,17 +63,6 @@ def anchors(text: Column, k: int = K, s: int = S) -> Column:
     return _or_words(text, k, short, long)
 
 
-def sketch(text: Column, k: int = K, s: int = S, size: int = SIZE) -> Column:
-    """The smallest distinct anchor hashes of a text, in order."""
-    def short(words: Column) -> Column:
-        return F.transform(words, lambda w: F.xxhash64(w))
-
-    def long(words: Column) -> Column:
-        return let(_inner(words, s), lambda h: _chosen(h, k, s, lambda i: _hash(h, i, k, s)))
-
-    return F.slice(F.sort_array(F.array_distinct(_or_words(text, k, short, long))), 1, size)
-
-
 def _or_words(text: Column, k: int, short: Callable[[Column], Column], long: Callable[[Column], Column]) -> Column:
     """``long`` of the words of a text, or ``short`` of them if there are fewer than ``k`` or nothing was chosen."""
     def either(words: Column) -> Column:
@@ -87,17 +76,48 @@ def _words(text: Column) -> Column:
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(WORD), F.lit(0))
 
 
-def likeness(a: Column, b: Column, size: int = SIZE) -> Column:
-    """Estimated Jaccard likeness of two sketches."""
+def _placed(found: Column) -> Column:
+    """A hash of each anchor and of its distance from the anchor before it, or from the text's begin."""
+    def at(x: Column, i: Column) -> Column:
+        before = F.when(i == 0, F.lit(-1)).otherwise(F.get(found, i - 1)["pos"])
+        return F.xxhash64(x["hash"], x["pos"] - before)
+
+    return F.transform(found, at)
+
+
+def likeness(a: Column, b: Column) -> Column:
+    """Jaccard likeness of two texts' anchors, each met with its distance from the one before it.
+
+    Anchors that occur several times count so often. It is 1 for equal anchors at equal places alone:
+    the same anchors in another order count as if one were not met.
+    """
+    def sided(placed: Column, side: int) -> Column:
+        return F.transform(placed, lambda h: F.shiftleft(h, 1) + F.lit(side))
+
+    def meet(state: Column, x: Column) -> Column:
+        h = F.shiftright(x, 1)
+        open_ = F.when(state["h"] == h, state["open"]).otherwise(F.lit(0))
+        second = F.pmod(x, F.lit(2)) == 1
+        met = second & (open_ > 0)
+        return F.struct(
+            h.alias("h"),
+            F.when(second, F.greatest(open_ - 1, F.lit(0))).otherwise(open_ + 1).alias("open"),
+            (state["met"] + F.when(met, 1).otherwise(0)).alias("met"),
+        )
+
     def shared(both: Column) -> Column:
-        met = F.size(F.array_intersect(F.array_intersect(both, a), b))
-        return F.when(F.size(both) == 0, F.lit(1.0)).otherwise(met / F.size(both))
+        x, y = both["x"], both["y"]
+        start = F.struct(F.lit(None).cast("long").alias("h"), F.lit(0).alias("open"), F.lit(0).alias("met"))
+        met = F.aggregate(F.sort_array(F.concat(sided(x, 0), sided(y, 1))), start, meet, lambda state: state["met"])
+        share = lambda m: F.least(m, F.size(x) + F.size(y) - m - 1) / (F.size(x) + F.size(y) - m)
+        return F.when(x == y, F.lit(1.0)).otherwise(let(met, share))
 
-    return let(F.slice(F.sort_array(F.array_union(a, b)), 1, size), shared)
+    return let(F.struct(_placed(a).alias("x"), _placed(b).alias("y")), shared)
 
 
-def as_text(sketched: Column) -> Column:
-    return F.array_join(F.transform(sketched, lambda h: F.lower(F.hex(h))), ".")
+def as_text(found: Column) -> Column:
+    """All anchors in order, as pos:hash."""
+    return F.array_join(F.transform(found, lambda x: F.concat_ws(":", x["pos"].cast("string"), F.lower(F.hex(x["hash"])))), ".")
 
 
 def with_next(docs: DataFrame, key: str, columns: list[str], slice_rows: int = SLICE) -> DataFrame:
@@ -143,17 +163,21 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
     descending doc_id, or to all of it if it is shorter.
     """
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    known = with_next(texts.withColumn("sketch", sketch(F.col("text"))), "doc_id", ["text", "sketch"])
+    # anchors are found again for the next text, as they would weigh more than it on the way
+    known = with_next(texts, "doc_id", ["text"])
     half = F.floor(F.col("n_chars") / 2).cast("int")
     begin = F.substring(F.col("text"), F.lit(1), F.col("n_chars").cast("int") - half)
     edited = known.withColumn("n_chars", F.length("text").cast("long")).select(
-        "doc_id", "n_chars", "sketch", F.col("next.sketch").alias("next_sketch"),
+        "doc_id", "n_chars", F.col("text"), F.col("next.text").alias("next_text"),
         F.concat(begin, F.substring(F.col("next.text"), F.lit(1), half)).alias("edited"),
     )
-    sketched = edited.withColumn("edited_sketch", sketch(F.col("edited")))
-    return sketched.select(
-        "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
-        as_text(F.col("sketch")).alias("fingerprint"), as_text(F.col("edited_sketch")).alias("edited_fingerprint"),
-        likeness(F.col("sketch"), F.col("edited_sketch")).alias("near_edited"),
-        likeness(F.col("sketch"), F.col("next_sketch")).alias("near_next"),
+    found = edited.select(
+        "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), anchors(F.col("text")).alias("own"),
+        anchors(F.col("edited")).alias("other"), anchors(F.col("next_text")).alias("next"),
+    )
+    return found.select(
+        "doc_id", "n_chars", "edited_sha256",
+        as_text(F.col("own")).alias("fingerprint"), as_text(F.col("other")).alias("edited_fingerprint"),
+        likeness(F.col("own"), F.col("other")).alias("near_edited"),
+        likeness(F.col("own"), F.col("next")).alias("near_next"),
     )

@@ -227,6 +227,36 @@ def test_texts_with_words_have_anchors(spark):
         assert row.fingerprint and row.edited_fingerprint and row.near_next == 0
 
 
+def test_likeness_counts_all_anchors_by_place(spark):
+    draw = random.Random(13)
+    make = lambda n: ["v%d" % draw.randrange(10**6) for _ in range(n)]
+    long, other, passage, line = make(4000), make(4000), make(50), make(12)
+    one = long[:2000] + make(1) + long[2001:]
+    texts = [
+        (long, one), (long[:1000] + passage + long[1000:], other[:3000] + passage + other[3000:]), (long, make(1) + long),
+        (line + make(9) + line + long[:9] + line, line), (["a", "b", "c"], ["c", "b", "a"]), (line * 3, line * 4),
+    ]
+    rows = [(i, " ".join(a), " ".join(b)) for i, (a, b) in enumerate(texts)]
+    pairs = spark.createDataFrame(rows, "i int, a string, b string").select("i", *[fingerprints.anchors(F.col(c)).alias(c) for c in "ab"])
+    found = pairs.select("i", "a", "b", fingerprints.likeness(F.col("a"), F.col("b")).alias("near")).orderBy("i").collect()
+    for row in found:
+        both = []
+        for side in (row.a, row.b):
+            counts = defaultdict(int)
+            for x, before in zip(side, [-1, *[x.pos for x in side]]):
+                counts[x.hash, x.pos - before] += 1
+            both.append(counts)
+        met = sum(min(n, both[1][h]) for h, n in both[0].items())
+        union = len(row.a) + len(row.b) - met
+        assert row.near == pytest.approx(min(met, union - 1) / union)
+    near = [r.near for r in found]
+    assert 0.99 < near[0] < 1 and 0 < near[1] < 0.02 and 0.99 < near[2] < 1
+    assert near[4] == pytest.approx(2 / 3) and near[5] < 1
+    whole = spark.createDataFrame([(1, rows[0][1]), (2, rows[0][2])], "doc_id long, text string")
+    for row in fingerprints.edited_fingerprints(whole).collect():
+        assert len(row.fingerprint.split(".")) > 1500 and 0.99 < row.near_next < 1
+
+
 def test_top_k_equals_brute_force(spark):
     draw = np.random.default_rng(5)
     known = {i: np.round(draw.normal(size=6), 1).tolist() for i in range(300)}
