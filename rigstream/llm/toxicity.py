@@ -3,7 +3,9 @@
 Learning finds terms - whole words, or beginnings of words - that stand in toxic documents far more
 often than in others. Their trie is intersected with the Levenshtein automaton of each word; the
 intersection is kept as a deterministic automaton that grows where words lead, so most words end
-after a few letters, and misspelled terms are found with one edit. Around each occurrence a window
+after a few letters, and misspelled terms are found with one edit: whole words, also those that a
+beginning stands for, and beginnings. What an edit of a beginning, or of a word of SHORT letters, is
+worth is learned from the documents in which it stands. Around each occurrence a window
 tells quotation from abuse. Four figures per document go into a logistic score: the strongest plain
 term, the number of plain terms, the strongest misspelled one, the strongest quoted one.
 
@@ -21,7 +23,7 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +40,8 @@ EVIDENCE, PRECISION = 25.0, 0.5
 #: Lengths of beginnings that may become terms; letters a whole word needs to be met with an edit.
 BEGINNINGS = range(4, 9)
 EDIT_WORD = 5
+#: A word of so many letters is met with an edit if it is as precise as this.
+SHORT, SHORT_PRECISION = 4, 0.95
 #: A longer form that stands in so many of a term's toxic documents takes its place.
 SPECIFIC = 0.95
 #: Characters on either side of an occurrence that are searched for quotation marks.
@@ -51,11 +55,21 @@ FIGURES = ("plain", "plain_terms", "misspelled", "quoted")
 
 @dataclass(frozen=True)
 class Term:
-    """``whole``: the word ends here; otherwise words that begin so count as well."""
+    """``whole``: the word ends here; otherwise words that begin so count as well.
+
+    ``edited``: the weight if met with an edit, 0 for never; unless given, that of whole words is ``weight``.
+    """
 
     text: str
     whole: bool
     weight: float
+    edited: float | None = None
+
+    @property
+    def near(self) -> float:
+        if self.edited is not None:
+            return self.edited
+        return self.weight if self.whole and len(self.text) >= EDIT_WORD else 0.0
 
 
 class Automaton:
@@ -68,7 +82,7 @@ class Automaton:
         self.ends: list[list[Term]] = [[]]
         self.editable = [False]
         for term in terms:
-            edit = term.whole and len(term.text) >= EDIT_WORD
+            edit = term.near > 0
             node = 0
             self.editable[0] |= edit
             for letter in term.text:
@@ -110,8 +124,8 @@ class Automaton:
         best = [0.0, 0.0]
         for node, edits in items:
             for term in self.ends[node]:
-                if term.whole == whole and (edits == 0 or whole and len(term.text) >= EDIT_WORD):
-                    best[edits] = max(best[edits], term.weight)
+                if term.whole == whole:
+                    best[edits] = max(best[edits], term.near if edits else term.weight)
         return (best[0], best[1]) if any(best) else None
 
     def _move(self, state: int, letter: str) -> int:
@@ -145,6 +159,21 @@ class Automaton:
                 plain, edited = max(plain, found[0]), max(edited, found[1])
         return (plain, edited) if plain or edited else None
 
+    def edited_terms(self, word: str) -> set[Term]:
+        """The terms that a word meets with one edit, if it meets none as it is."""
+        found = self.match(word)
+        if not found or found[0]:
+            return set()
+        terms, state = set(), 0
+        for i, letter in enumerate(word, 1):
+            state = self.moves[state][letter]
+            if state < 0:
+                break
+            for node, edits in self.sets[state]:
+                if edits:
+                    terms.update(t for t in self.ends[node] if t.near > 0 and (not t.whole or i == len(word)))
+        return terms
+
 
 @dataclass
 class Model:
@@ -252,11 +281,53 @@ def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield rows(counts)
 
 
+def weigh_edits(rows: DataFrame, terms: list[Term], share: float) -> list[Term]:
+    """``terms`` with the weight of their edits, where they name one, learned from ``rows`` (text, toxic).
+
+    The documents that meet a term with an edit alone, and one more as precise as the term, decide; their
+    odds are the weight, up to the term's own. Edits that are mostly clean are not met.
+    """
+    shared = rows.sparkSession.sparkContext.broadcast([(t.text, t.whole, t.weight, t.edited) for t in terms])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        listed = [Term(*t) for t in shared.value]
+        places = {t: i for i, t in enumerate(listed)}
+        automaton, known = Automaton(listed), {}
+        counts = np.zeros((2, len(listed)), np.int64)
+        for batch in batches:
+            for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
+                met: set[int] = set()
+                for word in set(WORDS.findall((text or "").lower())):
+                    found = known.get(word)
+                    if found is None:
+                        if len(known) > HELD:
+                            known.clear()
+                        found = known[word] = tuple(places[t] for t in automaton.edited_terms(word))
+                    met.update(found)
+                counts[1 if toxic else 0, list(met)] += 1
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (np.arange(len(listed)), *counts)], names=["term", "clean", "toxic"])
+
+    counted = rows.mapInArrow(run, "term long, clean long, toxic long").groupBy("term").agg(F.sum("clean"), F.sum("toxic"))
+    met = {r[0]: (r[1], r[2]) for r in counted.collect()}
+    weighed = []
+    for i, term in enumerate(terms):
+        if term.edited is not None:
+            clean, toxic = met.get(i, (0, 0))
+            # of the one document more
+            precision = 1 / (1 + math.exp(-term.weight) * (1 - share) / share)
+            toxic, clean = toxic + precision, clean + 1 - precision
+            odds = math.log(toxic / max(clean, 1e-9) * (1 - share) / share)
+            kept = toxic >= PRECISION * (toxic + clean) and odds > 0
+            term = replace(term, edited=min(term.weight, odds) if kept else 0.0)
+        weighed.append(term)
+    return weighed
+
+
 def learn_terms(rows: DataFrame) -> list[Term]:
     """The terms of ``rows`` (text, toxic) with enough evidence.
 
     Of a word and its beginnings the longest form that keeps the toxic documents counts; a further one
-    only adds a term where it is more precise.
+    only adds a term where it is more precise, or a whole word for its misspellings.
     """
     totals = rows.agg(F.count(F.lit(1)), F.sum(F.col("toxic").cast("long"))).first()
     if not totals[1] or totals[1] == totals[0]:
@@ -280,13 +351,18 @@ def learn_terms(rows: DataFrame) -> list[Term]:
         precision = row.toxic / (row.toxic + row.clean)
         word = row.term.rstrip()
         shorter = [chosen[word[:i]] for i in range(1, len(word) + 1) if word[:i] in chosen]
-        if any(p >= precision - 0.02 for p in shorter):
+        whole, covered = word != row.term, any(p >= precision - 0.02 for p in shorter)
+        short = len(word) == SHORT and precision >= SHORT_PRECISION
+        if covered and not (whole and (len(word) >= EDIT_WORD or short)):
             continue
-        if word == row.term:
+        if not whole:
             chosen[word] = precision
-        odds = (row.toxic + 0.5) / (row.clean + 0.5) * (1 - share) / share
-        terms.append(Term(word, word != row.term, math.log(odds)))
-    return terms
+        weight = math.log((row.toxic + 0.5) / (row.clean + 0.5) * (1 - share) / share)
+        if short and not whole and not any(r.term == word + " " for r in found):
+            terms.append(Term(word, True, weight, weight))
+        learned = short if whole else len(word) >= EDIT_WORD
+        terms.append(Term(word, whole, weight, weight if learned else None))
+    return weigh_edits(rows, terms, share) if any(t.edited for t in terms) else terms
 
 
 def fit_weights(figures: np.ndarray, toxic: np.ndarray, ridge: float = 0.05) -> list[float]:
@@ -326,7 +402,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
 
 def add_figures(docs: DataFrame, terms: list[Term], text: str = "text") -> DataFrame:
     """Add the four figures of each text."""
-    shared = docs.sparkSession.sparkContext.broadcast([(t.text, t.whole, t.weight) for t in terms])
+    shared = docs.sparkSession.sparkContext.broadcast([(t.text, t.whole, t.weight, t.edited) for t in terms])
 
     def step(texts: pa.Array) -> list[pa.Array]:
         reader = once(shared, lambda plain: Reader([Term(*t) for t in plain]))

@@ -183,3 +183,25 @@ def test_toxicity_learns_and_holds_out(spark):
     assert toxicity.score(docs, toxicity.Model()).agg(F.max("score")).first()[0] < 1e-6
     empty = toxicity.fit(docs.select("doc_id", "text"), docs.limit(0).select("doc_id", "toxic"))
     assert empty.terms == [] and toxicity.score(docs.limit(0), model).collect() == []
+
+
+def test_misspelled_stems_and_short_words_are_met(spark):
+    draw = random.Random(11)
+    words = ["lorem", "ipsum", "dolor", "amet", "sit", "elit", "sed", "do", "pilt"]
+    toxic = ["grunkest", "grunkish", "grunkers", "blorting", "blorted", "zoxy", "vilt"]
+    rows = []
+    for i in range(1400):
+        text = [draw.choice(words) for _ in range(30)]
+        if i % 7 == 0:
+            word = toxic[i // 7 % len(toxic)]
+            # some are misspelled in the labelled documents as well, each in its own way
+            text[draw.randrange(30)] = word[0] + draw.choice("bcdfhjkmpqstvwxy") + word[1:] if i % 5 == 0 and len(word) > 4 else word
+        rows.append((i, " ".join(text), int(i % 7 == 0)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = toxicity.fit(docs.select("doc_id", "text"), docs.select("doc_id", "toxic"))
+    met = ["grxnkest", "gruunkish", "blrting", "grnkable", "zoxxy", "zxy"]
+    # the last is a word of clean documents beside a toxic one
+    asked = spark.createDataFrame([(w, "lorem ipsum " + w + " sit") for w in [*met, "pilt"]], "w string, text string")
+    found = {r.w: r for r in toxicity.score(asked, model).collect()}
+    assert all(found[w].predicted == 1 and found[w].plain == 0 < found[w].misspelled for w in met), found
+    assert found["pilt"].predicted == 0 == found["pilt"].misspelled
