@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from rigstream import ensure_checkpoint_dir
 from rigstream.llm import bpe, jaccard, language, mixing, toxicity
 from rigstream.llm.common import measured, table
+from rigstream.session import materialised
 
 
 def toxic_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,21 +28,28 @@ def unknown_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each component of documents alike (five words, 0.8): the one of the smallest id.
 
-    Documents without an id or without words are kept. Of rows with equal ids one stays, that with
-    the smallest text.
+    Null ids come last; of rows of one component and id that with the smallest text stays. Rows are told
+    apart by id and text, so texts of one id that are not alike all stay, and documents without words.
     """
-    found = jaccard.linked_components(docs.select("doc_id", "text"))
-    gone = measured(found.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct())
-    columns = [c for c in docs.columns if c != "doc_id"]
-    kept = docs.join(gone, "doc_id", "left_anti")
-    # only ids that occur twice are put together, so that texts do not move for the others
-    twice = kept.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    key = F.xxhash64("doc_id", "text").alias("_key")
+    found = jaccard.linked_components(docs.select(key.alias("doc_id"), "text")).where("n_shingles > 0")
+    of = found.groupBy(F.col("doc_id").alias("_key")).agg(F.min("component_id").alias("_component"))
+    rows = docs.groupBy(key).agg(F.min("doc_id").alias("_id"), F.count(F.lit(1)).alias("_n"))
+    members = materialised(rows.join(of, "_key"))
+    several = members.groupBy("_component").agg(F.min("_id").alias("_least"), F.sum("_n").alias("_rows")).where("_rows > 1")
+    members = materialised(members.join(measured(several.select("_component", "_least")), "_component"))
+    first = F.col("_id").eqNullSafe(F.col("_least"))
+    gone = measured(members.where(~first).select("_key"))
+    kept = docs.withColumn("_key", key).join(gone, "_key", "left_anti")
+    # only rows that share component and id are put together, so that texts do not move for the others
+    left = members.where(first).groupBy("_component").agg(F.sum("_n").alias("_left")).where("_left > 1")
+    twice = measured(members.where(first).join(left, "_component").select("_key", "_component"))
     if twice.isEmpty():
         return kept.select(*docs.columns)
-    repeated = kept.join(twice.select("doc_id"), "doc_id").groupBy("doc_id")
-    first = repeated.agg(F.min(F.struct("text", *[c for c in columns if c != "text"])).alias("_row"))
-    once = first.select(*[F.col("doc_id") if c == "doc_id" else F.col("_row")[c].alias(c) for c in docs.columns])
-    return kept.join(twice.select("doc_id"), "doc_id", "left_anti").select(*docs.columns).unionByName(once)
+    columns = ["text", *[c for c in docs.columns if c != "text"]]
+    least = kept.join(twice, "_key").groupBy("_component").agg(F.min(F.struct(*columns)).alias("_row"))
+    once = least.select(*[F.col("_row")[c].alias(c) for c in docs.columns])
+    return kept.join(twice, "_key", "left_anti").select(*docs.columns).unionByName(once)
 
 
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -358,5 +358,16 @@ def test_pipeline_stages_keep_columns_and_clean_documents(spark):
     assert corpus_pipeline.run(spark, sf_dir).columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
 
 
+def test_near_duplicates_go_by_row(spark):
+    draw = random.Random(14)
+    a, b, c, d, e = [" ".join("u%d" % draw.randrange(10**6) for _ in range(60)) for _ in range(5)]
+    rows = [(5, a), (9, a), (5, b), (2, b), (5, c), (5, c), (None, d), (None, d), (None, d + " x"), (None, e), (8, e + " y"), (7, ""), (7, None)]
+    docs = spark.createDataFrame([(i, t, "s") for i, t in rows], "doc_id long, text string, source string")
+    found = dict(corpus_pipeline.STAGES)["near_duplicates"](spark, docs, "")
+    assert found.columns == docs.columns
+    kept = [(5, a), (2, b), (5, c), (None, d), (8, e + " y"), (7, ""), (7, None)]
+    assert sorted(map(str, [(r.doc_id, r.text) for r in found.collect()])) == sorted(map(str, kept))
+
+
 def test_every_operator_has_a_query():
     assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in queries.all_queries()) == list(range(1, 11))
