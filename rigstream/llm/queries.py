@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rigstream.llm import bpe, fingerprints, jaccard, language, lengths, mixing, topk, toxicity, urls, warc
+from rigstream.llm import bpe, fingerprints, jaccard, language, lengths, merkle, mixing, topk, toxicity, urls, warc
 from rigstream.llm.common import held_out, table
 from rigstream.session import ensure_checkpoint_dir
 
@@ -83,6 +83,10 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.document_proofs(table(spark, sf_dir, "documents"))
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: made for name, made in globals().items() if name.startswith("op") and callable(made)}
 
