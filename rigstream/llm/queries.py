@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rigstream.llm import bpe, fingerprints, jaccard, language, lengths, merkle, mixing, topk, toxicity, urls, warc
+from rigstream.llm import bpe, fingerprints, jaccard, language, lengths, licenses, merkle, mixing, topk, toxicity, urls, warc
 from rigstream.llm.common import held_out, table
 from rigstream.session import ensure_checkpoint_dir
 
@@ -87,6 +87,10 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.document_proofs(table(spark, sf_dir, "documents"))
 
 
+def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: made for name, made in globals().items() if name.startswith("op") and callable(made)}
 
@@ -133,5 +137,41 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20""",
 }
 
 
+def _license_sql() -> str:
+    """Every block against every template, counted without filters."""
+    rows = ", ".join(
+        f"({n}, '{t.label}', {str(t.phrase).lower()}, {len(set(t.pairs))}, {t.needed}, '{pair.decode()}')"
+        for n, t in enumerate(licenses.TEMPLATES) for pair in sorted(set(t.pairs))
+    )
+    step = licenses.BLOCK
+    return rf"""
+WITH templates(template, label, phrase, size, needed, pair) AS (VALUES {rows}
+), d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{{80}}-\x{{10FFFF}}]+') AS w
+  FROM documents
+), places AS (
+  SELECT r, pos, w[pos + 1] || ' ' || w[pos + 2] AS pair, w FROM (SELECT r, w, unnest(range(len(w) - 1)) AS pos FROM d)
+), near AS (
+  SELECT r, pos // {step} AS block, pair FROM places UNION ALL
+  SELECT r, pos // {step} - 1, pair FROM places WHERE pos >= {step}
+), notices AS (
+  SELECT r, label, count(DISTINCT pair) / any_value(size) AS share, NULL::BIGINT AS pos FROM near JOIN templates USING (pair)
+  WHERE NOT phrase GROUP BY r, block, template, label HAVING count(DISTINCT pair) >= any_value(needed)
+), phrases AS (
+  SELECT r, label, 1.0::DOUBLE AS share, pos FROM places,
+    (VALUES ('cc-by', ['cc', 'by']), ('gpl', ['general', 'public', 'license']), ('reserved', ['all', 'rights', 'reserved'])) AS p(label, words)
+  WHERE w[pos + 1 : pos + len(words)] = words
+), hits AS (
+  SELECT r, count(pos) AS n_base, min(pos) AS first_word, max(pos) AS last_word, max(share) AS score,
+    coalesce(array_to_string(list_sort(list(DISTINCT label) FILTER (pos IS NOT NULL)), ','), '') AS base_labels,
+    array_to_string(list_sort(list(DISTINCT label)), ',') AS labels
+  FROM (SELECT * FROM notices UNION ALL SELECT * FROM phrases) GROUP BY r
+)
+SELECT doc_id, len(w) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+  coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0.0)::DOUBLE AS score
+FROM d LEFT JOIN hits USING (r)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return ORACLES
+    return ORACLES | {"op12_license_scan": _license_sql()}
