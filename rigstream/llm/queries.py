@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rigstream.llm import bpe, fingerprints, jaccard, language, lengths, licenses, merkle, mixing, topk, toxicity, urls, warc
+from rigstream.llm import bpe, fingerprints, jaccard, language, lengths, licenses, merkle, mixing, negatives, topk, toxicity, urls, warc
 from rigstream.llm.common import held_out, table
 from rigstream.session import ensure_checkpoint_dir
 
@@ -91,6 +91,11 @@ def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, moved)
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: made for name, made in globals().items() if name.startswith("op") and callable(made)}
 
@@ -123,6 +128,23 @@ WITH parts AS (
 )
 SELECT placed.page_id, placed.host, placed.path, fits.rule, coalesce(fits.verdict, 'allow') AS verdict
 FROM placed LEFT JOIN fits USING (page_id)""",
+    "op13_hard_negatives": """
+WITH v AS (
+  SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.vec_id AS anchor_id, c.r, c.vec_id, a.label = c.label AS same, CAST(list_inner_product(a.v, c.v) AS BIGINT) AS score
+  FROM v a JOIN v c ON a.vec_id <> c.vec_id AND a.vec_id % 100 = 0
+), positives AS (
+  SELECT * FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, p.vec_id AS positive_id, n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score,
+       CAST(row_number() OVER (PARTITION BY anchor_id, p.r ORDER BY n.score DESC, n.vec_id) AS INTEGER) AS rank
+FROM positives p JOIN scored n USING (anchor_id)
+WHERE NOT n.same AND 30 * p.score <= 100 * n.score AND 100 * n.score <= 90 * p.score
+QUALIFY rank <= 10""",
     "op9_top_k": """
 WITH v AS (
   SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS v FROM embeddings
