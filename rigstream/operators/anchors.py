@@ -121,22 +121,30 @@ def _starts(pdf: pd.DataFrame) -> np.ndarray:
     return np.concatenate([[0], np.flatnonzero(change) + 1])
 
 
-def _whole_groups(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Cut sorted batches anew so that no group is spread over two of them."""
-    held: list[pd.DataFrame] = []
+def _parts(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[pd.DataFrame, bool, bool]]:
+    """Cut sorted batches into (rows, begins, ends): whole groups, many at once, or a part of one group that spans batches.
+
+    At most two batches are held, however large a group is.
+    """
+    held: pd.DataFrame | None = None
+    begun = False
     for batch in batches:
         if batch.empty:
             continue
-        last = int(_starts(batch)[-1])
-        goes_on = bool(held) and (held[-1][GROUP].iloc[-1] == batch[GROUP].iloc[0]).all()
-        if last == 0 and (goes_on or not held):
-            held.append(batch)
-            continue
-        done = pd.concat([*held, batch.iloc[:last]], ignore_index=True)
-        held = [batch.iloc[last:]]
-        yield done
-    if held:
-        yield pd.concat(held, ignore_index=True)
+        if held is not None:
+            goes_on = (held[GROUP].iloc[-1] == batch[GROUP].iloc[0]).all()
+            yield held, not begun, not goes_on
+            begun = bool(goes_on)
+        starts = _starts(batch)
+        if begun and len(starts) > 1:
+            yield batch.iloc[: starts[1]], False, True
+            batch, starts, begun = batch.iloc[starts[1] :], starts[1:] - starts[1], False
+        if len(starts) > 1:
+            yield batch.iloc[: starts[-1]], True, True
+            batch = batch.iloc[starts[-1] :]
+        held = batch
+    if held is not None:
+        yield held, not begun, True
 
 
 def _layout(pdf: pd.DataFrame, max_ms: int, segment_ms: int):
@@ -172,27 +180,110 @@ def _segment_steps(pdf: pd.DataFrame, max_ms: int, segment_ms: int) -> pd.DataFr
     return pd.DataFrame({"id": pdf["id"].to_numpy()[at], "segment": pdf["segment"].to_numpy()[at], "entry_ts": ts[at], "exit_ts": ts[exits[at]]})
 
 
+def _settled(follower: np.ndarray) -> np.ndarray:
+    """The last anchor among these rows that each row leads to, as anchors follow one another."""
+    rows = np.arange(len(follower))
+    exits = np.where(follower < len(follower), follower, rows)
+    while not np.array_equal(further := exits[exits], exits):
+        exits = further
+    return exits
+
+
+class _StepCursor:
+    """The steps of one segment, read a batch at a time.
+
+    Held are the ways through the segment so far: entry bounds and the anchors they have led to.
+    There are no more of them than readings in the segment's first ``max_ms``, and fewer as ways meet.
+    """
+
+    def __init__(self, max_ms: int, segment_ms: int):
+        self.max_ms, self.segment_ms = max_ms, segment_ms
+        self.entry = self.anchor = np.zeros(0, dtype="int64")
+        self.after_entry = True
+
+    def add(self, pdf: pd.DataFrame) -> None:
+        ts = pdf["ts"].to_numpy()
+        exits = ts[_settled(np.searchsorted(ts, ts + self.max_ms, side="right"))]
+        following = np.searchsorted(ts, self.anchor + self.max_ms, side="right")
+        moved = following < len(ts)
+        led = np.where(moved, exits[np.minimum(following, len(ts) - 1)], self.anchor)
+        early = ts - pdf["segment"].to_numpy() * self.segment_ms < self.max_ms
+        is_entry = early | np.append(self.after_entry, early[:-1])
+        self.after_entry = bool(early[-1])
+        entry, anchor = np.append(self.entry, ts[is_entry]), np.append(led, exits[is_entry])
+        ends_step = np.append(anchor[1:] != anchor[:-1], True)
+        self.entry, self.anchor = entry[ends_step], anchor[ends_step]
+
+
+class _AnchorCursor:
+    """The anchors of one segment, read a batch at a time; held is the current one."""
+
+    def __init__(self, entered: int, max_ms: int):
+        self.current = None if entered == NOT_ENTERED else entered
+        self.max_ms = max_ms
+
+    def add(self, pdf: pd.DataFrame) -> pd.DataFrame:
+        ts = pdf["ts"].to_numpy()
+        follower = np.searchsorted(ts, ts + self.max_ms, side="right")
+        at = 0 if self.current is None else int(np.searchsorted(ts, self.current + self.max_ms, side="right"))
+        found = []
+        while at < len(ts):
+            found.append(at)
+            self.current = int(ts[at])
+            at = int(follower[at])
+        return _named_anchors(pdf.iloc[found])
+
+
+def _named_anchors(found: pd.DataFrame) -> pd.DataFrame:
+    return pd.DataFrame({"id": found["id"], "anchor_ts": found["ts"], "anchor_value": found["value"]})
+
+
+def _all_steps(batches: Iterator[pd.DataFrame], max_ms: int, segment_ms: int) -> Iterator[pd.DataFrame]:
+    cursor = None
+    for pdf, begins, ends in _parts(batches):
+        if begins and ends:
+            yield _segment_steps(pdf, max_ms, segment_ms)
+            continue
+        cursor = _StepCursor(max_ms, segment_ms) if begins else cursor
+        cursor.add(pdf)
+        if ends:
+            yield pd.DataFrame({"id": pdf["id"].iloc[0], "segment": pdf["segment"].iloc[0], "entry_ts": cursor.entry, "exit_ts": cursor.anchor})
+
+
+def _all_anchors(batches: Iterator[pd.DataFrame], max_ms: int, segment_ms: int) -> Iterator[pd.DataFrame]:
+    cursor = None
+    for pdf, begins, ends in _parts(batches):
+        if begins and ends:
+            yield _segment_anchors(pdf, max_ms, segment_ms)
+            continue
+        cursor = _AnchorCursor(int(pdf["entered_ts"].iloc[0]), max_ms) if begins else cursor
+        yield cursor.add(pdf)
+
+
 def _walk_steps(batches: Iterator[pd.DataFrame], max_ms: int) -> Iterator[pd.DataFrame]:
     """Walk the segments of each device in order, passing the anchor's time on.
 
-    Rows come sorted by device, segment and entry; the state is the current anchor.
+    Rows come sorted by device, segment and entry; the state is the current anchor, and how the present
+    segment was entered and is left.
     """
-    device, anchor = None, None
-    for pdf in _whole_groups(batches):
+    device, anchor, entered, leave = None, None, NOT_ENTERED, None
+    for pdf, begins, _ in _parts(batches):
         starts = _starts(pdf)
         stops = np.append(starts[1:], len(pdf))
-        ids, entry, leave = pdf["id"].to_numpy(), pdf["entry_ts"].to_numpy(), pdf["exit_ts"].to_numpy()
-        entered = np.full(len(starts), NOT_ENTERED)
+        ids, entry, exits = pdf["id"].to_numpy(), pdf["entry_ts"].to_numpy(), pdf["exit_ts"].to_numpy()
+        told = np.full(len(starts), NOT_ENTERED)
         for number, (lo, hi) in enumerate(zip(starts, stops)):
-            if ids[lo] != device:
-                device, anchor = ids[lo], None
-            first = lo
-            if anchor is not None:
-                entered[number] = anchor
-                first = lo + int(np.searchsorted(entry[lo:hi], anchor + max_ms, side="right"))
-            if first < hi:
-                anchor = int(leave[first])
-        yield pd.DataFrame({"id": ids[starts], "segment": pdf["segment"].to_numpy()[starts], "entered_ts": entered})
+            if begins or number:
+                anchor = leave if leave is not None else anchor
+                if ids[lo] != device:
+                    device, anchor = ids[lo], None
+                entered, leave = NOT_ENTERED if anchor is None else anchor, None
+            if leave is None:
+                first = lo if anchor is None else lo + int(np.searchsorted(entry[lo:hi], anchor + max_ms, side="right"))
+                leave = int(exits[first]) if first < hi else None
+            told[number] = entered
+        fresh = starts if begins else starts[1:]
+        yield pd.DataFrame({"id": ids[fresh], "segment": pdf["segment"].to_numpy()[fresh], "entered_ts": told[len(starts) - len(fresh) :]})
 
 
 def _segment_anchors(pdf: pd.DataFrame, max_ms: int, segment_ms: int) -> pd.DataFrame:
@@ -210,8 +301,7 @@ def _segment_anchors(pdf: pd.DataFrame, max_ms: int, segment_ms: int) -> pd.Data
         current, stops = current[inside], stops[inside]
         is_anchor[current] = True
         current = follower[current]
-    found = pdf[is_anchor]
-    return pd.DataFrame({"id": found["id"], "anchor_ts": found["ts"], "anchor_value": found["value"]})
+    return _named_anchors(pdf[is_anchor])
 
 
 def anchors(
@@ -222,7 +312,8 @@ def anchors(
 
     Whole segments are kept together by an explicit partition count (``partitions``, else
     ``spark.sql.shuffle.partitions``), which adaptive execution neither splits nor merges. Both
-    passes over the segments share one shuffle.
+    passes over the segments share one shuffle. A segment is read by a cursor, so a task holds two
+    batches and the ways through the segment it is in, not the segment.
     """
     instants = df.groupBy(F.col(key).alias("id"), F.col(ts).alias("ts")).agg(
         F.min_by(value, ordering(tie or [value])).alias("value")
@@ -232,14 +323,8 @@ def anchors(
     kind, number = dict(df.dtypes)[key], dict(df.dtypes)[value]
     cut = with_slice(instants, ["id"], time_slice(F.col("ts"), segment_ms), "segment").repartition(parts, *GROUP)
 
-    def steps_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        return (_segment_steps(pdf, max_ms, segment_ms) for pdf in _whole_groups(batches))
-
-    def anchors_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        return (_segment_anchors(pdf, max_ms, segment_ms) for pdf in _whole_groups(batches))
-
     steps = cut.sortWithinPartitions(*GROUP, "ts").mapInPandas(
-        steps_of, f"id {kind}, segment bigint, entry_ts bigint, exit_ts bigint"
+        lambda batches: _all_steps(batches, max_ms, segment_ms), f"id {kind}, segment bigint, entry_ts bigint, exit_ts bigint"
     )
     entered = (
         steps.repartition(parts, "id")
@@ -248,7 +333,7 @@ def anchors(
     )
     placed = cut.join(entered.repartition(parts, *GROUP).hint("merge"), GROUP)
     return placed.sortWithinPartitions(*GROUP, "ts").mapInPandas(
-        anchors_of, f"id {kind}, anchor_ts bigint, anchor_value {number}"
+        lambda batches: _all_anchors(batches, max_ms, segment_ms), f"id {kind}, anchor_ts bigint, anchor_value {number}"
     )
 
 

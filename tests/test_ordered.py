@@ -1,6 +1,7 @@
 """Sliced operators against plain folds, on random series."""
 
 import numpy as np
+import pandas as pd
 import pytest
 from folds import moving_anchor, running_rate
 from hypothesis import HealthCheck, given, settings, strategies as st
@@ -52,6 +53,53 @@ def test_moving_anchor_on_a_dense_hot_device(spark, segment_windows):
     assert got == want
 
 
+@pytest.mark.parametrize("batch", [1, 7, 100])
+def test_segments_that_span_batches(batch):
+    """The passes over cut batches against a plain chain, without holding a segment."""
+    draw = np.random.default_rng(batch)
+    max_ms, segment_ms = 20, 100
+    series = {key: np.unique(draw.integers(-300, 900, n)) for key, n in {"a": 1, "b": 5, "hot": 2_000, "z": 30}.items()}
+    rows = pd.DataFrame([(k, t // segment_ms, t, t / 2) for k, ts in series.items() for t in ts.tolist()], columns=["id", "segment", "ts", "value"])
+
+    def cut(df):
+        return iter([df.iloc[i : i + batch] for i in range(0, len(df), batch)] + [df.iloc[:0]])
+
+    steps = pd.concat(anchors._all_steps(cut(rows), max_ms, segment_ms)).sort_values(["id", "segment", "entry_ts"])
+    entered = pd.concat(anchors._walk_steps(cut(steps), max_ms))
+    assert len(entered) == len(rows[["id", "segment"]].drop_duplicates())
+    found = pd.concat(anchors._all_anchors(cut(rows.merge(entered, on=["id", "segment"])), max_ms, segment_ms))
+    want = []
+    for key, ts in series.items():
+        current = None
+        for t in ts.tolist():
+            if current is None or t - current > max_ms:
+                current = t
+                want.append((key, t, t / 2))
+    assert sorted(found.itertuples(index=False, name=None)) == sorted(want)
+
+
+def test_a_cursor_holds_no_more_ways_than_readings_of_one_reach():
+    cursor = anchors._StepCursor(60, 128 * 60)
+    for begin in range(0, 128 * 60, 500):
+        ts = np.arange(begin, min(begin + 500, 128 * 60))
+        cursor.add(pd.DataFrame({"ts": ts, "segment": 0}))
+        assert len(cursor.entry) <= 62
+
+
+def test_moving_anchor_over_small_arrow_batches(spark):
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    size = spark.conf.get(name)
+    draw = np.random.default_rng(8)
+    rows = [("hot", int(t), i, float(i % 17)) for i, t in enumerate(np.cumsum(draw.integers(1, 9, 3_000)))] + [("cold", 5, 0, 1.0), ("cold", 9, 1, 2.0)]
+    try:
+        spark.conf.set(name, "50")
+        paired = anchors.with_moving_anchor(spark.createDataFrame(rows, DDL), 2, 50, value="level", tie=["seq"])
+        got = sorted((r.id, r.ts, r.level, r.anchor_ts, r.anchor_value) for r in paired.collect())
+    finally:
+        spark.conf.set(name, size)
+    assert got == sorted((k, *r) for k, series in _by_key(rows).items() for r in moving_anchor(series, 2, 50))
+
+
 @SLOW
 @given(points, st.sampled_from([1, 5, 64]))
 def test_running_rate(spark, found, slices):
