@@ -28,7 +28,7 @@ from rigstream.llm.common import map_rows, once
 SHORT = 64
 #: Trees that run together.
 ROWS = 8_192
-#: Encoded pieces that a worker remembers; beyond that it starts anew.
+#: Encoded pieces, none longer than SHORT, that a worker remembers, and as many that it met before these.
 REMEMBERED = 100_000
 NONE = np.iinfo(np.int64).max
 
@@ -44,11 +44,12 @@ def parse_ranks(rank_file: bytes) -> dict[bytes, int]:
     return {base64.b64decode(a): int(b) for a, b in (line.split() for line in rank_file.splitlines() if line)}
 
 
-def tokens_by_id(ranks: dict[bytes, int]) -> list[bytes]:
+def token_table(ranks: dict[bytes, int]) -> pa.BinaryArray:
+    """The bytes of every id."""
     tokens = [b""] * (max(ranks.values()) + 1)
     for token, rank in ranks.items():
         tokens[rank] = token
-    return tokens
+    return pa.array(tokens, pa.binary())
 
 
 class Encoder:
@@ -58,7 +59,7 @@ class Encoder:
         import regex
 
         ranks = parse_ranks(rank_file)
-        self.tokens = tokens_by_id(ranks)
+        self.tokens = token_table(ranks)
         self.packed = [np.int32(i).tobytes() for i in range(len(self.tokens))]
         get = ranks.get
         merges = {}
@@ -74,18 +75,26 @@ class Encoder:
         self.of_byte = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
         self.split = regex.compile(pattern).findall
         self.known: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
         self.ranks = ranks
 
     def encode_texts(self, texts: list[str | None]) -> list[bytes]:
         """The token ids of each text, as the bytes of 32-bit numbers."""
         split = [self.split(t) if t else [] for t in texts]
         if len(self.known) > REMEMBERED:
-            self.known = {}
-        known = self.known
-        self._learn([p for p in set(chain.from_iterable(split)) if p not in known])
-        return [b"".join(map(known.__getitem__, p)) for p in split]
-
-    def _learn(self, pieces: list[str]) -> None:
+            self.known, self.before = {}, self.known
+        known, before = self.known, self.before
+        new = [p for p in set(chain.from_iterable(split)) if p not in known]
+        known.update((p, before[p]) for p in new if p in before)
+        long = self._learn([p for p in new if p not in known])
+        out = [b"".join(map(known.__getitem__, p)) for p in split]
+        for piece in long:
+            del known[piece]
+        return out
+
+    def _learn(self, pieces: list[str]) -> list[str]:
+        """Encode pieces; those returned are too long to be remembered."""
+        long = []
         rows: dict[int, list[tuple[str, bytes]]] = {}
         for piece in pieces:
             data = piece.encode("utf-8")
@@ -94,12 +103,14 @@ class Encoder:
                 self.known[piece] = self.packed[rank]
             elif len(data) > SHORT:
                 self.known[piece] = np.array(self.merge_long(data), np.int32).tobytes()
+                long.append(piece)
             else:
                 rows.setdefault(max(4, 1 << (len(data) - 1).bit_length()), []).append((piece, data))
         for width, found in rows.items():
             for i in range(0, len(found), ROWS):
                 part = found[i : i + ROWS]
                 self.known.update(zip([p for p, _ in part], self.merge_short([d for _, d in part], width)))
+        return long
 
     def _pair_ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """The rank of each pair of tokens, -1 where they do not merge."""
@@ -219,7 +230,7 @@ def decode(docs: DataFrame, rank_file: bytes, ids: str = "ids", into: str = "dec
     ranks = docs.sparkSession.sparkContext.broadcast(rank_file)
 
     def step(found: pa.Array) -> list[pa.Array]:
-        return [_decoded(once(ranks, lambda data: tokens_by_id(parse_ranks(data))), found)]
+        return [_decoded(once(ranks, lambda data: token_table(parse_ranks(data))), found)]
 
     return map_rows(docs, [StructField(into, BinaryType())], ids, step)
 
@@ -242,10 +253,13 @@ def _encoded(encoder: Encoder, texts: pa.Array) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(packed), np.int32)))
 
 
-def _decoded(tokens: list[bytes], found: pa.Array) -> pa.Array:
-    numbers = found.flatten().to_numpy().tolist()
-    ends = np.cumsum([0, *pc.fill_null(pc.list_value_length(found), 0).to_pylist()]).tolist()
-    return pa.array([b"".join(map(tokens.__getitem__, numbers[b:e])) for b, e in zip(ends, ends[1:])], pa.binary())
+def _decoded(tokens: pa.BinaryArray, found: pa.Array) -> pa.Array:
+    """The bytes of each list of ids: tokens are laid out one after the other, then cut at the ends of the lists."""
+    laid = tokens.take(found.flatten())
+    ends = np.cumsum(np.append(0, pc.fill_null(pc.list_value_length(found), 0).to_numpy(zero_copy_only=False)))
+    _, offsets, data = laid.buffers()
+    places = np.frombuffer(offsets, np.int32, len(laid) + 1, 4 * laid.offset) if len(laid) else np.zeros(1, np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(found), [None, pa.py_buffer(places[ends].tobytes()), data])
 
 
 def digests(docs: DataFrame, rank_file: bytes, pattern: str, keep: list[str]) -> DataFrame:
