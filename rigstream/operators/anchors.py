@@ -348,7 +348,11 @@ def with_moving_anchor(
     """
     if min_ms <= 0 or max_ms < min_ms:
         raise ValueError("needs 0 < min_ms <= max_ms")
-    found = anchors(df, max_ms, key, ts, value, tie, segment_windows, partitions)
+    return paired_with(df, anchors(df, max_ms, key, ts, value, tie, segment_windows, partitions), min_ms, max_ms, key, ts)
+
+
+def paired_with(df: DataFrame, found: DataFrame, min_ms: int, max_ms: int, key: str = "id", ts: str = "ts") -> DataFrame:
+    """Readings between ``min_ms`` and ``max_ms`` after their anchor in ``found``, as ``anchors`` lists them."""
     bucket = time_slice(F.col("anchor_ts"), max_ms)
     anchor = F.struct("anchor_ts", "anchor_value")
     reach = found.select("id", anchor.alias("anchor"), F.explode(F.array(bucket, bucket + 1)).alias("bucket"))

@@ -9,7 +9,7 @@ from rigstream import schemas
 from rigstream.operators import aggregates, anchors, decode, energy, forecast, payload_tables, rate, reshape
 from rigstream.operators.energy import EnergyChannels
 from rigstream.schemas import LogKeys
-from rigstream.sources.tables import batch_base
+from rigstream.sources.tables import KeyedTable, batch_base
 from rigstream.streaming import batches, state
 from rigstream.streaming.rate import running_rate_stream
 
@@ -105,24 +105,57 @@ def torque_peak_to_peak(
 # ------------------------------------------------------------------ comparison jobs
 
 
+BLOCK_NAMES, RIG_NAMES = ["BDIR", "BDIRTEXT", "BVEL"], ["RIGSTATE"]
+
+
+def _blocks(messages: DataFrame) -> DataFrame:
+    return _records(messages, schemas.BLOCK, zero_missing=True)
+
+
+def _rigs(messages: DataFrame) -> DataFrame:
+    return _records(messages, schemas.RIG, zero_missing=True)
+
+
 def block_movement(
-    messages: DataFrame, min_seconds: int = 1, max_seconds: int = 60, tie: list[str] | None = None
+    messages: DataFrame, min_seconds: int = 1, max_seconds: int = 60, tie: list[str] | None = None, initial: DataFrame | None = None
 ) -> DataFrame:
-    """Direction and velocity of the block."""
-    blocks = _records(messages, schemas.BLOCK, zero_missing=True)
-    pair = state.with_moving_anchor_stream if messages.isStreaming else anchors.with_moving_anchor
-    paired = pair(blocks, min_seconds * 1000, max_seconds * 1000, tie=tie)
-    return payload_tables.device_messages(anchors.block_movement(paired), ["BDIR", "BDIRTEXT", "BVEL"])
+    """Direction and velocity of the block. A stream starts from the anchors in ``initial`` (``state.anchors_kept``)."""
+    bounds = min_seconds * 1000, max_seconds * 1000
+    if messages.isStreaming:
+        paired = state.with_moving_anchor_stream(_blocks(messages), *bounds, tie=tie, initial=initial)
+    else:
+        paired = anchors.with_moving_anchor(_blocks(messages), *bounds, tie=tie)
+    return payload_tables.device_messages(anchors.block_movement(paired), BLOCK_NAMES)
 
 
-def rig_state(messages: DataFrame, tie: list[str] | None = None) -> DataFrame:
-    """The rig's activity label."""
-    readings = _records(messages, schemas.RIG, zero_missing=True)
+def rig_state(messages: DataFrame, tie: list[str] | None = None, initial: DataFrame | None = None) -> DataFrame:
+    """The rig's activity label. A stream starts from the first readings in ``initial`` (``state.anchors_kept``)."""
     if messages.isStreaming:
-        labelled = anchors.rig_labels(state.with_first_reading_stream(readings, tie=tie))
+        labelled = anchors.rig_labels(state.with_first_reading_stream(_rigs(messages), tie=tie, initial=initial))
     else:
-        labelled = anchors.rig_state(readings, tie=tie)
-    return payload_tables.device_messages(labelled, ["RIGSTATE"])
+        labelled = anchors.rig_state(_rigs(messages), tie=tie)
+    return payload_tables.device_messages(labelled, RIG_NAMES)
+
+
+def spread_block_movement(
+    kept: KeyedTable, emit: batches.Emit, min_seconds: int = 1, max_seconds: int = 60, tie: list[str] | None = None, compact_every: int = 100
+) -> batches.Emit:
+    """``block_movement`` as a function for ``start`` over messages, for streams in which one device dominates.
+
+    Its rows are spread over the cluster; the anchors are kept in a table (``batches.state_table``).
+    """
+    step = batches.block_batches(kept, _named(emit, BLOCK_NAMES), min_seconds * 1000, max_seconds * 1000, tie)
+    return batches.in_order(lambda messages, n: step(_blocks(messages), n), batches.compacted(kept, compact_every))
+
+
+def spread_rig_state(kept: KeyedTable, emit: batches.Emit, tie: list[str] | None = None, compact_every: int = 100) -> batches.Emit:
+    """``rig_state`` as a function for ``start`` over messages, for streams in which one device dominates."""
+    step = batches.rig_state_batches(kept, _named(emit, RIG_NAMES), tie)
+    return batches.in_order(lambda messages, n: step(_rigs(messages), n), batches.compacted(kept, compact_every))
+
+
+def _named(emit: batches.Emit, names: list[str]) -> batches.Emit:
+    return lambda rows, n: emit(payload_tables.device_messages(rows, names), n)
 
 
 # ------------------------------------------------------------------ tank prediction jobs

@@ -1,7 +1,8 @@
 """Micro-batch forms: the batch operators applied to each batch, with state in a keyed table.
 
 Use them as ``writeStream.foreachBatch``. They are safe to replay: a batch reads the state as it
-was before that batch and replaces its own partition. State is one row per device.
+was before that batch and replaces its own partition. State is one row per device; ``compacted`` keeps
+what a batch has to read of it from growing with the batches before.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, functions as F
 
 from rigstream.operators import decode, reshape
-from rigstream.operators.anchors import anchors, block_movement, rig_labels, with_moving_anchor, without_first
+from rigstream.operators.anchors import anchors, block_movement, paired_with, rig_labels, without_first
 from rigstream.operators.skew import join_per_key
 from rigstream.session import materialised
 from rigstream.sources.offsets import offsets_reached
@@ -63,6 +64,16 @@ def in_order(*emits: Emit) -> Emit:
     return run
 
 
+def compacted(table: KeyedTable, every: int) -> Emit:
+    """A ``foreachBatch`` function that compacts a table each so many batches; run it after those that store."""
+
+    def run(rows: DataFrame, batch_id: int) -> None:
+        if batch_id % every == every - 1:
+            table.compact(rows.sparkSession)
+
+    return run
+
+
 def skip_empty(emit: Emit) -> Emit:
     def run(rows: DataFrame, batch_id: int) -> None:
         if not rows.isEmpty():
@@ -126,10 +137,10 @@ def block_batches(state: KeyedTable, emit: Emit, min_ms: int, max_ms: int, tie:
         current = materialised(current)
         order = ["carried_last", *(tie or ["blockPosition"])]
         ordered = current.withColumn("carried_last", ~F.col("carried"))
-        found = anchors(ordered, max_ms, tie=order)
+        found = materialised(anchors(ordered, max_ms, tie=order))
         newest = found.groupBy("id").agg(F.max(F.struct("anchor_ts", "anchor_value")).alias("a")).select("id", "a.*")
         state.write_batch(newest, batch_id)
-        paired = with_moving_anchor(ordered, min_ms, max_ms, tie=order)
+        paired = paired_with(ordered, found, min_ms, max_ms)
         emit(block_movement(paired.where(~F.col("carried"))).drop("carried", "carried_last"), batch_id)
 
     return run

@@ -1,18 +1,108 @@
-"""Stream form of the running rate: two chained windows instead of a row window.
+"""Stream form of the running rate: slices folded in keyed state, then slices folded per window.
 
-Readings are first gathered per short slice, where their rates are folded, and the slices'
-results are then folded per window. State holds a slice's readings and one row per slice.
+The k-th of n rates weighs 2^-(n-k+1), so rates behind the last 1,100 weigh nothing in double precision.
+The state of a slice is therefore bounded, whatever its readings: its last ``KEPT`` instants, two
+readings each. When the watermark passes a slice its timer folds them to one row, and the rows of a
+window's slices are folded the same way.
 """
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from rigstream.operators.aggregates import STAMP, stamp
 
+#: Instants of a slice that can weigh more than nothing, with some to spare: 2^-1075 rounds to 0.
+KEPT = 1_100
 _POINT = "struct<ts:bigint,opening:double,closing:double>"
 # `rest` is the weighted sum of all rates but the first
 _FOLD = f"struct<head:{_POINT},tail:{_POINT},first:double,rest:double,n:bigint>"
+#: What a slice is folded to, beside its key and start.
+_PART = "head_ts bigint, head_opening double, head_closing double, tail_ts bigint, tail_opening double, tail_closing double, first double, rest double, n bigint"
+
+
+class SliceFold(StatefulProcessor):
+    """Folds the readings of a key's slice once the watermark has passed it."""
+
+    def __init__(self, key: str, ts: str, value: str, order: list[str], state_ddl: str):
+        self.key, self.ts, self.value, self.order, self.state_ddl = key, ts, value, order, state_ddl
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.readings = handle.getListState("readings", self.state_ddl)
+        # whether a reading that is no number has left the list: its rate would have made the sum no number
+        self.broken = handle.getValueState("broken", "broken boolean")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        held = self._held()
+        if held.empty:
+            self.handle.registerTimer(int(key[2]))
+        for part in rows:
+            held = self._last(pd.concat([held, part[self.order]], ignore_index=True) if len(held) else part[self.order])
+        self.readings.put([tuple(_plain(v) for v in row) for row in held.itertuples(index=False, name=None)])
+        return iter([])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        held = self._held()
+        if len(held):
+            first, rest, n, head, tail = fold(*self._instants(held))
+            if self.broken.exists():
+                rest = math.nan
+            yield pd.DataFrame(
+                {
+                    self.key: [key[0]], "slice_start": [int(key[1])], "at": [pd.Timestamp(int(key[2]) - 1, unit="ms")],
+                    "head_ts": [head[0]], "head_opening": [head[1]], "head_closing": [head[2]],
+                    "tail_ts": [tail[0]], "tail_opening": [tail[1]], "tail_closing": [tail[2]],
+                    "first": [first], "rest": [rest], "n": [n],
+                }
+            )
+        self.readings.clear()
+        self.broken.clear()
+
+    def close(self) -> None:
+        pass
+
+    def _held(self) -> pd.DataFrame:
+        return pd.DataFrame(list(self.readings.get()), columns=self.order)
+
+    def _last(self, rows: pd.DataFrame) -> pd.DataFrame:
+        """The first and last reading of each of the last instants."""
+        rows = rows.sort_values(self.order, kind="stable", ignore_index=True)
+        ts = rows[self.ts].to_numpy()
+        opens, closes = np.append(True, ts[1:] != ts[:-1]), np.append(ts[1:] != ts[:-1], True)
+        rows = rows[opens | closes]
+        ts = rows[self.ts].to_numpy()
+        distinct = np.unique(ts)
+        if len(distinct) > KEPT:
+            left = ts < distinct[-KEPT]
+            if not np.isfinite(rows[self.value].to_numpy(dtype=float)[left]).all():
+                self.broken.update((True,))
+            rows = rows[~left]
+        return rows
+
+    def _instants(self, held: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        ts, level = held[self.ts].to_numpy(dtype="int64"), held[self.value].to_numpy(dtype=float)
+        opens, closes = np.append(True, ts[1:] != ts[:-1]), np.append(ts[1:] != ts[:-1], True)
+        return ts[opens], level[opens], level[closes]
+
+
+def _plain(value):
+    return value.item() if isinstance(value, np.generic) else value
+
+
+def fold(ts: np.ndarray, opening: np.ndarray, closing: np.ndarray):
+    """(first rate, weighted sum of the rest, number of rates, first and last point) of instants in order; no rate counts as 0."""
+    head, tail = (int(ts[0]), float(opening[0]), float(closing[0])), (int(ts[-1]), float(opening[-1]), float(closing[-1]))
+    rates = (opening[1:] - closing[:-1]) * 1000 / (ts[1:] - ts[:-1])
+    n = len(rates)
+    rest = float((rates[1:] * np.exp2(-np.arange(n - 1, 0, -1, dtype=float))).sum()) if n > 1 else 0.0
+    return (float(rates[0]) if n else 0.0), rest, n, head, tail
 
 
 def _rate(before: Column, after: Column) -> Column:
@@ -59,23 +149,28 @@ def running_rate_stream(
 ) -> DataFrame:
     """Same columns and values as the batch form, once each window has closed.
 
-    ``slice_length`` must divide ``window``.
+    ``slice_length`` must divide ``window``. Readings without a key or level are left out.
     """
-    stamped = df.withColumn(STAMP, stamp(F.col(ts))).withWatermark(STAMP, watermark)
-    reading = F.struct(F.col(ts).alias("ts"), *[F.col(c) for c in tie or []], F.col(value).alias("level"))
-    slices = stamped.groupBy(F.window(STAMP, slice_length).alias("slice"), key).agg(
-        F.sort_array(F.collect_list(reading)).alias("readings")
+    known = df.where(F.col(key).isNotNull() & F.col(value).isNotNull())
+    stamped = known.withColumn(STAMP, stamp(F.col(ts))).withWatermark(STAMP, watermark)
+    # the slice takes the place of the time, so that a reading is late when its slice is closed, not before
+    slices = stamped.withColumn("slice", F.window(STAMP, slice_length)).drop(STAMP)
+    slices = slices.withColumns({"slice_start": F.unix_millis("slice.start"), "slice_end": F.unix_millis("slice.end")})
+    kinds = dict(df.dtypes)
+    order = list(dict.fromkeys([ts, *(tie or []), value]))
+    processor = SliceFold(key, ts, value, order, ", ".join(f"`{c}` {kinds[c]}" for c in order))
+    folded = slices.groupBy(key, "slice_start", "slice_end").transformWithStateInPandas(
+        statefulProcessor=processor, outputStructType=f"`{key}` {kinds[key]}, slice_start bigint, at timestamp, {_PART}", outputMode="Append",
+        timeMode="EventTime", eventTimeColumnName="at",
     )
 
-    def as_fold(row: Column) -> Column:
-        point = F.struct(row["ts"].alias("ts"), row["level"].alias("opening"), row["level"].alias("closing"))
-        nothing = F.lit(None).cast("double")
-        return _state(point, point, nothing, F.lit(0.0), F.lit(0))
+    def point(name: str) -> Column:
+        return F.struct(*[F.col(f"{name}_{c}").alias(c) for c in ("ts", "opening", "closing")])
 
-    folded = slices.withColumn("part", _fold(F.transform("readings", as_fold))).drop("readings")
-    slot = F.window(F.window_time("slice"), window).alias("window")
+    folded = folded.withColumn("part", _state(point("head"), point("tail"), F.when(F.col("n") > 0, F.col("first")), F.col("rest"), F.col("n")))
+    slot = F.window("at", window).alias("window")
     whole = folded.groupBy(slot, key).agg(
-        F.sort_array(F.collect_list(F.struct(F.col("slice.start").alias("at"), "part"))).alias("parts")
+        F.sort_array(F.collect_list(F.struct("slice_start", "part"))).alias("parts")
     )
     done = whole.withColumn("fold", _fold(F.transform("parts", lambda p: p["part"])))
     first = F.coalesce(F.col("fold.first") * _half_to(F.col("fold.n") - 1), F.lit(0.0))

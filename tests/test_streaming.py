@@ -14,7 +14,8 @@ from rigstream.sources.messages import from_kafka, read_messages, read_text
 from rigstream.sources.offsets import offsets_reached, starting_offsets
 from rigstream.sources.tables import KeyedTable, batch_base
 from rigstream.streaming import batches
-from rigstream.streaming.state import with_first_reading_stream
+from rigstream.streaming.rate import KEPT
+from rigstream.streaming.state import anchors_kept, with_first_reading_stream
 
 FAR = 10_000_000
 
@@ -146,6 +147,49 @@ def test_block_batches_ignore_late_readings(spark, tmp_path):
     assert [(r.id, r.ts, r.BVEL, r.anchor_ts) for r in kept[1]] == [("a", 12_000, 0.5, 10_000)]
 
 
+@pytest.mark.parametrize("kind", ["rig", "block"])
+def test_a_query_starts_from_the_state_of_another(spark, tmp_path, kind):
+    """Checkpoint -> table -> new query; and the table of the spread form is read back the same."""
+    fields, job, spread = {
+        "rig": (RIG_FIELDS, jobs.rig_state, jobs.spread_rig_state),
+        "block": (BLOCK_FIELDS, lambda m, initial=None: jobs.block_movement(m, 1, 4, initial=initial), lambda t, e: jobs.spread_block_movement(t, e, 1, 4)),
+    }[kind]
+    records = _series(fields)
+    # each half keeps the order of its readings
+    for part, found in enumerate((records[:130], records[130:])):
+        _store(spark, str(tmp_path / f"in{part}"), found, files=2)
+        _store(spark, str(tmp_path / "all" / str(part)), found, files=1)
+    pick = ["device", "ts", "payload"]
+    got, initial = [], None
+    for part in range(2):
+        stream = job(read_messages(spark, str(tmp_path / f"in{part}"), streaming=True, maxFilesPerTrigger="1"), initial=initial)
+        checkpoint = str(tmp_path / f"checkpoint{part}")
+        jobs.start(stream, checkpoint, name=f"{kind}_part{part}").awaitTermination()
+        got += _set(spark.table(f"{kind}_part{part}"), *pick)
+        initial = spark.createDataFrame(anchors_kept(spark, checkpoint).collect(), "id string, anchor_ts bigint, anchor_value double")
+    whole = read_messages(spark, str(tmp_path / "all" / "*"))
+    assert sorted(got) == _set(job(whole), *pick) and len(got) > 50
+
+    kept, emitted = batches.state_table(str(tmp_path / "table")), []
+    step = spread(kept, lambda rows, n: emitted.extend(_set(rows, *pick)))
+    messages = read_messages(spark, str(tmp_path / "in0"), streaming=True, maxFilesPerTrigger="1")
+    jobs.start(messages, str(tmp_path / "spread0"), emit=step).awaitTermination()
+    # the second half goes on in keyed state, from the table
+    stream = job(read_messages(spark, str(tmp_path / "in1"), streaming=True), initial=kept.read(spark))
+    jobs.start(stream, str(tmp_path / "spread1"), name=f"{kind}_from_table").awaitTermination()
+    assert sorted(emitted + _set(spark.table(f"{kind}_from_table"), *pick)) == sorted(got)
+
+
+def test_a_batch_reads_no_more_state_than_one_compaction_leaves(spark, tmp_path):
+    kept = batches.state_table(str(tmp_path / "state"))
+    types = {"id": str, "ts": int, "blockPosition": float}
+    step = batches.in_order(batches.block_batches(kept, lambda rows, n: None, 1000, 4000), batches.compacted(kept, 3))
+    for number, rows in _micro_batches(spark, _series(BLOCK_FIELDS, count=80), types, pieces=8):
+        step(rows, number)
+        read = kept.read_before(spark, number + 1).inputFiles()
+        assert len({f.split("/batch_id=")[1].split("/")[0] for f in read if "batch_id=" in f}) <= 2
+
+
 def test_averages(spark, tmp_path):
     records = _series(TANK_FIELDS) + [{"ts": str(FAR), "tankId": "end", "waterTankLevel": 1.0}]
     job = lambda m: jobs.tank_average(m, "10 seconds", "1 second")
@@ -196,6 +240,36 @@ def test_merged_instants_in_the_stream_form(spark, tmp_path):
     assert got[0].rate == pytest.approx(want.rate, rel=1e-12)
 
 
+def test_the_rate_of_a_dense_slice_needs_bounded_state(spark, tmp_path):
+    """One reading per millisecond, out of order between batches; against the batch form, and the state in between."""
+    draw = np.random.default_rng(2)
+    ts = np.arange(1_000, 7_000)
+    draw.shuffle(ts)
+    records = [{"ts": str(t), "tankId": "a", "waterTankLevel": float(draw.integers(0, 64))} for t in ts.tolist()]
+    records += [{"ts": "6999", "tankId": "a", "waterTankLevel": 70.0}, {"ts": "1000", "tankId": "b", "waterTankLevel": 1.0}]
+    folder, checkpoint = str(tmp_path / "in"), str(tmp_path / "checkpoint")
+    _store(spark, folder, records, files=4)
+
+    sunk = []
+    emit = lambda rows, n: sunk.extend(rows.collect())
+
+    def job():
+        messages = read_messages(spark, folder, streaming=True, maxFilesPerTrigger="1")
+        return jobs.fill_time(messages, 120.0, "20 seconds", "10 seconds", "30 seconds")
+
+    jobs.start(job(), checkpoint, emit=emit).awaitTermination()
+    held = spark.read.format("statestore").option("stateVarName", "readings").option("operatorId", 1).load(checkpoint).collect()
+    assert sunk == [] and 1_000 < len(held) <= 2 * KEPT + 1
+    batch = jobs.fill_time(read_messages(spark, folder), 120.0, "20 seconds")
+    _store(spark, str(tmp_path / "end"), [{"ts": str(FAR), "tankId": "end", "waterTankLevel": 1.0}], files=1)
+    os.rename(str(tmp_path / "end" / "part-0.parquet"), f"{folder}/part-9.parquet")
+    jobs.start(job(), checkpoint, emit=emit).awaitTermination()
+    got = sorted((r.tankId, r.window_start, r.ts, r.level, r.eta) for r in sunk)
+    assert got == _set(batch, "tankId", "window_start", "ts", "level", "eta") and len(got) == 2
+    rates = {r.tankId: r.rate for r in sunk}
+    assert all(rates[r.tankId] == pytest.approx(r.rate, rel=1e-12) for r in batch.collect())
+
+
 def _log(depth, **channels):
     return {"nameWell": "W1", "nameWellbore": "WB", "LogName": "L", "tsds": depth, "hint": "DEPTHLOG"} | channels
 
