@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from typing import Any, TypeVar
 
 import pyarrow as pa
@@ -48,6 +49,18 @@ def measured(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if size <= BROADCAST_BYTES else df
 
 
+@contextmanager
+def arrow_batches(spark: SparkSession, size: str) -> Iterator[None]:
+    """Hand rows to Python and back in batches of ``size`` bytes meanwhile; a single longer row is a batch."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, size)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def once(shared: Broadcast, make: Callable[[Any], T]) -> T:
     """What ``make`` builds of a broadcast value, built once in each Python worker."""
     if "_made" not in shared.__dict__:

@@ -46,7 +46,7 @@ BANDS, MEETING, MODELS = 16, 4, 8
 #: Bits of a parity sketch, and of the wider one that sets of WIDE_FROM shingles have as well.
 BITS, WIDE_BITS, WIDE_FROM = 1_024, 8_192, 1_000
 #: Frequent shingles that are known: the most frequent HOT of those met HOT_TIMES in so many shingles.
-HOT, HOT_TIMES, HOT_STEP = 300_000, 2, 2_000_000
+HOT, HOT_TIMES, HOT_STEP = 300_000, 2, 500_000
 STEP_BYTES = 1_000_000
 
 _U = np.uint64
@@ -195,9 +195,12 @@ def profiles(docs: DataFrame, k: int) -> DataFrame:
             yield frequent(held)
 
     def frequent(sets: list[np.ndarray]) -> pa.RecordBatch:
-        found, times = np.unique(np.concatenate(sets), return_counts=True)
+        found = np.concatenate(sets)
+        found.sort()
+        starts = np.flatnonzero(np.append(True, found[1:] != found[:-1])[: len(found)])
+        times = np.diff(np.append(starts, len(found)))
         often = times >= HOT_TIMES
-        listed = [pa.array([x[often].view(np.int64)], longs) for x in (found, times.astype(np.int64))]
+        listed = [pa.array([x[often].astype(np.int64, copy=False)], longs) for x in (found[starts].view(np.int64), times)]
         return pa.RecordBatch.from_arrays([*[pa.nulls(1, pa.int64())] * 3, *[pa.nulls(1, longs)] * 3, *listed], names=names)
 
     names = ["doc_id", "n", "cls", "keys", "sketch", "wide", "hot", "times"]

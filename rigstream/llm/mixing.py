@@ -14,8 +14,10 @@ all rows is many tasks, and a step of the next level joins ``FAN`` blocks. The d
 of source and block, so reruns agree. Only identifiers and sizes are shuffled.
 
 Size: words of the text; a null or empty text has size 0 and stays in the mix as it is drawn. Null
-sources are a source, last in order. Identical rows (id, source, text) share one decision. Without
-rows or words every target is 0. Input columns named like a result column are replaced.
+sources are a source, last in order. Of n identical rows (id, source, text) with a fraction f, floor(n f) are
+taken once more, and one further row is drawn for the rest; so a row that is often repeated
+misses its target by less than one copy. Without rows or words every target is 0. Input columns named like a result
+column are replaced.
 """
 
 from __future__ import annotations
@@ -185,12 +187,25 @@ def sized(docs: DataFrame, text: str = "text", source: str = "source", doc_id: s
     return docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), size.alias("size"), _key(doc_id, source, text).alias("_key"))
 
 
+def _placed(rows: DataFrame) -> DataFrame:
+    """Add ``_place``, a row's number among those of its ``_key``, from 0.
+
+    ``rows`` are stored and have ``_part``, the number of their partition, so that no key comes to one task.
+    """
+    inside = Window.partitionBy("_key", "_part").orderBy(F.lit(1))
+    held = rows.groupBy("_key", "_part").agg(F.count(F.lit(1)).alias("_held"))
+    before = F.sum("_held").over(Window.partitionBy("_key").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+    starts = held.select("_key", "_part", F.coalesce(before, F.lit(0)).alias("_before"))
+    numbered = rows.withColumn("_nth", F.row_number().over(inside)).join(starts, ["_key", "_part"])
+    return numbered.withColumn("_place", F.col("_before") + F.col("_nth") - 1).drop("_before", "_nth", "_part")
+
+
 def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHARE, most: float = MOST, block: int = BLOCK) -> DataFrame:
     """``doc_id``, ``source``, ``size``, ``source_size``, ``target``, ``copies`` and ``taken`` of each row of ``docs``.
 
     ``_key`` tells the row, for ``apply``.
     """
-    rows = materialised(sized(docs))
+    rows = materialised(sized(docs).withColumn("_part", F.spark_partition_id()))
     units = rows.groupBy("_key").agg(
         F.first("source").alias("_source"), F.first("size").alias("_one"), F.count(F.lit(1)).alias("_n")
     )
@@ -202,22 +217,33 @@ def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHAR
     )
     each = per_source.select(F.col("source").alias("_s"), "_copies")
     units = units.join(each, F.col("_source").eqNullSafe(F.col("_s")))
-    rounded = round_parts(
-        units.select(
-            "_key", "_source", (F.col("_one") * F.col("_n")).cast("double").alias("_size"),
-            (F.col("_copies") - F.floor("_copies")).alias("_part"),
-        ),
-        most_rows, block,
-    )
-    joined = rows.join(per_source.withColumnRenamed("source", "_s"), F.col("source").eqNullSafe(F.col("_s"))).join(rounded, "_key")
-    copies = (F.floor("_copies") + F.col("_extra")).cast("long")
-    return joined.select(
+    # what n equal rows take beyond the whole part, together
+    more = F.col("_n") * (F.col("_copies") - F.floor("_copies"))
+    units = materialised(units.withColumns({"_sure": F.floor(more), "_part": more - F.floor(more)}).drop("_s", "_copies"))
+    rounded = round_parts(units.select("_key", "_source", F.col("_one").cast("double").alias("_size"), "_part"), most_rows, block)
+    dealt = rounded.join(units.select("_key", "_n", "_sure"), "_key").select("_key", "_n", (F.col("_sure") + F.col("_extra")).alias("_more"))
+    named = rows.join(per_source.withColumnRenamed("source", "_s"), F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
+    several = measured(units.where("_n > 1").select("_key"))
+    alone = named.join(several, "_key", "left_anti").drop("_part").withColumn("_place", F.lit(0).cast("long"))
+    placed = alone.unionByName(_placed(named.join(several, "_key", "left_semi")))
+    copies = (F.floor("_copies") + (F.col("_place") < F.col("_more")).cast("int")).cast("long")
+    return placed.join(dealt.drop("_n"), "_key").select(
         "_key", "doc_id", "source", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken")
     )
 
 
 def apply(docs: DataFrame, mixed: DataFrame) -> DataFrame:
     """The rows of ``docs``, each as often as ``mixed`` takes it."""
-    taken = mixed.where(F.col("copies") > 0).select("_key", "copies").distinct()
+    counted = mixed.groupBy("_key").agg(F.min("copies").alias("_least"), F.sum("copies").alias("_sum"), F.count(F.lit(1)).alias("_n"))
+    taken = materialised(counted.where("_sum > 0").withColumn("_more", F.col("_sum") - F.col("_n") * F.col("_least")))
     keyed = docs.withColumn("_key", _key("doc_id", "source", "text"))
-    return keyed.join(measured(taken), "_key").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*docs.columns)
+    even = keyed.join(measured(taken.where("_more = 0").select("_key", "_least")), "_key").withColumn("_copies", F.col("_least"))
+    out = even.select(*docs.columns, "_copies")
+    uneven = measured(taken.where("_more > 0").select("_key", "_least", "_more"))
+    if not uneven.isEmpty():
+        # equal rows of which some are taken once more; only their texts are put together
+        rows = materialised(keyed.withColumn("_part", F.spark_partition_id()).join(uneven, "_key"))
+        copies = F.col("_least") + (F.col("_place") < F.col("_more")).cast("int")
+        out = out.unionByName(_placed(rows).withColumn("_copies", copies).select(*docs.columns, "_copies"))
+    often = F.when(F.col("_copies") > 0, F.sequence(F.lit(1).cast("long"), F.col("_copies")))
+    return out.withColumn("_copy", F.explode(often)).select(*docs.columns)

@@ -370,4 +370,47 @@ def test_near_duplicates_go_by_row(spark):
 
 
 def test_every_operator_has_a_query():
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in queries.all_queries()) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in queries.all_queries()) == list(range(1, 14))
+
+
+def test_repeated_rows_meet_their_target(spark):
+    words = " ".join(["w"] * 100)
+    rows = [(1, "a", words)] * 1000 + [(i, "a", f"{i} {words[2:]}") for i in range(2, 202)] + [(500, "b", words)] * 300
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string").repartition(7).cache()
+    mixed = mixing.mix(docs)
+    found = mixed.collect()
+    assert len(found) == len(rows)
+    for source in "ab":
+        taken = sum(r.taken for r in found if r.source == source)
+        target = next(r.target for r in found if r.source == source)
+        assert abs(taken - target) <= 0.01 * target
+    assert all(0 <= r.taken <= 2 * r.size for r in found)
+    again = sorted(tuple(r) for r in mixing.mix(docs).collect())
+    assert again == sorted(tuple(r) for r in found)
+    # taking them gives as many rows as the mix says, whatever further columns tell the copies apart
+    told = docs.withColumn("n", F.monotonically_increasing_id())
+    taken = mixing.apply(told, mixed)
+    assert taken.columns == told.columns and taken.count() == sum(r.copies for r in found)
+    assert taken.groupBy("n").count().agg(F.max("count")).first()[0] <= 2
+
+
+INTERNAL = [
+    "score", "predicted", "plain", "plain_terms", "misspelled", "quoted", "lang_pred", "code_bits", "_key", "_copy", "copies", "_copies", "_id",
+    "_n", "_component", "component_id", "n_shingles", "label", "cls", "size", "target", "taken", "_place", "_part", "_row", "a.b", "Ä ö", "_further_1",
+]
+
+
+def test_stages_leave_columns_of_any_name_alone(spark):
+    draw = random.Random(5)
+    texts = ["the and of to " + " ".join(draw.choices(["the", "river", "stone", "of", "and", "a", "hill"], k=60)) for _ in range(30)]
+    rows = [(i, t, "en", draw.choice("ab"), len(t)) for i, t in enumerate(texts + texts[:3])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars int")
+    for name in INTERNAL:
+        docs = docs.withColumn(name, F.concat(F.lit(f"{name}-"), F.col("doc_id").cast("string")))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        kept = stage(spark, docs, "/root/testdata/sf0.001")
+        assert kept.columns == docs.columns
+        found = kept.collect()
+        assert found
+        for row in found:
+            assert all(row[c] == f"{c}-{row.doc_id}" for c in INTERNAL), name
