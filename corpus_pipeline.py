@@ -3,28 +3,52 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
+from functools import wraps
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rigstream import ensure_checkpoint_dir
 from rigstream.llm import bpe, jaccard, language, mixing, toxicity
-from rigstream.llm.common import measured, table
+from rigstream.llm.common import arrow_batches, measured, table
 from rigstream.session import materialised
 
 
+#: Columns of documents that the stages work with; all others pass through them under names of their own.
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+#: Rows go to Python in batches of so many bytes, whatever their number.
+BATCH_BYTES = "4m"
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def shielded(stage: Stage) -> Stage:
+    """A stage that leaves further columns alone, whatever their names: to the stage they are ``_further_<n>``."""
+
+    @wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        names = [c if c in COLUMNS else f"_further_{i}" for i, c in enumerate(docs.columns)]
+        return stage(spark, docs.toDF(*names), sf_dir).select(*names).toDF(*docs.columns)
+
+    return run
+
+
+@shielded
 def toxic_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Leave out documents whose score is at least 0.5; all labels of the table labels teach the scorer."""
     model = toxicity.fit(docs.select("doc_id", "text"), table(spark, sf_dir, "labels"))
     return toxicity.score(docs, model).where(F.col("predicted") == 0).select(*docs.columns)
 
 
+@shielded
 def unknown_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Leave out documents without letters, and those that no language's model describes."""
     model = language.fit(docs.select("lang", "text"))
     return language.identify(docs, model).where(language.recognised()).select(*docs.columns)
 
 
+@shielded
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each component of documents alike (five words, 0.8): the one of the smallest id.
 
@@ -52,6 +76,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return kept.join(twice, "_key", "left_anti").select(*docs.columns).unionByName(once)
 
 
+@shielded
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it."""
     return mixing.apply(docs, mixing.mix(docs))
@@ -79,7 +104,8 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rows of the last stage; every stage's rows go through Parquet in the shared checkpoint folder."""
     docs = table(spark, sf_dir, "documents")
     folder = f"{ensure_checkpoint_dir(spark)}/pipeline-{uuid.uuid4().hex}"
-    for name, stage in STAGES:
-        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
-        docs = spark.read.parquet(f"{folder}/{name}")
+    with arrow_batches(spark, BATCH_BYTES):
+        for name, stage in STAGES:
+            stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
+            docs = spark.read.parquet(f"{folder}/{name}")
     return docs
