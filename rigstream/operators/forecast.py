@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import BooleanType
 
 from rigstream.operators.decode import computed_once
@@ -117,12 +117,12 @@ def fit(lagged: DataFrame, key: str, p: int, q: int) -> DataFrame:
     and series too short, are modelled by their mean difference (``mean``), and a single
     reading by no change (``level``); ``n`` counts the differences that the model rests on.
     """
-    ones, nothing = F.lit(1.0), F.array().cast("array<double>")
+    ones = F.lit(1.0)
     means = {"mean_step": F.avg(_lag(0)), "_steps": F.count(_lag(0)), "_rows": F.count(F.lit(1))}
     order = long_order(p, q)
     if not q:
         rows = _regress(lagged, key, [ones, *[_lag(k) for k in range(1, p + 1)], _lag(0)], "_beta", **means)
-        rows = rows.withColumn("long_ar", nothing)
+        rows = rows.withColumn("long_ar", F.array().cast("array<double>"))
     else:
         plain = _regress(lagged, key, [ones, *[_lag(k) for k in range(1, order + 1)], _lag(0)], "long_ar", **means)
         first = materialised(plain)
@@ -131,6 +131,12 @@ def fit(lagged: DataFrame, key: str, p: int, q: int) -> DataFrame:
         errors = [_residual(k, order) for k in range(1, q + 1)]
         features = [ones, *[_lag(k) for k in range(1, p + 1)], *errors, _lag(0)]
         rows = first.drop("n").join(_regress(with_long, key, features, "_beta"), key, "left")
+    return _models(rows, key, p, q)
+
+
+def _models(rows: DataFrame, key: str, p: int, q: int) -> DataFrame:
+    """Models of what the two regressions gave: ``_beta``, ``n``, ``long_ar``, ``mean_step``, ``_steps``."""
+    nothing, order = F.array().cast("array<double>"), long_order(p, q)
     is_fitted, step = F.col("_beta").isNotNull(), F.coalesce("mean_step", F.lit(0.0))
 
     def zeros(count: int) -> Column:
@@ -148,6 +154,148 @@ def fit(lagged: DataFrame, key: str, p: int, q: int) -> DataFrame:
     )
 
 
+# ---------------------------------------------------------------- models kept up to date
+#
+# Both regressions need sums of products only, and the residuals of the second are linear in the
+# differences. So sums of products of the differences themselves, which add up over batches, are all
+# that a refit needs; the second regression's equations follow from them by the long autoregression.
+
+#: What a device's sums consist of, beside its key and the readings its next differences need.
+SUMS = ["first", "first_n", "second", "second_n", "steps", "total"]
+
+
+def readings_needed(p: int, q: int) -> int:
+    """How many of a device's last readings the next differences and the forecast need."""
+    return max(p, long_order(p, q) + q) + 2
+
+
+def product_sums(lagged: DataFrame, key: str, p: int, q: int) -> DataFrame:
+    """The sums (SUMS) over the rows of each key, which ``merged_sums`` adds up and ``fit_sums`` solves."""
+    depth = max(p, long_order(p, q) + q)
+    stages = {"first": [*range(1, (long_order(p, q) if q else p) + 1), 0], "second": range(depth + 1) if q else []}
+    aggregates = []
+    told = lagged
+    for name, lags in stages.items():
+        features = [F.lit(1.0), *[_lag(k) for k in lags]]
+        known = _all_known(features)
+        told = told.withColumns({f"_{name}{i}": F.when(known, f) for i, f in enumerate(features)})
+        named = [F.col(f"_{name}{i}") for i in range(len(features))]
+        aggregates += [F.transform(_products(named), lambda x: F.coalesce(x, F.lit(0.0))).alias(name), F.count(named[-1]).alias(name + "_n")]
+    total = F.coalesce(F.sum(_lag(0)), F.lit(0.0)).alias("total")
+    return told.groupBy(key).agg(*aggregates, F.count(_lag(0)).alias("steps"), total)
+
+
+def merged_sums(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
+    """The sums over the rows of both; one row per key and table."""
+    both = old.select(key, *[F.col(c).alias(f"_{c}") for c in SUMS]).join(new, key, "full")
+
+    def added(name: str) -> Column:
+        a, b = F.col(f"_{name}"), F.col(name)
+        whole = F.zip_with(a, b, lambda x, y: x + y) if name in ("first", "second") else a + b
+        return F.when(a.isNull(), b).when(b.isNull(), a).otherwise(whole).alias(name)
+
+    rest = [c for c in new.columns if c not in (key, *SUMS)]
+    return both.select(key, *[added(c) for c in SUMS], *rest)
+
+
+def _residual_products(p: int, q: int):
+    """A column function that turns sums over differences into those of the second regression."""
+    order = long_order(p, q)
+    width = max(p, order + q) + 2
+    upper = np.triu_indices(width)
+    wanted = np.triu_indices(p + q + 2)
+
+    @F.pandas_udf("array<double>")
+    def turn(packed: pd.Series, long_ar: pd.Series) -> pd.Series:
+        out: list[list[float] | None] = [None] * len(packed)
+        for i, (sums, beta) in enumerate(zip(packed, long_ar)):
+            if sums is None or beta is None:
+                continue
+            full = np.empty((width, width))
+            full[upper] = full[upper[::-1]] = np.asarray(sums, dtype=float)
+            # rows of this matrix: 1, the lagged differences, the lagged residuals, the difference
+            by = np.zeros((p + q + 2, width))
+            by[0, 0] = by[-1, 1] = 1.0
+            for k in range(1, p + 1):
+                by[k, 1 + k] = 1.0
+            for k in range(1, q + 1):
+                by[p + k, 0] = -beta[0]
+                by[p + k, 1 + k] += 1.0
+                by[p + k, 2 + k : 2 + k + order] -= np.asarray(beta[1:], dtype=float)
+            out[i] = (by @ full @ by.T)[wanted].tolist()
+        return pd.Series(out, dtype=object)
+
+    return turn
+
+
+def fit_sums(sums: DataFrame, key: str, p: int, q: int) -> DataFrame:
+    """The models that ``fit`` makes of the rows that ``sums`` were taken of, without those rows."""
+    order = long_order(p, q)
+
+    def enough(column: str, count: str, width: int) -> Column:
+        nothing = F.array(*[F.lit(None).cast("double")] * (width * (width + 1) // 2))
+        return F.coalesce(F.when(F.col(count) >= width, F.col(column)), nothing)
+
+    rows = sums.withColumns({"mean_step": F.when(F.col("steps") > 0, F.col("total") / F.col("steps")), "_steps": F.col("steps")})
+    if not q:
+        rows = computed_once(rows, "_beta", _solver(p + 2)(enough("first", "first_n", p + 2)))
+        rows = rows.withColumns({"long_ar": F.array().cast("array<double>"), "n": F.col("first_n")})
+    else:
+        rows = computed_once(rows, "long_ar", _solver(order + 2)(enough("first", "first_n", order + 2)))
+        rows = computed_once(rows, "_turned", _residual_products(p, q)("second", "long_ar"))
+        rows = rows.withColumn("n", F.col("second_n"))
+        rows = computed_once(rows, "_beta", _solver(p + q + 2)(enough("_turned", "n", p + q + 2)))
+    return _models(rows, key, p, q)
+
+
+def last_readings(series: DataFrame, key: str, ts: str, value: str, p: int, q: int) -> DataFrame:
+    """``tail``: each key's last readings, latest first, as many as its next differences need."""
+    latest = Window.partitionBy(key).orderBy(F.desc(ts))
+    few = series.withColumn("_at", F.row_number().over(latest)).where(F.col("_at") <= readings_needed(p, q))
+    tail = F.sort_array(F.collect_list(F.struct(F.col(ts).alias("ts"), F.col(value).alias("value"))), asc=False)
+    return few.groupBy(key).agg(tail.alias("tail"))
+
+
+def from_tail(kept: DataFrame, key: str, ts: str, value: str, p: int, q: int) -> DataFrame:
+    """The last row of ``lagged_series`` of each key, from its ``tail``."""
+    depth = readings_needed(p, q) - 2
+    padded = F.concat(F.transform("tail", lambda r: r["value"]), F.array_repeat(F.lit(None).cast("double"), depth + 2))
+    pairs = F.arrays_zip(F.slice(padded, 1, depth + 1).alias("now"), F.slice(padded, 2, depth + 1).alias("before"))
+    diffs = F.transform(pairs, lambda pair: pair["now"] - pair["before"])
+    return kept.select(key, F.col("tail")[0]["ts"].alias(ts), F.col("tail")[0]["value"].alias(value), diffs.alias("diffs"))
+
+
+def advanced(kept: DataFrame | None, readings: DataFrame, key: str, ts: str, value: str, p: int, q: int, slice_ms: int) -> DataFrame:
+    """What is kept of each device (``key``, ``tail``, SUMS, ``last_ts``) after further readings.
+
+    Readings without a device or value are left out, and so are those at or before the device's last one, as
+    the differences around them are already counted.
+    """
+    known = readings.where(F.col(key).isNotNull() & F.col(value).isNotNull()).select(key, ts, F.col(value).cast("double").alias(value))
+    mine = None
+    if kept is not None:
+        counts = known.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
+        mine = materialised(counts.join(kept, key, "left"))
+        later = _after_last(known, mine, key, ts)
+        old = mine.select(key, F.explode("tail").alias("_r")).select(key, F.col("_r.ts").alias(ts), F.col("_r.value").alias(value))
+        known = later.unionByName(old)
+    known = materialised(one_per_instant(known, [key], ts, [], [value]))
+    lagged = lagged_series(known, key, ts, value, p, q, slice_ms)
+    if mine is not None:
+        lagged = _after_last(lagged, mine, key, ts)
+    new = product_sums(lagged, key, p, q).join(last_readings(known, key, ts, value, p, q), key)
+    new = new.withColumn("last_ts", F.col("tail")[0]["ts"])
+    if mine is None:
+        return new
+    return merged_sums(mine.where(F.col("last_ts").isNotNull()).join(new.select(key), key, "left_semi"), new, key)
+
+
+def _after_last(rows: DataFrame, mine: DataFrame, key: str, ts: str) -> DataFrame:
+    """The rows behind their device's last reading so far."""
+    told = join_per_key(rows, mine.select(key, "_rows", F.col("last_ts").alias("_last")), [key], "_rows")
+    return told.where(F.col("_last").isNull() | (F.col(ts) > F.col("_last"))).select(*rows.columns)
+
+
 @F.pandas_udf(BooleanType())
 def roots_outside(coefficients: pd.Series) -> pd.Series:
     """Whether all roots of 1 - c1 z - c2 z^2 - ... lie outside the unit circle."""

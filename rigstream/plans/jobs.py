@@ -188,6 +188,23 @@ def level_forecast(
     return forecast.forecast(lagged, models, "tankId", "ts", "waterTankLevel", p, q, steps)
 
 
+def keep_level_models(
+    kept: KeyedTable, models: KeyedTable, p: int = 1, q: int = 2, emit: batches.Emit | None = None,
+    steps: int = forecast.FORECAST_STEPS, tank: str | None = None, slice_ms: int = 3_600_000, compact_every: int = 100,
+) -> batches.Emit:
+    """A function for ``start`` over messages that keeps every tank's model up to date and emits its forecasts.
+
+    ``kept`` (``batches.sums_table``) holds what a refit needs, ``models`` (``batches.models_table``) the models,
+    which ``level_forecast`` takes as ``stored_models``.
+    """
+    step = batches.model_batches(kept, models, "tankId", "ts", "waterTankLevel", p, q, slice_ms, emit, steps)
+
+    def run(messages: DataFrame, n: int) -> None:
+        step(decode.tank_series(_records(messages, schemas.TANK, zero_missing=True), tank), n)
+
+    return batches.in_order(run, batches.compacted(kept, compact_every), batches.compacted(models, compact_every))
+
+
 # ------------------------------------------------------------------ well-log jobs
 
 

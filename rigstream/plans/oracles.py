@@ -369,6 +369,9 @@ select tankId, cast(step as bigint) as step, round(x, 6) as forecast, 'fitted' a
 {_arima('a', 'l')}
 select tankId, n, round(c, 8) as intercept, round(phi, 8) as ar1, round(t1, 8) as ma1, round(t2, 8) as ma2, status,
 {STATIONARY} as stationary, {INVERTIBLE} as invertible from a_m"""
+    sql["arima_models_kept"] = f"""{SERIES},
+{_arima('a', 'l')}
+select tankId, n, round(c, 5) as intercept, round(phi, 5) as ar1, round(t1, 5) as ma1, round(t2, 5) as ma2, status from a_m"""
     chosen = f"status = 'fitted' and {STATIONARY} and {INVERTIBLE}"
     sql["arima_reuse"] = f"""{SERIES},
 early as (select * from l where ts < 1705795200000),

@@ -15,6 +15,7 @@ from rigstream.operators import (
 from rigstream.session import ensure_checkpoint_dir
 from rigstream.sources.offsets import offsets_reached
 from rigstream.sources.tables import BATCHES_PER_RUN, KeyedTable, latest_rows
+from rigstream.streaming import batches
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -492,3 +493,20 @@ def arima_reuse(spark, sf_dir):
     early = lagged.where(F.col("ts") < F.lit(REUSE_BEFORE_MS))
     stored = forecast.fit(early, "tankId", 1, 2)
     return _tank_path(lagged, forecast.fit_or_reuse(lagged, stored, "tankId", 1, 2), 1, 2)
+
+
+@query
+def arima_models_kept(spark, sf_dir):
+    """Models kept over two batches of readings, the second without reading the first, one of them replayed."""
+    folder = f"{ensure_checkpoint_dir(spark)}/models-{uuid.uuid4().hex}"
+    kept, models = batches.sums_table(f"{folder}/kept", "tankId"), batches.models_table(f"{folder}/models", "tankId")
+    step = batches.model_batches(kept, models, "tankId", "ts", "waterTankLevel", 1, 2, 5 * DAY_MS)
+    readings = fixtures.tank(spark, sf_dir)
+    early = F.col("ts") < F.lit(REUSE_BEFORE_MS)
+    for number, part in enumerate((readings.where(early), readings.where(~early), readings.where(~early))):
+        step(part, min(number, 1))
+    found = models.read(spark)
+    return found.select(
+        "tankId", "n", F.round("intercept", 5).alias("intercept"), F.round(F.get("ar", F.lit(0)), 5).alias("ar1"),
+        F.round(F.get("ma", F.lit(0)), 5).alias("ma1"), F.round(F.get("ma", F.lit(1)), 5).alias("ma2"), "status",
+    )

@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, functions as F
 
-from rigstream.operators import decode, reshape
+from rigstream.operators import decode, forecast, reshape
 from rigstream.operators.anchors import anchors, block_movement, paired_with, rig_labels, without_first
 from rigstream.operators.skew import join_per_key
 from rigstream.session import materialised
@@ -25,6 +25,16 @@ def state_table(path: str) -> KeyedTable:
     return KeyedTable(path, ("id",), ("id",), 8, ("anchor_ts",))
 
 
+def sums_table(path: str, key: str) -> KeyedTable:
+    """A device's sums and last readings (``forecast.advanced``)."""
+    return KeyedTable(path, (key,), (key,), 8, ("last_ts",))
+
+
+def models_table(path: str, key: str) -> KeyedTable:
+    """A device's newest model (``forecast.fit_sums``)."""
+    return KeyedTable(path, (key,), (key,), 8, ("n",))
+
+
 def upsert_into(table: KeyedTable) -> Emit:
     """A ``foreachBatch`` function that stores each batch in a keyed table."""
     return lambda rows, batch_id: table.write_batch(rows, batch_id)
@@ -144,3 +154,25 @@ def block_batches(state: KeyedTable, emit: Emit, min_ms: int, max_ms: int, tie:
         emit(block_movement(paired.where(~F.col("carried"))).drop("carried", "carried_last"), batch_id)
 
     return run
+
+
+def model_batches(
+    kept: KeyedTable, models: KeyedTable, key: str, ts: str, value: str, p: int, q: int, slice_ms: int,
+    emit: Emit | None = None, steps: int = forecast.FORECAST_STEPS,
+) -> Emit:
+    """Fit every device of a batch anew over all its readings so far, without reading those of earlier batches.
+
+    ``models`` gets the models, ``emit`` the forecasts that follow from them.
+    """
+
+    def run(rows: DataFrame, batch_id: int) -> None:
+        before = kept.read_before(rows.sparkSession, batch_id)
+        new = materialised(forecast.advanced(before, rows, key, ts, value, p, q, slice_ms))
+        kept.write_batch(new, batch_id)
+        fitted = materialised(forecast.fit_sums(new, key, p, q).select(key, *forecast.MODEL))
+        models.write_batch(fitted, batch_id)
+        if emit is not None:
+            last = forecast.from_tail(new, key, ts, value, p, q)
+            emit(forecast.forecast(last, fitted, key, ts, value, p, q, steps), batch_id)
+
+    return run

@@ -262,3 +262,35 @@ def test_every_device_with_a_value_gets_a_forecast(spark, p, q):
         assert found["free", step][1] == "fitted"
         assert np.isfinite(found["gap", step][0])
     assert forecast.forecast(lagged.limit(0), models, "id", "ts", "level", p, q).collect() == []
+
+
+@pytest.mark.parametrize("p, q", [(1, 0), (1, 2), (2, 1), (0, 1)])
+def test_models_kept_over_batches_equal_the_fit_over_all(spark, p, q):
+    draw = np.random.default_rng(p * 10 + q)
+    rows, cut = [], {}
+    for key, n in {"a": 150, "b": 90, "c": 14, "d": 3, "e": 1}.items():
+        ts = np.cumsum(draw.integers(1, 90, n)).tolist()
+        level = np.cumsum(np.convolve(draw.normal(size=n + 3), [1, 0.5, 0.2, 0.1], "valid")).tolist()
+        rows += [(key, t, v) for t, v in zip(ts, level)] + [(key, ts[0], level[0])]
+    rows += [("flat", t, 5.0) for t in range(0, 400, 10)]
+    df = spark.createDataFrame(rows, "id string, ts bigint, level double")
+    lagged = forecast.lagged_series(df, "id", "ts", "level", p, q, 500)
+    want = {r.id: r for r in forecast.fit(lagged, "id", p, q).collect()}
+    kept = None
+    for low, high in ((-1, 700), (700, 2_000), (2_000, 10**9)):
+        part = df.where((F.col("ts") > low) & (F.col("ts") <= high))
+        if kept is not None:  # readings behind the last one change nothing
+            part = part.unionByName(df.where(F.col("ts") <= low).withColumn("level", F.lit(99.0)).where("id <> 'flat'").limit(20))
+        new = skew.materialised(forecast.advanced(kept, part, "id", "ts", "level", p, q, 500))
+        kept = new if kept is None else skew.materialised(kept.join(new, "id", "left_anti").unionByName(new.select(*kept.columns)))
+    got = {r.id: r for r in forecast.fit_sums(kept, "id", p, q).collect()}
+    assert got.keys() == want.keys()
+    for key, row in want.items():
+        assert (got[key].n, got[key].status) == (row.n, row.status)
+        for name in ("intercept", "ar", "ma", "long_ar", "mean_step"):
+            assert got[key][name] == (row[name] and pytest.approx(row[name], rel=1e-5, abs=1e-7)), (key, name)
+    path = forecast.forecast(lagged, forecast.fit(lagged, "id", p, q), "id", "ts", "level", p, q)
+    again = forecast.forecast(forecast.from_tail(kept, "id", "ts", "level", p, q), forecast.fit_sums(kept, "id", p, q), "id", "ts", "level", p, q)
+    want = {(r.id, r.step): r for r in path.collect()}
+    for r in again.collect():
+        assert r.status == want[r.id, r.step].status and r.forecast == pytest.approx(want[r.id, r.step].forecast, rel=1e-5, abs=1e-6)
