@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from rigstream.operators.panes import duration_ms, pane_ms, pane_start, window_starts
 
 STAMP = "_stamp"
 
@@ -44,9 +45,14 @@ def roll_up(averages: DataFrame, keys: list[str], into: str = "average") -> Data
 
 def window_extrema(
     df: DataFrame, value: str, ts: str, window: str, keys: list[str] | None = None,
-    device: str = "id", watermark: str | None = None,
+    device: str = "id", watermark: str | None = None, slide: str | None = None,
 ) -> DataFrame:
-    """Largest and smallest ``value`` of each window, with the time and device of its first row."""
+    """Largest and smallest ``value`` of each window, with the time and device of its first row.
+
+    Windows that overlap (``slide``) are put together from panes; tables only, not streams.
+    """
+    if slide is not None:
+        return _sliding_extrema(df, value, ts, window, slide, keys or [], device)
     stamped, slot = _windowed(df, ts, window, None, watermark)
     first = F.min(F.struct(F.col(ts).cast("bigint").alias("ts"), F.col(device).alias("id")))
     grouped = stamped.groupBy(slot, *[F.col(k) for k in keys or []]).agg(
@@ -59,6 +65,21 @@ def window_extrema(
     )
 
 
+def _sliding_extrema(df: DataFrame, value: str, ts: str, window: str, slide: str, keys: list[str], device: str) -> DataFrame:
+    at = F.col(ts).cast("bigint")
+    rows = df.withColumn("_pane", pane_start(at, pane_ms(window, slide))).where(F.col("_pane").isNotNull())
+    first = F.min(F.struct(at.alias("ts"), F.col(device).alias("id")))
+    panes = rows.groupBy(*keys, "_pane").agg(F.max(value).alias("max"), F.min(value).alias("min"), first.alias("_first"))
+    placed = panes.withColumn("window_start", F.explode(window_starts(F.col("_pane"), window, slide)))
+    whole = placed.groupBy(*keys, "window_start").agg(F.max("max").alias("max"), F.min("min").alias("min"), F.min("_first").alias("_first"))
+    begin, end = F.timestamp_millis("window_start"), F.timestamp_millis(F.col("window_start") + duration_ms(window))
+    rest = [k for k in keys if k != "id"]
+    return whole.select(
+        *rest, F.struct(begin.alias("start"), end.alias("end")).alias("window"), "window_start",
+        F.col("_first.id").alias("id"), F.col("_first.ts").alias("ts"), "max", "min",
+    )
+
+
 def running_extrema(extrema: DataFrame, keys: list[str] | None = None, block: str = "day") -> DataFrame:
     """Carry the extrema on from window to window, per ``keys`` or over all devices.
 
@@ -109,14 +130,17 @@ def record_count(df: DataFrame) -> DataFrame:
 
 
 def window_series(
-    df: DataFrame, key: str, value: str, ts: str, window: str, tie: list[str] | None = None, slices: int = 64
+    df: DataFrame, key: str, value: str, ts: str, window: str, tie: list[str] | None = None, slices: int = 64,
+    slide: str | None = None,
 ) -> DataFrame:
     """The readings of each key and window in time order, numbered from 1.
 
     Each window is cut into ``slices``; rows are numbered inside their slice and moved up by the
-    number of rows in the slices before it.
+    number of rows in the slices before it. Windows that overlap (``slide``) share the slices of their panes.
     """
     tie = tie or [value]
+    if slide is not None:
+        return _sliding_series(df, key, value, ts, window, slide, tie, slices)
     slot = F.window(stamp(F.col(ts)), window)
     start, end = F.unix_millis(slot["start"]), F.unix_millis(slot["end"])
     rows = df.select(key, ts, value, *[c for c in tie if c not in (key, ts, value)], start.alias("window_start"), end.alias("_end"))
@@ -131,6 +155,24 @@ def window_series(
     return numbered.select(key, "window_start", (F.col("_before") + F.col("_at")).alias("position"), ts, value)
 
 
+def _sliding_series(
+    df: DataFrame, key: str, value: str, ts: str, window: str, slide: str, tie: list[str], slices: int
+) -> DataFrame:
+    pane = pane_ms(window, slide)
+    width = max(1, pane // max(1, slices * pane // duration_ms(window)))
+    start = pane_start(F.col(ts), pane)
+    rows = df.select(key, ts, value, *[c for c in tie if c not in (key, ts, value)], start.alias("_pane")).where(F.col("_pane").isNotNull())
+    rows = rows.withColumn("_slice", F.floor((F.col(ts) - F.col("_pane")) / width))
+    part = [key, "_pane", "_slice"]
+    counts = rows.groupBy(*part).agg(F.count(F.lit(1)).alias("_n"))
+    placed = counts.withColumn("window_start", F.explode(window_starts(F.col("_pane"), window, slide)))
+    earlier = Window.partitionBy(key, "window_start").orderBy("_pane", "_slice").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = placed.select(*part, "window_start", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    inside = Window.partitionBy(*part).orderBy(ts, *tie)
+    numbered = rows.withColumn("_at", F.row_number().over(inside)).join(offsets, part)
+    return numbered.select(key, "window_start", (F.col("_before") + F.col("_at")).alias("position"), ts, value)
+
+
 def series_vector(series: DataFrame, key: str, value: str, part_rows: int = 10_000) -> DataFrame:
     """Numbered readings as arrays of at most ``part_rows``; the parts in order form the vector."""
     part = F.floor((F.col("position") - 1) / part_rows).alias("part")

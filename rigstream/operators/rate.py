@@ -6,11 +6,13 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from rigstream.functions.drilling import time_to_limit
 from rigstream.operators.aggregates import stamp
+from rigstream.operators.panes import duration_ms, pane_ms, pane_start, window_starts
 from rigstream.operators.skew import ordering
 
 
 def running_rate(
-    df: DataFrame, key: str, value: str, ts: str, window: str, tie: list[str] | None = None, slices: int = 64
+    df: DataFrame, key: str, value: str, ts: str, window: str, tie: list[str] | None = None, slices: int = 64,
+    slide: str | None = None,
 ) -> DataFrame:
     """Rate per second, last usable time and last usable level of each key and window.
 
@@ -18,14 +20,29 @@ def running_rate(
     mean of itself and each next rate. So the k-th of n rates weighs 2^-(n-k+1), the first twice
     that. Readings of one instant give no rate among themselves: the first of them closes the pair
     before, the last opens the pair after. They are merged before the shuffle, and windows are cut
-    into ``slices`` whose partial sums are combined, so no series is sorted in one task.
+    into ``slices`` whose partial sums are combined, so no series is sorted in one task. Windows that
+    overlap (``slide``) are combined from the slices of the panes they share; these are folded once.
     """
     order = ordering(tie or [value])
+    if slide is not None:
+        pane = pane_ms(window, slide)
+        width = max(1, pane // max(1, slices * pane // duration_ms(window)))
+        rows = df.withColumn("_pane", pane_start(F.col(ts), pane)).where(F.col("_pane").isNotNull())
+        # slices are numbered by their start, so that they follow each other in every window
+        rows = rows.withColumn("_slice", F.col("_pane") + F.floor((F.col(ts) - F.col("_pane")) / width) * width)
+        parts = _slice_parts(rows, [key, "_pane"], value, ts, order)
+        placed = parts.withColumn("window_start", F.explode(window_starts(F.col("_pane"), window, slide))).drop("_pane")
+        return _linked(placed, [key, "window_start"])
     slot = F.window(stamp(F.col(ts)), window)
     rows = df.withColumns({"window_start": F.unix_millis(slot["start"]), "_end": F.unix_millis(slot["end"])})
     width = F.greatest((F.col("_end") - F.col("window_start")) / slices, F.lit(1))
     rows = rows.withColumn("_slice", F.floor((F.col(ts) - F.col("window_start")) / width))
     group = [key, "window_start"]
+    return _linked(_slice_parts(rows, group, value, ts, order), group)
+
+
+def _slice_parts(rows: DataFrame, group: list[str], value: str, ts: str, order: Column) -> DataFrame:
+    """The rates inside each slice of a group, summed up, with the slice's first and last reading."""
     instants = rows.groupBy(*group, "_slice", ts).agg(
         F.min_by(value, order).alias("_opening"), F.max_by(value, order).alias("_closing")
     )
@@ -39,7 +56,7 @@ def running_rate(
         }
     )
     # a slice's second reading closes its first rate, which is kept apart from the sum of the rest
-    parts = rates.groupBy(*group, "_slice").agg(
+    return rates.groupBy(*group, "_slice").agg(
         F.sum(F.when(F.col("_at") > 2, F.col("_rate") * _half_to(F.col("_after") + 1))).alias("_rest"),
         F.max(F.when(F.col("_at") == 2, F.col("_rate"))).alias("_first"),
         F.count("_rate").alias("_n"),
@@ -47,6 +64,9 @@ def running_rate(
         F.max_by(F.struct(F.col(ts).alias("ts"), "_opening", "_closing"), ts).alias("_tail"),
     )
 
+
+def _linked(parts: DataFrame, group: list[str]) -> DataFrame:
+    """Rate, last usable time and level of each group, from its slices in order."""
     # a slice's opening reading pairs with the closing one of the slice before it
     along = Window.partitionBy(*group).orderBy("_slice")
     last = F.lag("_tail").over(along)

@@ -73,6 +73,14 @@ f as (select tankId, window_start, max(ts) as ts, arg_max(level, ts) as level,
 o as (select tankId, window_start, min(ts) as ts, arg_min(level, (ts, level)) as level from t group by all),
 rates as (select o.tankId, o.window_start, coalesce(f.ts, o.ts) as ts, coalesce(f.rate, 0) as rate, coalesce(f.level, o.level) as level
   from o left join f using (tankId, window_start))"""
+
+
+def _overlapping(view: str, columns: str, length: int, step: int) -> str:
+    """Each reading once for every window of ``length`` ms that it lies in, windows beginning every ``step`` ms."""
+    return f"select {columns}, unnest(range((ts - {length}) // {step} + 1, ts // {step} + 1)) * {step} as window_start from ({view})"
+
+
+TANK_OVERLAPPING = _overlapping(TANK, "tankId, ts, level", 129600000, 86400000)
 ETA = """case when rate > 0 and 60 > level then cast(floor((60 - level) / rate) as bigint)
   when rate >= 0 and level >= 60 then 0 else -1 end"""
 
@@ -247,6 +255,14 @@ def oracle_sql() -> dict[str, str]:
 max(x) - min(x) as RPMP2P, max(x) as RPMP2PMAX, min(x) as RPMP2PMIN from v group by window_start"""
     sql["payload_kpi"] = f"""select id as device, ts, '{{"RPMP2PMAX":'||RPMP2PMAX||',"RPMP2PMIN":'||RPMP2PMIN||'}}' as payload
 from ({_running(RPM, "RPMP2P", False)})"""
+    spread = "max(x) - min(x) as {0}P2P, max(x) as {0}P2PMAX, min(x) as {0}P2PMIN"
+    sql["rpm_p2p_sliding"] = f"""with v as ({_overlapping(RPM, "id, ts, x", 10800000, 7200000)})
+select window_start, arg_min(id, (ts, id)) as id, min(ts) as ts, {spread.format("RPM")} from v group by window_start"""
+    sql["torque_p2p_sliding_by_device"] = f"""with v as ({_overlapping(TORQUE, "id, ts, x", 129600000, 86400000)})
+select window_start, id, min(ts) as ts, {spread.format("TRQ")} from v group by window_start, id"""
+    sql["tank_rate_sliding"] = f"{RATES.replace(TANK, TANK_OVERLAPPING)} select tankId, window_start, ts, round(rate, 9) as rate, level from rates"
+    sql["tank_series_sliding"] = f"""select tankId, window_start, row_number() over (partition by tankId, window_start order by ts, level) as position,
+ts, level as waterTankLevel from ({TANK_OVERLAPPING})"""
     sql["rpm_extreme_rows"] = f"""with v as (select id, cast(ts as varchar) as ts, x from ({RPM}))
 select arg_max(id, (x, ts, id)) as max_id, arg_max(ts, (x, ts, id)) as max_ts, max(x) as max_rpm,
 arg_min(id, (x, ts, id)) as min_id, arg_min(ts, (x, ts, id)) as min_ts, min(x) as min_rpm from v"""

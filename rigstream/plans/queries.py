@@ -216,6 +216,32 @@ def tank_lines(spark, sf_dir):
     return decode.as_text_line(decode.tank_series(fixtures.tank(spark, sf_dir)), "tankId", "ts", "waterTankLevel")
 
 
+# ------------------------------------------------------------------ sliding windows
+
+
+@query
+def rpm_p2p_sliding(spark, sf_dir):
+    extrema = aggregates.window_extrema(fixtures.rpm(spark, sf_dir), "currentRpm", "ts", "3 hours", slide="2 hours")
+    return _spread(extrema, "RPMP2P")
+
+
+@query
+def torque_p2p_sliding_by_device(spark, sf_dir):
+    extrema = aggregates.window_extrema(fixtures.torque(spark, sf_dir), "currentTorque", "ts", "36 hours", ["id"], slide="1 day")
+    return _spread(extrema, "TRQP2P")
+
+
+@query
+def tank_rate_sliding(spark, sf_dir):
+    rates = rate.running_rate(fixtures.tank(spark, sf_dir), "tankId", "waterTankLevel", "ts", "36 hours", slide="1 day")
+    return rates.select("tankId", "window_start", "ts", F.round("rate", 9).alias("rate"), "level")
+
+
+@query
+def tank_series_sliding(spark, sf_dir):
+    return aggregates.window_series(fixtures.tank(spark, sf_dir), "tankId", "waterTankLevel", "ts", "36 hours", slide="1 day")
+
+
 # ------------------------------------------------------------------ well logs
 
 

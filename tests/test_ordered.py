@@ -8,6 +8,7 @@ from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from rigstream.operators import aggregates, anchors, forecast, rate, skew
+from rigstream.operators.panes import duration_ms, pane_ms
 
 SLOW = settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 DDL = "id string, ts bigint, seq bigint, level double"
@@ -100,6 +101,44 @@ def test_moving_anchor_over_small_arrow_batches(spark):
     assert got == sorted((k, *r) for k, series in _by_key(rows).items() for r in moving_anchor(series, 2, 50))
 
 
+WINDOWS = [("300 milliseconds", "100 milliseconds"), ("250 milliseconds", "100 milliseconds"), ("1 second", "1 second"), ("70 milliseconds", "30 milliseconds")]
+
+
+@SLOW
+@given(points, st.sampled_from(WINDOWS), st.sampled_from([1, 5, 64]))
+def test_overlapping_windows(spark, found, windows, slices):
+    rows, (window, slide) = _rows(found), windows
+    length, step = duration_ms(window), duration_ms(slide)
+    df = spark.createDataFrame(rows, DDL)
+    series, levels = {}, {}
+    for key, group in _by_key(rows).items():
+        for ts, level in group:
+            for start in range((ts - length) // step * step + step, ts + 1, step):
+                series.setdefault((key, start), []).append((ts, level))
+                levels.setdefault(start, []).append((ts, key, level))
+    got = aggregates.window_series(df, "id", "level", "ts", window, tie=["seq"], slices=slices, slide=slide).collect()
+    numbered = {(k, start, n): point for (k, start), points_ in series.items() for n, point in enumerate(points_, 1)}
+    assert {(r.id, r.window_start, r.position): (r.ts, r.level) for r in got} == numbered and len(got) == len(numbered)
+    for r in rate.running_rate(df, "id", "level", "ts", window, tie=["seq"], slices=slices, slide=slide).collect():
+        last, average, level = running_rate(series[r.id, r.window_start])
+        assert (r.ts, r.level) == (last, level) and r.rate == pytest.approx(average, rel=1e-9, abs=1e-9)
+    got = aggregates.window_extrema(df, "level", "ts", window, slide=slide).collect()
+    assert {r.window_start for r in got} == set(levels)
+    for r in got:
+        here = levels[r.window_start]
+        assert (r.ts, r.id) == min(here)[:2] and (r.max, r.min) == (max(x[2] for x in here), min(x[2] for x in here))
+        assert (r.window.end - r.window.start).total_seconds() * 1000 == length
+
+
+def test_durations():
+    assert [duration_ms(t) for t in ("5 milliseconds", "1 second", "90 Minutes", "1 hour 30 minutes", "1 week")] == [5, 1_000, 5_400_000, 5_400_000, 604_800_000]
+    for text in ("", "hour", "1 month", "5 parsecs", "1 hour and"):
+        with pytest.raises(ValueError):
+            duration_ms(text)
+    with pytest.raises(ValueError):
+        pane_ms("1 hour", "2 hours")
+
+
 @SLOW
 @given(points, st.sampled_from([1, 5, 64]))
 def test_running_rate(spark, found, slices):
