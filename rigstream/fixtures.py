@@ -225,6 +225,44 @@ def dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _events(spark, sf_dir).select(event, text.alias("value"))
 
 
+def _sensor(spark: SparkSession, sf_dir: str, fields: dict[str, Column], value: str) -> DataFrame:
+    """Sensor messages; of some the value is quoted, of some it is no number, some lack it, and some are blank."""
+    event, reading = F.col("event_id"), _text("value")
+    quoted = {**fields, value: F.when(event % 13 == 0, "broken").when(event % 17 != 0, reading)}
+    bare = {**fields, value: F.when(event % 17 != 0, F.col("value"))}
+    as_json = [F.to_json(F.struct(*[c.alias(n) for n, c in made.items()])) for made in (quoted, bare)]
+    text = F.when(event % 23 == 0, " ").when((event % 13 == 0) | (event % 3 == 0), as_json[0]).otherwise(as_json[1])
+    return _events(spark, sf_dir).select(event, text.alias("value"))
+
+
+def tank_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _sensor(spark, sf_dir, {"tankId": _text("user_id"), "ts": _text("ms")}, "waterTankLevel")
+
+
+def wind_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _sensor(spark, sf_dir, {"geoZone": F.col("event_type")}, "windSpeed")
+
+
+def _named(step: int) -> dict[str, Column]:
+    return {"id": F.when(F.col("event_id") % step != 0, _text("user_id")), "ts": F.col("ms")}
+
+
+def rpm_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _sensor(spark, sf_dir, _named(19), "currentRpm")
+
+
+def torque_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _sensor(spark, sf_dir, _named(7), "currentTorque")
+
+
+def well_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of which some carry the shared well name under a vendor's prefix."""
+    event = F.col("event_id")
+    name = F.when(event % 5 == 0, F.concat(F.lit("W"), "user_id")).when(event % 5 == 1, F.lit(""))
+    record = F.struct(name.alias("tempus.nameWell"), _text("user_id").alias("nameWell"))
+    return _events(spark, sf_dir).select(event, F.to_json(record).alias("value"))
+
+
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Messages of four topic partitions, with offsets."""
     return _events(spark, sf_dir).select(

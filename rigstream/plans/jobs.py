@@ -211,7 +211,7 @@ def keep_level_models(
 def specific_energy(
     messages: DataFrame, names: EnergyChannels = EnergyChannels(), keys: LogKeys = LogKeys()
 ) -> DataFrame:
-    return energy.energy_payload(energy.add_energy(_maps(messages), names), keys)
+    return energy.energy_payload(energy.energies(_maps(messages), names, keys))
 
 
 def depth_logs(messages: DataFrame, keys: LogKeys = LogKeys(), keep: tuple[str, ...] = ("offset",)) -> DataFrame:

@@ -370,6 +370,23 @@ case when kind = 5 then ms else 0 end as ts, case when kind = 5 then v else 0 en
 count(*) as n from ({dirty}) where kind in (2, 3) group by kind"""
     sql["decode_maps"] = f"""select event_id, case when kind = 5 then 3 else 0 end as n_fields,
 case when kind = 5 then cast(ms as varchar) end as ts_text from ({dirty}) where kind <> 0"""
+    # blank messages and values that are no numbers are left out; a missing value is 0
+    sent = f"""select event_id, cast(user_id as varchar) as user, {MS} as ms, {HOUR} as window_start, event_type,
+case when event_id % 17 = 0 then 0 else value end as x from events where event_id % 23 <> 0 and event_id % 13 <> 0"""
+    sql["decode_tank"] = f"select event_id, user as tankId, ms as ts, x as waterTankLevel from ({sent})"
+    sql["decode_wind"] = f"select event_id, event_type as geoZone, x as windSpeed from ({sent})"
+    sql["decode_rpm"] = f"select event_id, user as id, cast(ms as varchar) as ts, x as currentRpm from ({sent}) where event_id % 19 <> 0"
+    sql["decode_torque"] = f"select event_id, user as id, cast(ms as varchar) as ts, x as currentTorque from ({sent}) where event_id % 7 <> 0"
+    sql["well_present"] = """select event_id, case when event_id % 5 = 0 then 'W'||user_id else '' end as well from events
+where event_id % 5 in (0, 1)"""
+    torques = f"select user as id, ms as ts, window_start, x from ({sent}) where event_id % 7 <> 0"
+    sql["torque_job"] = f"""select id as device, ts, '{{"TRQP2P":'||TRQP2P||',"TRQP2PMAX":'||TRQP2PMAX||',"TRQP2PMIN":'||TRQP2PMIN||'}}' as payload
+from ({_running(torques, "TRQP2P", False)})"""
+    sql["payload_kpi_spread"] = f"""with v as ({RPM}) select id as device, min(ts) as ts,
+'{{"RPMP2P":'||round(max(x) - min(x), 4)||',"RPMP2PMAX":'||max(x)||',"RPMP2PMIN":'||min(x)||'}}' as payload from v group by id, window_start"""
+    sql["payload_velocity"] = f"""{BLOCK_PAIRS},
+m as (select *, round(abs((pos - anchor_value) / ((ts - anchor_ts) // 1000)), 6) as vel from p)
+select id as device, ts, '{{"BDIR":'||{turn}||',"BDIRTEXT":"'||{name}||'","BVEL":'||vel||'}}' as payload from m where vel between 0.001 and 9999"""
     sql["flat_payload"] = f"""select id, '{{"ts":'||ts||',"blockPosition":'||pos||'}}' as payload from ({BLOCK})"""
 
     sql["ar1_forecast"] = f"""with recursive t as ({TANK}),

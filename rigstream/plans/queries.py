@@ -12,6 +12,7 @@ from rigstream.functions.payloads import flat_json
 from rigstream.operators import (
     aggregates, anchors, decode, energy, forecast, payload_tables, rate, reshape, routing,
 )
+from rigstream.plans import jobs
 from rigstream.session import ensure_checkpoint_dir
 from rigstream.sources.offsets import offsets_reached
 from rigstream.sources.tables import BATCHES_PER_RUN, KeyedTable, latest_rows
@@ -250,7 +251,7 @@ def _maps(df: DataFrame) -> DataFrame:
 
 
 def _energies(spark, sf_dir) -> DataFrame:
-    return energy.add_energy(_maps(fixtures.witsml_mse(spark, sf_dir)))
+    return energy.energies(_maps(fixtures.witsml_mse(spark, sf_dir)))
 
 
 @query
@@ -371,6 +372,18 @@ def payload_kpi(spark, sf_dir):
     return payload_tables.device_messages(spread, ["RPMP2PMAX", "RPMP2PMIN"])
 
 
+@query
+def payload_kpi_spread(spark, sf_dir):
+    spread = _spread(_rpm_extrema(spark, sf_dir, ["id"]), "RPMP2P").withColumn("RPMP2P", F.round("RPMP2P", 4))
+    return payload_tables.device_messages(spread, ["RPMP2P", "RPMP2PMAX", "RPMP2PMIN"])
+
+
+@query
+def payload_velocity(spark, sf_dir):
+    moved = anchors.block_movement(_paired_blocks(spark, sf_dir)).withColumn("BVEL", F.round("BVEL", 6))
+    return payload_tables.device_messages(moved.where(F.col("BVEL").between(0.001, 9999)), ["BDIR", "BDIRTEXT", "BVEL"])
+
+
 @query
 def payload_announce(spark, sf_dir):
     announced = payload_tables.announce_messages(fixtures.tank(spark, sf_dir), F.concat(F.lit("Tank "), "tankId"))
@@ -471,6 +484,46 @@ def decode_maps(spark, sf_dir):
     return rows.select("event_id", F.size("fields").cast("bigint").alias("n_fields"), F.element_at("fields", "ts").alias("ts_text"))
 
 
+def _decoded(messages: DataFrame, fields: dict[str, str]) -> DataFrame:
+    return decode.decoded(decode.decode_record(decode.non_blank(messages), fields, zero_missing=True))
+
+
+@query
+def decode_tank(spark, sf_dir):
+    return _decoded(fixtures.tank_messages(spark, sf_dir), schemas.TANK).select("event_id", *schemas.TANK)
+
+
+@query
+def decode_wind(spark, sf_dir):
+    return _decoded(fixtures.wind_messages(spark, sf_dir), schemas.WIND).select("event_id", *schemas.WIND)
+
+
+@query
+def decode_rpm(spark, sf_dir):
+    """Records without a device are left out after decoding."""
+    rows = _decoded(fixtures.rpm_messages(spark, sf_dir), schemas.RPM)
+    return decode.non_null(rows, "id").select("event_id", *schemas.RPM)
+
+
+@query
+def decode_torque(spark, sf_dir):
+    rows = _decoded(fixtures.torque_messages(spark, sf_dir), schemas.TORQUE)
+    return decode.non_null(rows, "id").select("event_id", *schemas.TORQUE)
+
+
+@query
+def well_present(spark, sf_dir):
+    maps = _maps(fixtures.well_messages(spark, sf_dir))
+    shared = schemas.LogKeys(prefix="tempus.").shared_well
+    return decode.has_shared_well(maps, shared).select("event_id", F.element_at("fields", shared).alias("well"))
+
+
+@query
+def torque_job(spark, sf_dir):
+    """From messages to telemetry: the spread of the torque over all devices so far, window by window."""
+    return jobs.torque_peak_to_peak(fixtures.torque_messages(spark, sf_dir), "1 hour")
+
+
 @query
 def flat_payload(spark, sf_dir):
     rows = fixtures.block(spark, sf_dir)

@@ -2,18 +2,20 @@
 
 import json
 import os
+import time
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from rigstream.operators import anchors, reshape
+from rigstream.operators import anchors, decode, reshape
 from rigstream.plans import jobs
-from rigstream.schemas import PRIMARY_KEYS, RIG
+from rigstream.schemas import PRIMARY_KEYS, RIG, TANK
 from rigstream.sources.messages import from_kafka, read_messages, read_text
 from rigstream.sources.offsets import offsets_reached, starting_offsets
 from rigstream.sources.tables import KeyedTable, batch_base
-from rigstream.streaming import batches
+from rigstream.streaming import batches, counts
+from rigstream.streaming.late import device_windows, split_late
 from rigstream.streaming.rate import KEPT
 from rigstream.streaming.state import anchors_kept, with_first_reading_stream
 
@@ -270,6 +272,79 @@ def test_the_rate_of_a_dense_slice_needs_bounded_state(spark, tmp_path):
     assert all(rates[r.tankId] == pytest.approx(r.rate, rel=1e-12) for r in batch.collect())
 
 
+def test_late_readings_are_handed_on(spark, tmp_path):
+    """Every reading is counted in a window of its device or handed on as late."""
+    draw = np.random.default_rng(4)
+    records = []
+    for at in range(600):
+        ts = at * 100 - int(draw.choice([0, 0, 0, 500, 4_000, 30_000]))
+        records.append({"ts": str(max(ts, 0)), "tankId": f"d{draw.integers(0, 3)}", "waterTankLevel": float(draw.integers(0, 9))})
+    records += [{"ts": str(FAR), "tankId": f"d{n}", "waterTankLevel": 0.0} for n in range(3)]
+    _store(spark, str(tmp_path / "in"), records, files=6)
+    windows, late = [], []
+    emit = split_late(lambda rows, n: windows.extend(rows.collect()), lambda rows, n: late.extend(rows.collect()))
+    messages = read_messages(spark, str(tmp_path / "in"), streaming=True, maxFilesPerTrigger="1")
+    rows = device_windows(jobs._records(messages, TANK), "tankId", "waterTankLevel", "ts", "2 seconds", "1 second")
+    jobs.start(rows, str(tmp_path / "checkpoint"), emit=emit).awaitTermination()
+
+    want, gone, clocks, size = {}, [], {}, -(-len(records) // 6)
+    for begin in range(0, len(records), size):
+        before = dict(clocks)
+        for r in records[begin : begin + size]:
+            ts, tank = int(r["ts"]), r["tankId"]
+            start = ts // 2_000 * 2_000
+            if tank in before and start + 2_000 <= before[tank] - 1_000:
+                gone.append((tank, ts, r["waterTankLevel"]))
+                continue
+            clocks[tank] = max(clocks.get(tank, 0), ts)
+            want.setdefault((tank, start), []).append(r["waterTankLevel"])
+    want = {k: v for k, v in want.items() if k[1] + 2_000 <= clocks[k[0]] - 1_000}
+    assert {(r.tankId, r.window_start): (r.total, r.n) for r in windows} == {k: (sum(v), len(v)) for k, v in want.items()}
+    assert sorted((r.tankId, r.late_ts, r.late_value) for r in late) == sorted(gone) and len(gone) > 50
+    # the far readings' windows stay open
+    assert sum(r.n for r in windows) + len(late) == len(records) - 3
+
+
+def test_counts_are_taken_while_a_batch_runs(spark, tmp_path):
+    records = _series(TANK_FIELDS, count=90)
+    for at in range(0, 90, 9):
+        records[at]["waterTankLevel"] = "broken"
+    _store(spark, str(tmp_path / "in"), records)
+    listener = counts.gather(spark)
+    try:
+        messages = read_messages(spark, str(tmp_path / "in"), streaming=True, maxFilesPerTrigger="1")
+        rows = counts.observed_decode(decode.decode_record(decode.non_blank(messages), TANK))
+        rows = counts.observed(rows, "written", high=F.count_if(F.col("waterTankLevel") > 50))
+        jobs.start(rows, str(tmp_path / "checkpoint"), name="counted").awaitTermination()
+        found = spark.table("counted")
+        deadline = time.time() + 30
+        while listener.total("counted", "written") < found.count() and time.time() < deadline:
+            time.sleep(0.2)
+        assert [listener.total("counted", "decode", c) for c in ("rows", "quarantined")] == [90, 10]
+        assert listener.total("counted", "written") == found.count() == 80
+        assert listener.total("counted", "written", "high") == found.where("waterTankLevel > 50").count()
+        assert {b for q, n, b in listener.counts if (q, n) == ("counted", "decode") and listener.counts[q, n, b]["rows"]} == {0, 1, 2}
+    finally:
+        spark.streams.removeListener(listener)
+
+
+def test_a_job_keeps_models(spark, tmp_path):
+    records = _series(TANK_FIELDS, count=300, step=500)
+    _store(spark, str(tmp_path / "in"), records, files=3)
+    kept, models = batches.sums_table(str(tmp_path / "kept"), "tankId"), batches.models_table(str(tmp_path / "models"), "tankId")
+    told = {}
+    emit = lambda rows, n: told.update({n: {(r.tankId, r.step): r.forecast for r in rows.collect()}})
+    step = jobs.keep_level_models(kept, models, 1, 1, emit, slice_ms=20_000, compact_every=2)
+    messages = read_messages(spark, str(tmp_path / "in"), streaming=True, maxFilesPerTrigger="1")
+    jobs.start(messages, str(tmp_path / "checkpoint"), emit=step).awaitTermination()
+    assert len(told) == 3
+    batch = read_messages(spark, str(tmp_path / "in"))
+    want = {(r.tankId, r.step): r.forecast for r in jobs.level_forecast(batch, 1, 1, slice_ms=20_000).collect()}
+    assert told[max(told)] == pytest.approx(want, rel=1e-6) and len(want) == 15
+    again = jobs.level_forecast(batch, 1, 1, stored_models=models.read(spark), slice_ms=20_000)
+    assert {(r.tankId, r.step): r.forecast for r in again.collect()} == pytest.approx(want, rel=1e-6)
+
+
 def _log(depth, **channels):
     return {"nameWell": "W1", "nameWellbore": "WB", "LogName": "L", "tsds": depth, "hint": "DEPTHLOG"} | channels
 
