@@ -18,7 +18,7 @@ result. No table is broadcast beside the centres, and no anchor's candidates are
 A row takes no part if its label, vector or id is null, or if the vector is empty, has a null or non-finite
 component, or one that is not finite once scaled. Vectors are compared with those of their own length. Rows of the
 anchor's id are neither its positives nor its negatives; other repeated rows count each. Of several rows of
-one anchor id the smallest (label, vector) is the anchor. Scores are exact whole numbers; beyond 64
+one anchor id that of the smallest label, and then of the first packed vector, is the anchor. Scores are exact whole numbers; beyond 64
 bits they are cut to the largest or smallest one. Empty tables, and anchors without positives, give no rows.
 Columns beside those three do not matter, whatever their names.
 """
@@ -33,6 +33,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from rigstream.llm import vectors
 from rigstream.llm.common import once
 from rigstream.session import materialised
 
@@ -42,61 +43,16 @@ SHARD, BLOCK, PIECE = 4_096, 16_384, 256
 FIRST = 16
 #: Anchors that the centres are fitted on, and anchors for each centre.
 SAMPLE, MEMBERS, ROUNDS = 4_096, 64, 8
-LEAST, MOST = np.iinfo("int64").min, np.iinfo("int64").max
-#: Whole numbers up to this size are exact as floating point numbers.
-EXACT = 2.0**53
+LEAST, MOST = vectors.LEAST, vectors.MOST
 FOUND = "anchor_id long, window int, vec_id long, score long"
 
 
 def packed(rows: DataFrame, scale: int, vec_id: str, vector: str, label: Column, is_anchor: Column) -> DataFrame:
-    """``vec_id``, ``label``, ``asks``, ``dims`` and ``v``, the whole numbers floor(scale * x) as bytes, of the rows that take part.
-
-    Small numbers take two bytes, others eight.
-    """
-    sound = F.forall("_v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    """``vec_id``, ``label``, ``asks``, ``dims`` and ``v`` (``vectors.packed``) of the rows that take part."""
     named = rows.select(
-        F.col(vec_id).cast("long").alias("vec_id"), label.cast("long").alias("label"), is_anchor.alias("asks"),
-        F.col(vector).cast("array<double>").alias("_v"),
+        F.col(vec_id).cast("long").alias("vec_id"), label.cast("long").alias("label"), is_anchor.alias("asks"), F.col(vector).alias("_v")
     )
-    known = named.where(F.col("vec_id").isNotNull() & F.col("label").isNotNull() & (F.size("_v") > 0) & sound)
-
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lists = batch.column("_v")
-            sizes = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
-            with np.errstate(over="ignore"):
-                whole = np.floor(scale * lists.flatten().to_numpy(zero_copy_only=False))
-            ends = np.cumsum(sizes)
-            parts, keep = [], np.ones(len(sizes), bool)
-            for i, (end, size) in enumerate(zip(ends, sizes)):
-                v = whole[end - size : end]
-                largest = np.abs(v).max()
-                keep[i] = np.isfinite(largest)
-                parts.append((v.astype("<i2") if largest < 2**15 else v).tobytes())
-            made = [*batch.columns[:3], pa.array(sizes, pa.int32()), pa.array(parts, pa.binary())]
-            yield pa.RecordBatch.from_arrays(made, names=["vec_id", "label", "asks", "dims", "v"]).filter(pa.array(keep))
-
-    return known.mapInArrow(pack, "vec_id long, label long, asks boolean, dims int, v binary")
-
-
-def unpacked(values: pa.ChunkedArray, dims: int) -> np.ndarray:
-    """The rows of a column of packed vectors of one length."""
-    parts = values.to_pylist()
-    out = np.empty((len(parts), dims))
-    short = np.array([len(p) == 2 * dims for p in parts], bool)
-    for mine, kind in ((short, "<i2"), (~short, "<f8")):
-        at = np.flatnonzero(mine)
-        if len(at):
-            out[at] = np.frombuffer(b"".join(parts[i] for i in at), kind).reshape(len(at), dims)
-    return out
-
-
-def _products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Exact inner products of rows of whole numbers, cut to 64 bits."""
-    if np.abs(a).max(initial=0) * np.abs(b).max(initial=0) * a.shape[1] < EXACT:
-        return (a @ b.T).astype(np.int64)
-    whole = np.frompyfunc(int, 1, 1)
-    return np.clip(whole(a) @ whole(b).T, int(LEAST), int(MOST)).astype(np.int64)
+    return vectors.packed(named.where(F.col("vec_id").isNotNull() & F.col("label").isNotNull()), scale, "_v")
 
 
 @dataclass
@@ -160,7 +116,7 @@ def walk(members: np.ndarray, labels: np.ndarray, own: np.ndarray, rows: np.ndar
         if not len(walking):
             break
         part = slice(begin, begin + piece)
-        score = _products(members[walking], rows[part])
+        score = vectors.products(members[walking], rows[part])
         taken += score.size
         fits = ((labels[walking][:, None] == theirs[part]) == hunt.same) & (own[walking][:, None] != ids[part])
         met = []
@@ -185,7 +141,7 @@ def fit_centres(anchors: DataFrame, sample: int = SAMPLE) -> dict[int, np.ndarra
     chosen = anchors.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).select("dims", "v").toArrow()
     centres = {}
     for dims in set(chosen.column("dims").to_pylist()):
-        unit, _ = _unit(unpacked(chosen.filter(pc.equal(chosen.column("dims"), dims)).column("v"), dims))
+        unit, _ = _unit(vectors.unpacked(chosen.filter(pc.equal(chosen.column("dims"), dims)).column("v"), dims))
         made = unit[:: max(1, min(MEMBERS, len(unit) // 2))]
         for _ in range(ROUNDS):
             nearest = np.argmax(unit @ made.T, axis=1)
@@ -208,7 +164,7 @@ def clustered(anchors: DataFrame, centres: dict[int, np.ndarray]) -> DataFrame:
             for size in np.unique(dims):
                 at = np.flatnonzero(dims == size)
                 if size in known:
-                    unit, _ = _unit(unpacked(batch.column("v").take(pa.array(at)), size))
+                    unit, _ = _unit(vectors.unpacked(batch.column("v").take(pa.array(at)), size))
                     cluster[at] = np.argmax(np.nan_to_num(unit) @ known[size].T, axis=1)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cluster)], names=[*batch.schema.names, "cluster"])
 
@@ -247,13 +203,13 @@ def _search(
         made: list[list[np.ndarray]] = []
         dims = key[2].as_py()
         if mine.num_rows and theirs.num_rows:
-            rows, ids = unpacked(theirs.column("v"), dims), theirs.column("vec_id").to_numpy()
+            rows, ids = vectors.unpacked(theirs.column("v"), dims), theirs.column("vec_id").to_numpy()
             labels = theirs.column("label").to_numpy()
             clusters = mine.column("cluster").to_numpy()
             for cluster in np.unique(clusters):
                 part = mine.take(pa.array(np.flatnonzero(clusters == cluster)))
                 own = part.column("vec_id").to_numpy()
-                found, _ = walk(unpacked(part.column("v"), dims), part.column("label").to_numpy(), own, rows, labels, ids, hunt_for(part))
+                found, _ = walk(vectors.unpacked(part.column("v"), dims), part.column("label").to_numpy(), own, rows, labels, ids, hunt_for(part))
                 made.append([own[found[0]], *found[1:]])
         columns = [np.concatenate([m[i] for m in made]) if made else np.zeros(0, np.int64) for i in range(4)]
         kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64()]

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rigstream.llm import bpe, fingerprints, jaccard, language, lengths, licenses, merkle, mixing, negatives, topk, toxicity, urls, warc
 from rigstream.llm.common import held_out, table
-from rigstream.session import ensure_checkpoint_dir
+from rigstream.session import ensure_checkpoint_dir, materialised
 
 #: Fixed values of the contract.
 URL_RULES = [
@@ -69,7 +69,7 @@ def op8_length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vectors = topk.scaled(table(spark, sf_dir, "embeddings"))
+    vectors = materialised(topk.scaled(table(spark, sf_dir, "embeddings")))
     found = topk.top_k(vectors, vectors.where(F.col("vec_id") % 20 == 0))
     return found.select("query_id", "rank", "vec_id", "score")
 
@@ -194,11 +194,13 @@ WHERE NOT n.same AND 30 * p.score <= 100 * n.score AND 100 * n.score <= 90 * p.s
 QUALIFY rank <= 10""",
     "op9_top_k": """
 WITH v AS (
-  SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS v FROM embeddings
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS v FROM embeddings
   WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), q AS (
+  SELECT vec_id, min(v) AS v FROM v WHERE vec_id % 20 = 0 GROUP BY vec_id
 ), scored AS (
   SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
-  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND q.vec_id % 20 = 0
+  FROM q JOIN v c ON q.vec_id <> c.vec_id
 ), ranked AS (
   SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored
 )

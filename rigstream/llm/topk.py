@@ -1,101 +1,109 @@
 """Exact top-k search by inner product with Fagin's threshold algorithm.
 
 Candidates are split into shards. A shard keeps one sorted list per dimension. A query reads the
-lists from the end that its component favours, ever deeper; every vector met is scored in full, and
-the sum of the products at the present depth bounds all vectors not met yet. A query stops when that
-bound is below its k-th best score (strictly, as ties go to the smaller id). Depths double, and a
-block of queries goes through a shard together, so both the search of the lists and the scoring are
-products of matrices.
+lists from the end that its component favours, ever deeper; every row newly met is scored, once, and
+the sum of the products at the present depth bounds all rows not met yet. A query stops when that
+bound is below its k-th best score (strictly, as ties go to the smaller id). Depths double.
 
 Queries are dealt in blocks and meet every shard in a co-group of bounded size; the best k of each
 shard meet in one more aggregation. Nothing of the queries or the candidates is broadcast.
 
-A vector takes no part if it is null, or has a null or non-finite component, or no id. Vectors of
-another length than the query's are not compared. Identical rows count once; rows of the query's id
-are not its candidates; of several vectors of one id the smallest is the query. Components become
-whole numbers of at most 2**24 in size, larger ones raise an error. Empty tables give no rows.
+A vector takes no part if it is null or empty, has a null or non-finite component or one that is not finite
+once scaled, or no id. Vectors of another length than the query's are not compared. Rows of the query's id are
+not its candidates; all other rows are, repeated ones each. Of several vectors of one id the first by length and packed
+bytes is the query. Scores are exact whole numbers; beyond 64 bits they are cut to the largest or smallest
+one. Empty tables give no rows. Columns beside id and vector do not matter, whatever their names.
 """
 
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
+from rigstream.llm import vectors as packing
+
 SHARD = 4_096
-QUERIES = 512
-FIRST_DEPTH = 64
-LARGEST = 1 << 24
+QUERIES = 4_096
+FIRST_DEPTH = 16
 
 
 def scaled(vectors: DataFrame, scale: int = 64, vec_id: str = "vec_id", vector: str = "embedding") -> DataFrame:
-    """``vec_id`` and ``v``, the components floor(scale * x), of the rows that take part."""
-    whole = F.transform(F.col(vector), lambda x: F.floor(x.cast("double") * F.lit(float(scale))).cast("long"))
-    sound = F.forall(F.col(vector), lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) < float("inf")))
-    kept = vectors.where(F.col(vec_id).isNotNull() & F.col(vector).isNotNull() & (F.size(vector) > 0) & sound)
-    return kept.select(F.col(vec_id).cast("long").alias("vec_id"), whole.alias("v")).distinct()
-
-
-def threshold_search(queries: np.ndarray, vectors: np.ndarray, ids: np.ndarray, own: np.ndarray, k: int):
-    """For each query the rows of its k best vectors and their scores; also how many rows it scored."""
-    n, dims = vectors.shape
-    order = np.argsort(vectors, axis=0, kind="stable")
-    place = np.empty((n, dims), np.int32)
-    np.put_along_axis(place, order, np.broadcast_to(np.arange(n, dtype=np.int32)[:, None], (n, dims)), 0)
-    rising = np.take_along_axis(vectors, order, 0)
-    # ids in order make equal scores fall in the right order when sorted stably
-    best: list = [None] * len(queries)
-    scored = np.zeros(len(queries), np.int64)
-    active, depth = np.arange(len(queries)), min(FIRST_DEPTH, n)
-    while len(active):
-        q = queries[active]
-        up, down = (q > 0).astype(np.float32), (q < 0).astype(np.float32)
-        met = up @ (place >= n - depth).T.astype(np.float32) + down @ (place < depth).T.astype(np.float32) > 0
-        if depth == n:
-            met[:] = True
-        scores = q @ vectors.T
-        met &= ids[None, :] != own[active][:, None]
-        found = np.where(met, scores, -np.inf)
-        bound = np.maximum(q, 0) @ rising[max(0, n - depth)] + np.minimum(q, 0) @ rising[min(n, depth) - 1]
-        kth = -np.partition(-found, k - 1, axis=1)[:, k - 1] if n >= k else np.full(len(q), -np.inf)
-        over = (kth > bound) | (depth == n)
-        for at in np.nonzero(over)[0]:
-            rows = np.nonzero(found[at] >= kth[at])[0] if np.isfinite(kth[at]) else np.nonzero(met[at])[0]
-            rows = rows[np.lexsort((ids[rows], -found[at][rows]))][:k]
-            best[active[at]] = rows, found[at][rows].astype(np.int64)
-            scored[active[at]] = met[at].sum()
-        active, depth = active[~over], min(n, 2 * depth)
-    return best, scored
+    """``vec_id``, ``dims`` and ``v``, the components floor(scale * x) packed, of the rows that take part."""
+    named = vectors.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(vector).alias("_v"))
+    return packing.packed(named.where(F.col("vec_id").isNotNull()), scale, "_v")
+
+
+class Lists:
+    """The sorted lists of a shard, one per dimension."""
+
+    def __init__(self, rows: np.ndarray, ids: np.ndarray):
+        self.rows, self.ids = rows, ids
+        order = np.argsort(rows, axis=0, kind="stable")
+        self.rising = np.take_along_axis(rows, order, 0)
+        self.order = np.ascontiguousarray(order.T.astype(np.int32))
+
+    def _bound(self, query: np.ndarray, up: np.ndarray, down: np.ndarray, depth: int, small: bool) -> int:
+        """What no row beyond ``depth`` in all lists exceeds."""
+        at = np.zeros(len(query))
+        at[up], at[down] = self.rising[len(self.rows) - depth, up], self.rising[depth - 1, down]
+        return int(packing.products(query[None, :], at[None, :], small)[0, 0])
+
+    def search(self, query: np.ndarray, own: int, k: int, small: bool) -> tuple[np.ndarray, np.ndarray, int]:
+        """The rows of the ``k`` best, their scores, and how many rows were scored."""
+        n = len(self.rows)
+        up, down = np.flatnonzero(query > 0), np.flatnonzero(query < 0)
+        left = self.ids != own
+        best, scores = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        taken, before, depth = 0, 0, min(FIRST_DEPTH, n)
+        while True:
+            met = np.zeros(n, bool)
+            met[self.order[up, n - depth : n - before]] = True
+            met[self.order[down, before:depth]] = True
+            if depth == n:
+                met[:] = True
+            new = np.flatnonzero(met & left)
+            left[new] = False
+            taken += len(new)
+            best = np.append(best, new)
+            scores = np.append(scores, packing.products(self.rows[new], query[None, :], small)[:, 0])
+            # the lowest 64-bit number has no opposite
+            kept = np.lexsort((self.ids[best], -np.maximum(scores, packing.LEAST + 1)))[:k]
+            best, scores = best[kept], scores[kept]
+            if depth == n or (len(best) == k and scores[-1] > self._bound(query, up, down, depth, small)):
+                return best, scores, taken
+            before, depth = depth, min(n, 2 * depth)
 
 
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, shard: int = SHARD, block: int = QUERIES) -> DataFrame:
     """``query_id``, ``rank``, ``vec_id``, ``score``, ``rows_scored``: the k best of ``vectors`` for each of ``queries``.
 
-    Both hold ``vec_id`` and ``v`` (whole numbers), as ``scaled`` makes them.
+    Both hold ``vec_id``, ``dims`` and ``v``, as ``scaled`` makes them. ``rows_scored`` counts the products taken in the
+    shard that the row comes from.
     """
-    checked = F.transform("v", lambda x: F.when(F.abs(x) <= LARGEST, x).otherwise(F.raise_error(F.lit("component too large")).cast("long")))
-    asked = queries.groupBy("vec_id").agg(F.min("v").alias("v"))
+    asked = queries.groupBy("vec_id").agg(F.min(F.struct("dims", "v")).alias("_q")).select("vec_id", "_q.*")
     shards, blocks = (max(1, -(-df.count() // size)) for df, size in ((vectors, shard), (asked, block)))
-    kinds = [("_dims", F.size("v")), ("v", checked)]
-    held = vectors.select(F.col("vec_id").alias("_id"), *[c.alias(n) for n, c in kinds], F.pmod(F.xxhash64("vec_id", "v"), F.lit(shards)).alias("_shard"))
-    held = held.withColumn("_block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    put = asked.select("vec_id", *[c.alias(n) for n, c in kinds], F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int").alias("_block"))
-    put = put.withColumn("_shard", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))))
-
-    def search(theirs: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        if len(theirs) and len(rows):
-            q, v = (np.array(x["v"].tolist(), np.float64) for x in (theirs, rows))
-            ids, own = rows["_id"].to_numpy(), theirs["vec_id"].to_numpy()
-            best, scored = threshold_search(q, v, ids, own, k)
-            for i, (at, scores) in enumerate(best):
-                out.append(pd.DataFrame({"query_id": own[i], "vec_id": ids[at], "score": scores, "rows_scored": scored[i]}))
-        empty = pd.DataFrame({c: np.zeros(0, np.int64) for c in ("query_id", "vec_id", "score", "rows_scored")})
-        return pd.concat(out) if out else empty
-
-    keys = ["_block", "_shard", "_dims"]
-    met = put.groupBy(*keys).cogroup(held.groupBy(*keys)).applyInPandas(
-        search, "query_id long, vec_id long, score long, rows_scored long"
-    )
+    # a row's own number deals repeated rows over the shards
+    number = F.pmod(F.xxhash64("vec_id", F.monotonically_increasing_id()), F.lit(shards)).cast("int")
+    held = vectors.withColumn("shard", number).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    put = asked.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int"))
+    put = put.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
+    schema = pa.schema([(name, pa.int64()) for name in ("query_id", "vec_id", "score", "rows_scored")])
+
+    def meet(key: tuple, theirs: pa.Table, rows: pa.Table) -> pa.Table:
+        found: list[list[np.ndarray]] = []
+        if theirs.num_rows and rows.num_rows:
+            dims = key[2].as_py()
+            asking, own = packing.unpacked(theirs.column("v"), dims), theirs.column("vec_id").to_numpy()
+            lists = Lists(packing.unpacked(rows.column("v"), dims), rows.column("vec_id").to_numpy())
+            small = packing.are_small(asking, lists.rows)
+            for query, query_id in zip(asking, own):
+                best, scores, taken = lists.search(query, query_id, k, small)
+                found.append([np.full(len(best), query_id), lists.ids[best], scores, np.full(len(best), taken)])
+        columns = [np.concatenate([f[i] for f in found]) if found else np.zeros(0, np.int64) for i in range(4)]
+        return pa.table(columns, schema=schema)
+
+    keys = ["block", "shard", "dims"]
+    met = put.groupBy(*keys).cogroup(held.groupBy(*keys)).applyInArrow(meet, "query_id long, vec_id long, score long, rows_scored long")
     ranked = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return met.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score", "rows_scored")

@@ -10,10 +10,10 @@ tells quotation from abuse. Four figures per document go into a logistic score:
 term, the number of plain terms, the strongest misspelled one, the strongest quoted one.
 
 Learning takes at most ``MAX_ROWS`` labelled documents, whole, in the order of a hash (a documented
-bound), and at most ``MAX_TERMS`` terms. Scoring covers whole texts.
+bound). Their evidence alone decides which terms are learned. Scoring covers whole texts.
 
 Null and empty texts have no terms and get the score of such a document. Labels that are null are
-not learned, of several labels of one id the highest counts. If nothing could be learned, every
+not learned, of several labels of one id the highest counts, of several texts the smallest. If nothing could be learned, every
 score is the share of toxic labels, or 0 without labels. Empty tables stay empty, repeated rows are
 scored each, input columns named like a result column are replaced.
 """
@@ -34,7 +34,6 @@ from rigstream.llm.common import map_rows, once
 from rigstream.session import materialised
 
 MAX_ROWS = 20_000
-MAX_TERMS = 1_000
 #: A term's evidence: G-squared against the share of toxic documents, and toxic documents among its own.
 EVIDENCE, PRECISION = 25.0, 0.5
 #: Lengths of beginnings that may become terms; letters a whole word needs to be met with an edit.
@@ -253,7 +252,8 @@ def labelled(docs: DataFrame, labels: DataFrame, most: int = MAX_ROWS) -> DataFr
     chosen = thin.orderBy(draw, "doc_id").limit(most)
     # not more than `most` rows of two numbers
     found = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-    return materialised(found.select("text", "toxic"))
+    # one text for each id, the smallest, so that an id on many rows is one row
+    return materialised(found.groupBy("doc_id", "toxic").agg(F.min("text").alias("text")).select("text", "toxic"))
 
 
 def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -339,13 +339,14 @@ def learn_terms(rows: DataFrame) -> list[Term]:
     evidence = 2 * (k * F.log(k / (n * F.lit(share))) + rest)
     sums = counted.agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     strong = sums.where((k > 0) & (k >= PRECISION * n) & (evidence >= EVIDENCE))
-    found = strong.withColumn("evidence", evidence).orderBy(F.desc("evidence"), "term").limit(MAX_TERMS).collect()
+    found = strong.collect()
     strongest: dict[str, int] = {}
     for row in found:
         for i in range(1, len(row.term)):
             strongest[row.term[:i]] = max(strongest.get(row.term[:i], 0), row.toxic)
     found = [row for row in found if strongest.get(row.term, 0) < SPECIFIC * row.toxic]
     chosen: dict[str, float] = {}
+    names = {row.term for row in found}
     terms = []
     for row in sorted(found, key=lambda r: (len(r.term), r.term)):
         precision = row.toxic / (row.toxic + row.clean)
@@ -358,7 +359,7 @@ def learn_terms(rows: DataFrame) -> list[Term]:
         if not whole:
             chosen[word] = precision
         weight = math.log((row.toxic + 0.5) / (row.clean + 0.5) * (1 - share) / share)
-        if short and not whole and not any(r.term == word + " " for r in found):
+        if short and not whole and word + " " not in names:
             terms.append(Term(word, True, weight, weight))
         learned = short if whole else len(word) >= EDIT_WORD
         terms.append(Term(word, whole, weight, weight if learned else None))

@@ -261,23 +261,49 @@ def test_top_k_equals_brute_force(spark):
     draw = np.random.default_rng(5)
     known = {i: np.round(draw.normal(size=6), 1).tolist() for i in range(300)}
     bad = [(900, None), (901, [1.0, None, 0.0, 0.0, 0.0, 0.0]), (902, [float("nan")] * 6), (903, [float("inf")] * 6), (None, [1.0] * 6)]
-    rows = list(known.items()) + [(5, known[5])] + bad + [(1000, [1.0, 2.0])]
+    again = [(5, known[5]), (7, known[7]), (7, known[7])]
+    rows = list(known.items()) + again + bad + [(1000, [1.0, 2.0])]
     vectors = topk.scaled(spark.createDataFrame(rows, "vec_id long, embedding array<float>"))
     found = topk.top_k(vectors, vectors.where("vec_id % 20 = 0"), k=7, shard=50, block=4).collect()
-    whole = {i: np.floor(64 * np.array(v, np.float32).astype(float)).astype(int) for i, v in known.items()}
+    whole = [(i, np.floor(64 * np.array(v, np.float32).astype(float)).astype(int)) for i, v in [*known.items(), *again]]
     expected = []
     for q in range(0, 300, 20):
-        best = sorted((-int(whole[q] @ whole[c]), c) for c in whole if c != q)[:7]
+        asking = next(v for i, v in whole if i == q)
+        best = sorted((-int(asking @ v), c) for c, v in whole if c != q)[:7]
         expected += [(q, n, c, -s) for n, (s, c) in enumerate(best, 1)]
-    assert sorted(r[:4] for r in map(tuple, found)) == expected
+    assert sorted(r[:4] for r in map(tuple, found)) == sorted(expected)
     assert topk.top_k(vectors.limit(0), vectors.limit(0)).collect() == []
 
 
-def test_threshold_stops_early():
-    vectors = np.zeros((1000, 2))
-    vectors[:, 0] = np.arange(1000)
-    best, scored = topk.threshold_search(np.array([[1.0, 0.0]]), vectors, np.arange(1000), np.array([-1]), 3)
-    assert best[0][0].tolist() == [999, 998, 997] and scored[0] < 1000
+def test_top_k_of_large_components_is_exact(spark):
+    draw = np.random.default_rng(6)
+    rows = [(i, (draw.normal(size=3) * 10.0 ** draw.integers(0, 7)).tolist()) for i in range(80)]
+    rows += [(100, [1e9, 3e9, 1.0]), (101, [1e9, 3e9, 1.5]), (102, [1e9, -1.0, 0.5]), (103, [300000.0, 1.0, 0.0]), (104, [1e307] * 3)]
+    vectors = topk.scaled(spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("v", F.lit(1)))
+    found = topk.top_k(vectors, vectors.where("vec_id % 20 = 0"), k=4, shard=30).collect()
+    whole = {i: [int(np.floor(64 * x)) for x in v] for i, v in rows if i != 104}
+    expected = []
+    for q in (q for q in whole if q % 20 == 0):
+        scores = [(-max(-(2**63), min(2**63 - 1, sum(a * b for a, b in zip(whole[q], whole[c])))), c) for c in whole if c != q]
+        expected += [(q, n, c, -s) for n, (s, c) in enumerate(sorted(scores)[:4], 1)]
+    assert sorted(r[:4] for r in map(tuple, found)) == sorted(expected)
+
+
+def test_threshold_stops_early(monkeypatch):
+    """On skewed vectors few products are taken, and these are all that is counted."""
+    draw = np.random.default_rng(1)
+    rows = np.floor(draw.pareto(1.5, size=(2_000, 8)) * 10)
+    lists, taken = topk.Lists(rows, np.arange(2_000)), []
+    whole = topk.packing.products
+    monkeypatch.setattr(topk.packing, "products", lambda a, b, small=None: taken.append(len(a)) or whole(a, b, small))
+    scored = 0
+    for query in np.floor(draw.pareto(1.5, size=(20, 8)) * 10):
+        best, scores, n = lists.search(query, -1, 3, True)
+        score = rows @ query
+        assert best.tolist() == np.lexsort((np.arange(2_000), -score))[:3].tolist() and scores.tolist() == score[best].tolist()
+        scored += n
+    # beside the rows there is one product for each bound
+    assert scored <= sum(taken) <= scored + 20 * 8 and scored < 20 * 2_000 / 5
 
 
 def test_archives_round_trip(spark, tmp_path):
