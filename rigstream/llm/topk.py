@@ -81,12 +81,13 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, shard: int = SHAR
     Both hold ``vec_id``, ``dims`` and ``v``, as ``scaled`` makes them. ``rows_scored`` counts the products taken in the
     shard that the row comes from.
     """
-    asked = queries.groupBy("vec_id").agg(F.min(F.struct("dims", "v")).alias("_q")).select("vec_id", "_q.*")
+    # queries that come of the same table must not share its columns' identities with it
+    asked = queries.groupBy(F.col("vec_id").alias("asked")).agg(F.min(F.struct("dims", "v")).alias("_q")).select("asked", "_q.*")
     shards, blocks = (max(1, -(-df.count() // size)) for df, size in ((vectors, shard), (asked, block)))
     # a row's own number deals repeated rows over the shards
     number = F.pmod(F.xxhash64("vec_id", F.monotonically_increasing_id()), F.lit(shards)).cast("int")
     held = vectors.withColumn("shard", number).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    put = asked.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int"))
+    put = asked.withColumn("block", F.pmod(F.xxhash64("asked"), F.lit(blocks)).cast("int"))
     put = put.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
     schema = pa.schema([(name, pa.int64()) for name in ("query_id", "vec_id", "score", "rows_scored")])
 
@@ -94,7 +95,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, shard: int = SHAR
         found: list[list[np.ndarray]] = []
         if theirs.num_rows and rows.num_rows:
             dims = key[2].as_py()
-            asking, own = packing.unpacked(theirs.column("v"), dims), theirs.column("vec_id").to_numpy()
+            asking, own = packing.unpacked(theirs.column("v"), dims), theirs.column("asked").to_numpy()
             lists = Lists(packing.unpacked(rows.column("v"), dims), rows.column("vec_id").to_numpy())
             small = packing.are_small(asking, lists.rows)
             for query, query_id in zip(asking, own):
