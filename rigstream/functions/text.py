@@ -11,8 +11,8 @@ MAYBE_NUMBER = (
     r"^[\x00-\x20]*[-+]?((\d+\.?\d*|\.\d+)([eE][-+]?\d+)?[dDfF]?|0[xX][0-9a-fA-F.]+[pP][-+]?\d+[dDfF]?|NaN|Infinity)[\x00-\x20]*$"
 )
 LOAD_TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss"
-# milliseconds of the years 1 to 9999
-FIRST_MILLIS, LAST_MILLIS = -62135596800000, 253402300799999
+# the calendar repeats after 400 years
+CYCLE_YEARS, CYCLE_MILLIS = 400, 146_097 * 86_400_000
 DEPTH_WIDTH = 10
 DEFAULT_MESSAGE_LOG = "Log #messages_time"
 
@@ -58,11 +58,20 @@ def depth_string(depth: Column) -> Column:
 
 
 def event_time(millis: Column) -> Column:
-    """Epoch milliseconds as ISO text in UTC, whatever the session zone; other text is passed through."""
+    """Epoch milliseconds as ISO text in UTC, whatever the session zone; other text is passed through.
+
+    Years have four digits or more; those before the year 1 are counted backwards, as years of their era.
+    The day is looked up in the first 400 years since 1970, so that any number of milliseconds has one.
+    """
     number = millis.try_cast("bigint")
-    moment = F.timestamp_add("SECOND", F.floor(number / 1000), F.expr("timestamp_ntz'1970-01-01 00:00:00'"))
-    iso = F.concat(F.replace(moment.cast("string"), F.lit(" "), F.lit("T")), F.lit("Z"))
-    return F.when(number.between(FIRST_MILLIS, LAST_MILLIS), iso).otherwise(millis)
+    inside = F.pmod(number, F.lit(CYCLE_MILLIS))
+    cycles = F.call_function("div", F.try_subtract(number, inside), F.lit(CYCLE_MILLIS))
+    moment = F.timestamp_add("SECOND", F.floor(inside / 1000), F.expr("timestamp_ntz'1970-01-01 00:00:00'"))
+    text = F.replace(moment.cast("string"), F.lit(" "), F.lit("T"))
+    far = F.year(moment) + CYCLE_YEARS * cycles
+    era_year = F.when(far > 0, far).otherwise(1 - far).cast("string")
+    year = F.when(cycles == 0, F.left(text, F.lit(4))).when(F.length(era_year) < 4, F.lpad(era_year, 4, "0")).otherwise(era_year)
+    return F.coalesce(F.concat(year, F.substring(text, 5, 15), F.lit("Z")), millis)
 
 
 def load_time(as_of: Column | None = None) -> Column:

@@ -363,6 +363,7 @@ slip as inSlipStatus, pressure as standpipePressure from ({RIG}) where pump > 0"
     sql["retention"] = (
         f"select tankId, ts, level as waterTankLevel from ({TANK}) where ts >= 1737331200000 - 365 * 86400000::bigint"
     )
+    sql["retention_stored"] = sql["retention"]
     dirty = f"""select event_id, {MS} as ms, user_id, value as v, event_id % 6 as kind from events"""
     sql["decode_block"] = f"""select event_id, case when kind = 5 then cast(user_id as varchar) end as id,
 case when kind = 5 then ms else 0 end as ts, case when kind = 5 then v else 0 end as blockPosition from ({dirty}) where kind in (4, 5)"""

@@ -15,6 +15,7 @@ from rigstream.operators import (
 from rigstream.plans import jobs
 from rigstream.session import ensure_checkpoint_dir
 from rigstream.sources.offsets import offsets_reached
+from rigstream.sources.readings import ReadingTable
 from rigstream.sources.tables import BATCHES_PER_RUN, KeyedTable, latest_rows
 from rigstream.streaming import batches
 
@@ -459,6 +460,17 @@ def retention(spark, sf_dir):
     return routing.retained(rows, RETENTION_AS_OF_MS)
 
 
+@query
+def retention_stored(spark, sf_dir):
+    """Readings stored by day in two batches, one of them replayed; old days' files are not opened."""
+    rows = fixtures.tank(spark, sf_dir)
+    table = ReadingTable(f"{ensure_checkpoint_dir(spark)}/readings-{uuid.uuid4().hex}", "tankId string, ts bigint, waterTankLevel double", device="tankId")
+    part = F.col("ts") % 2 == 0
+    for number, some in enumerate((rows.where(part), rows.where(~part), rows.where(~part))):
+        table.write_batch(some, min(number, 1))
+    return table.retained(spark, RETENTION_AS_OF_MS)
+
+
 # ------------------------------------------------------------------ decoding
 
 

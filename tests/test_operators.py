@@ -3,6 +3,7 @@
 import json
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -12,6 +13,7 @@ from rigstream.operators import decode, energy, reshape, routing
 from rigstream.plans import jobs
 from rigstream.schemas import LogKeys
 from rigstream.sources.messages import read_json_records, spread
+from rigstream.sources.readings import DAY_MS, ReadingTable
 
 
 def _values(spark, texts):
@@ -73,11 +75,56 @@ def test_text_functions(spark):
     )
     assert [tuple(r) for r in rows.collect()] == [
         ("2018-10-19T05:16:50Z", "1539926210702"), ("soon", "000000soon"), ("1970-01-01T00:00:00Z", "0000000012"),
-        ("1973-11-29T21:33:09Z", "123456789012"), ("99999999999999999", "99999999999999999"), (None, None),
+        ("1973-11-29T21:33:09Z", "123456789012"), ("3170843-11-07T09:46:39Z", "99999999999999999"), (None, None),
         ("1969-12-31T23:59:59Z", "00000-1000"),
     ]
 
 
+def test_event_times_of_any_year(spark):
+    """Against the calendar of numpy, which has no last year; years before the first count backwards."""
+    draw = random.Random(3)
+    numbers = [0, -1, 253402300799999, 253402300800000, -62135596800000, -62135596800001, 2**63 - 1, -(2**62)]
+    numbers += [draw.randrange(-(2**62), 2**62) >> draw.randrange(0, 40) for _ in range(300)]
+    rows = _values(spark, [str(n) for n in numbers]).select("value", text.event_time(F.col("value")).alias("t")).collect()
+    for row in rows:
+        moment = np.datetime64(int(row.value) // 1000, "s")
+        year = int(moment.astype("datetime64[Y]").astype(int)) + 1970
+        rest = np.datetime_as_string(moment).split("-", 2 if year > 0 and not str(moment).startswith("-") else 3)[-2:]
+        assert row.t == f"{year if year > 0 else 1 - year:04d}-{rest[0]}-{rest[1]}Z", row.value
+
+
+def test_json_records_name_what_is_wrong(spark, tmp_path):
+    lines = ['{"id":"a","ts":"1","bitDepth":2.5}', '{"id":"b","ts":"x","bitDepth":"y"}', "no json", '{"id":"c"}']
+    (tmp_path / "a.json").write_text("\n".join(lines))
+    fields = {"id": "string", "ts": "bigint", "bitDepth": "double"}
+    rows = read_json_records(spark, str(tmp_path), fields, error="why").collect()
+    found = sorted((r.id or "", r.ts, r.bitDepth, r.why) for r in rows)
+    assert found[0] == ("", None, None, "not a JSON object") and found[1:] == [
+        ("a", 1, 2.5, None), ("b", None, None, "ts is not a number"), ("c", None, None, None),
+    ]
+    assert read_json_records(spark, str(tmp_path), fields).columns == list(fields)
+
+
+def test_readings_lie_by_day(spark, tmp_path):
+    table = ReadingTable(str(tmp_path / "readings"), "id string, ts bigint, x double", parts=4)
+    rows = [(f"d{n % 50}" if n % 3 else "hot", n * 3_600_000, float(n)) for n in range(-30, 24 * 20)]
+    df = spark.createDataFrame(rows + [(None, 5, 1.0), ("late", None, 2.0)], "id string, ts bigint, x double").repartition(16)
+    for batch, part in enumerate((df.where("x < 100 or x is null"), df.where("x >= 100"), df.where("x >= 100"), df.limit(0))):
+        table.write_batch(part, min(batch, 1) if batch < 3 else 2)
+    files = spark.read.parquet(f"{table.path}/batch_id=1").inputFiles()
+    days = [f.split("_day=")[1].split("/")[0] for f in files]
+    assert max(days.count(d) for d in set(days)) <= 4
+    everything = {tuple(r) for r in table.read(spark).collect()}
+    assert everything == {*rows, (None, 5, 1.0)}
+    now = 15 * DAY_MS + 12_345
+    kept = table.retained(spark, now, days=2)
+    assert {tuple(r) for r in kept.collect()} == {r for r in everything if r[1] >= now - 2 * DAY_MS}
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(_day" in plan and "_day" in plan
+    middle = table.read(spark, 3 * DAY_MS, 5 * DAY_MS - 1)
+    assert {r.ts // DAY_MS for r in middle.collect()} == {3, 4}
+
+
 def test_envelope_filters(spark):
     tags = [("blockPosition", "1", 5, None), ("x", "2", 6, None)]
     rows = spark.createDataFrame(
