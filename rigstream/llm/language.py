@@ -7,9 +7,11 @@ empty context a byte costs 8 bits. The language with the shortest code for the w
 With frozen statistics the cost depends on the last ``ORDER`` bytes alone, so the trees become one
 table of costs, in 1/256 bit, and a text's code length is a sum of whole numbers.
 
-Learning takes whole documents in the order of a hash, per language until ``SAMPLE_BYTES`` are
-reached (a documented bound; the document that reaches it is taken), and at most ``LANGUAGES``
-languages, the most frequent ones. Counting and scoring cover everything.
+Learning takes documents in the order of a hash, per language until ``SAMPLE_BYTES`` are reached, and not
+more than ``TOTAL_BYTES`` of all languages, which share them evenly; the document that reaches the bound is taken up to
+it. Every language is learned, however many there are. The table of costs takes ``TABLE_BYTES``; with many
+languages the rarest contexts give way to those one byte shorter. These are documented bounds of
+the model; scoring covers everything.
 
 A text that is null or has no letter is ``und`` with score 0, and so is every text when no language
 was learned. Equal code lengths: the language first in alphabet wins. Empty tables stay empty,
@@ -25,11 +27,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField
 
-from rigstream.llm.common import map_rows, once
+from rigstream.llm.common import map_rows, measured, once
+from rigstream.session import materialised
 
 ORDER = 3
 SAMPLE_BYTES = 1_000_000
-LANGUAGES = 200
+TOTAL_BYTES = 64_000_000
 #: Contexts seen less often are left to shorter ones.
 LEAST = 3
 #: Bytes of the table of costs; rarer contexts give way beyond it.
@@ -41,20 +44,25 @@ SLACK = 64
 
 
 def sample(docs: DataFrame, lang: str = "lang", text: str = "text", budget: int = SAMPLE_BYTES) -> dict[str, list[bytes]]:
-    """Whole texts of each language, to the driver: at most LANGUAGES times ``budget`` bytes and a document."""
+    """Texts of each language, to the driver: at most ``budget`` bytes each, and TOTAL_BYTES together."""
     size = F.octet_length(text)
     known = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull())
-    totals = known.groupBy(lang).agg(F.sum(size).alias("bytes")).orderBy(F.desc("bytes"), lang).limit(LANGUAGES).collect()
-    if not totals:
+    draw = F.pmod(F.xxhash64(F.col(text), F.col(lang)), F.lit(1 << 30))
+    totals = known.where(size > 0).groupBy(lang).agg(F.sum(size).alias("_bytes"), F.min(draw).alias("_first"))
+    totals = materialised(totals)
+    count = totals.count()
+    if not count:
         return {}
-    draw = F.xxhash64(F.col(text), F.col(lang))
-    # twice the share that the budget needs, so that the ordered part below is small for any input
-    share = F.create_map(*[F.lit(x) for row in totals for x in (row[lang], min(1.0, 2 * budget / max(1, row.bytes) + 1e-9))])
-    thin = known.where((F.pmod(draw, F.lit(1 << 30)) / F.lit(float(1 << 30))) <= F.coalesce(share[F.col(lang)], F.lit(-1.0)))
+    budget = max(1, min(budget, TOTAL_BYTES // count))
+    # twice the share that the budget needs, so that the ordered part below is small for any input; one text at least
+    most = F.greatest(F.least(F.lit(1.0), 2 * budget / F.col("_bytes") + 1e-9) * (1 << 30), F.col("_first"))
+    chances = measured(totals.select(lang, most.alias("_most")))
+    thin = known.select(lang, text).where(size > 0).join(chances, lang).where(draw <= F.col("_most"))
     before = Window.partitionBy(lang).orderBy(draw, text).rowsBetween(Window.unboundedPreceding, -1)
     rows = thin.withColumn("_before", F.coalesce(F.sum(size).over(before), F.lit(0))).where(F.col("_before") < budget)
     texts: dict[str, list[bytes]] = {}
-    for row in rows.select(lang, F.col(text).cast("binary").alias("data")).collect():
+    part = F.substring(F.col(text).cast("binary"), F.lit(1), (F.lit(budget) - F.col("_before")).cast("int"))
+    for row in rows.select(lang, part.alias("data")).collect():
         texts.setdefault(row[lang], []).append(bytes(row.data))
     return texts
 

@@ -205,3 +205,21 @@ def test_misspelled_stems_and_short_words_are_met(spark):
     found = {r.w: r for r in toxicity.score(asked, model).collect()}
     assert all(found[w].predicted == 1 and found[w].plain == 0 < found[w].misspelled for w in met), found
     assert found["pilt"].predicted == 0 == found["pilt"].misspelled
+
+
+def test_every_language_is_learned(spark):
+    """More languages than any list of the usual ones, each with words of its own."""
+    draw = random.Random(21)
+    names = [f"l{n:03d}" for n in range(250)]
+    letters = {name: draw.sample("abcdefghijklmnopqrstuvwxyz", 8) for name in names}
+
+    def text(name):
+        return " ".join("".join(draw.choices(letters[name], k=draw.randrange(2, 7))) for _ in range(80))
+
+    rows = [(name, text(name)) for name in names for _ in range(3)] + [("l000", "a" * 3_000_000), (None, "b c"), ("empty", ""), ("none", None)]
+    docs = spark.createDataFrame(rows, "lang string, text string").withColumn("_bytes", F.lit(1)).withColumn("_most", F.lit("x"))
+    taken = language.sample(docs)
+    assert sorted(taken) == names and max(sum(map(len, found)) for found in taken.values()) <= language.SAMPLE_BYTES
+    asked = spark.createDataFrame([(name, text(name)) for name in names], "want string, text string")
+    found = language.identify(asked, language.fit(docs)).collect()
+    assert sum(r.want == r.lang_pred for r in found) >= 0.95 * len(names)
