@@ -31,6 +31,9 @@ def join_per_key(
     """
     per_key = materialised(per_key)
     width = sum((F.length(F.col(c).cast("string")) for c in keys), F.lit(64 + 16 * len(per_key.columns)))
+    for name, kind in per_key.dtypes:
+        if kind.startswith(("array", "struct", "map")):
+            width = width + F.length(F.to_json(F.struct(name)))
     size, total = per_key.agg(F.sum(width), F.sum(row_count)).first()
     if (size or 0) <= broadcast_bytes:
         return rows.join(F.broadcast(per_key.drop(row_count)), keys)

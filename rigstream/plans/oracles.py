@@ -363,6 +363,9 @@ slip as inSlipStatus, pressure as standpipePressure from ({RIG}) where pump > 0"
     sql["retention"] = (
         f"select tankId, ts, level as waterTankLevel from ({TANK}) where ts >= 1737331200000 - 365 * 86400000::bigint"
     )
+    sql["offsets_unread"] = """with m as (select event_type as topic, cast(user_id % 4 as integer) as partition, event_id as at_offset from events),
+r as (select topic, partition, max(at_offset) + 1 as reached from m where at_offset % 1000 < 500 and topic <> 'error' group by all)
+select topic, partition, m.at_offset as "offset" from m left join r using (topic, partition) where m.at_offset >= coalesce(reached, m.at_offset)"""
     sql["retention_stored"] = sql["retention"]
     dirty = f"""select event_id, {MS} as ms, user_id, value as v, event_id % 6 as kind from events"""
     sql["decode_block"] = f"""select event_id, case when kind = 5 then cast(user_id as varchar) end as id,

@@ -14,7 +14,7 @@ from rigstream.operators import (
 )
 from rigstream.plans import jobs
 from rigstream.session import ensure_checkpoint_dir
-from rigstream.sources.offsets import offsets_reached
+from rigstream.sources.offsets import offsets_reached, unread
 from rigstream.sources.readings import ReadingTable
 from rigstream.sources.tables import BATCHES_PER_RUN, KeyedTable, latest_rows
 from rigstream.streaming import batches
@@ -331,6 +331,14 @@ def offset_ledger(spark, sf_dir):
     return offsets_reached(fixtures.messages(spark, sf_dir), "TIMELOG")
 
 
+@query
+def offsets_unread(spark, sf_dir):
+    """What a group whose reading stopped in the middle of every partition has still to read."""
+    messages = fixtures.messages(spark, sf_dir)
+    ledger = offsets_reached(messages.where(F.col("offset") % 1000 < 500).where(F.col("topic") != "error"), "TIMELOG")
+    return unread(messages, ledger, "TIMELOG").select("topic", "partition", "offset")
+
+
 # ------------------------------------------------------------------ messages
 
 

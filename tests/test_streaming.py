@@ -12,7 +12,7 @@ from rigstream.operators import anchors, decode, reshape
 from rigstream.plans import jobs
 from rigstream.schemas import PRIMARY_KEYS, RIG, TANK
 from rigstream.sources.messages import from_kafka, read_messages, read_text
-from rigstream.sources.offsets import offsets_reached, starting_offsets
+from rigstream.sources.offsets import offsets_reached, starting_offsets, unread
 from rigstream.sources.tables import KeyedTable, batch_base
 from rigstream.streaming import batches, counts
 from rigstream.streaming.late import device_windows, split_late
@@ -405,6 +405,28 @@ def test_a_lost_checkpoint_loses_no_row(spark, tmp_path, monkeypatch, compact):
     assert found == {"0000000001": 6.0, "0000000002": 7.0, "0000000003": 9.0}
 
 
+def test_recorded_messages_are_resumed_from_the_ledger(spark, tmp_path):
+    """Stopped after some files, its checkpoint lost: the next query reads what no earlier one has, of all partitions."""
+    ledger = KeyedTable.named("offsetmgr", str(tmp_path / "tables"), order=("offsetid",))
+    folder, read = str(tmp_path / "in"), []
+    records = [_log(str(n), ROP=str(n)) for n in range(40)]
+    _store(spark, str(tmp_path / "all"), records, files=4)
+    os.makedirs(folder)
+
+    def run(number):
+        messages = unread(read_messages(spark, folder, streaming=True, maxFilesPerTrigger="1"), ledger.read(spark), "G")
+        emit = batches.in_order(lambda rows, n: read.extend((r.partition, r.offset) for r in rows.collect()), batches.record_offsets(ledger, "G"))
+        jobs.start(messages, str(tmp_path / f"checkpoint{number}"), emit=batches.skip_empty(emit)).awaitTermination()
+
+    for number, files in enumerate(([0], [1, 2], [3])):
+        for file in files:
+            os.link(f"{tmp_path}/all/part-{file}.parquet", f"{folder}/part-{file}.parquet")
+        run(number)
+        assert sorted(read) == sorted((at % 2, at) for at in range(10 * (max(files) + 1)))
+    assert json.loads(starting_offsets(ledger.read(spark), "t", "G")) == {"t": {"0": 39, "1": 40}}
+    assert unread(read_messages(spark, folder), ledger.read(spark), "other").count() == 40
+
+
 def test_tables_and_ledger_before_the_first_row(spark, tmp_path):
     ledger = KeyedTable.named("offsetmgr", str(tmp_path), order=("offsetid",))
     assert ledger.read(spark).columns == ["topic_name", "group_id", "partition", "offsetid"]
