@@ -45,7 +45,10 @@ def measured(df: DataFrame) -> DataFrame:
     """
     df = materialised(df)
     widths = {"long": 8, "bigint": 8, "int": 4, "boolean": 1, "binary": 40, "string": 40}
-    size = df.count() * (32 + sum(widths.get(kind, 64) for _, kind in df.dtypes))
+    nested = [name for name, kind in df.dtypes if kind.startswith(("array", "struct", "map"))]
+    inside = sum((F.length(F.to_json(F.struct(F.col(f"`{name}`")))) for name in nested), F.lit(0))
+    count, more = df.agg(F.count(F.lit(1)), F.sum(inside)).first()
+    size = count * (32 + sum(widths.get(kind, 64) for _, kind in df.dtypes)) + (more or 0)
     return F.broadcast(df) if size <= BROADCAST_BYTES else df
 
 
