@@ -192,6 +192,25 @@ SELECT anchor_id, p.vec_id AS positive_id, n.vec_id AS negative_id, p.score AS p
 FROM positives p JOIN scored n USING (anchor_id)
 WHERE NOT n.same AND 30 * p.score <= 100 * n.score AND 100 * n.score <= 90 * p.score
 QUALIFY rank <= 10""",
+    "op6_jaccard_join": r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(len(w) - 3), lambda i: array_to_string(w[i + 1 : i + 4], ' '))) END AS s FROM d
+), shingles AS (
+  SELECT doc_id, len(s) AS n, hash(unnest(s)) AS g FROM sets
+), links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM shingles a JOIN shingles b ON a.g = b.g AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))
+), reach AS (
+  SELECT DISTINCT a AS node, a AS label FROM links
+  UNION
+  SELECT l.b, r.label FROM reach r JOIN links l ON l.a = r.node WHERE r.label < l.b
+)
+SELECT doc_id, len(s) AS n_shingles, coalesce(label, doc_id) AS component_id
+FROM sets LEFT JOIN (SELECT node AS doc_id, min(label) AS label FROM reach GROUP BY node) USING (doc_id)""",
     "op9_top_k": """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS v FROM embeddings
