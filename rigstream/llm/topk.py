@@ -1,8 +1,8 @@
 """Exact top-k search by inner product with Fagin's threshold algorithm.
 
 Candidates are split into shards. A shard keeps one sorted list per dimension. A query reads the
-lists from the end that its component favours, ever deeper; every row newly met is scored, once, and
-the sum of the products at the present depth bounds all rows not met yet. A query stops when that
+lists from the end that its component favours, ever deeper, a group of queries together; every row newly met is
+scored once, for the queries that still search, and the sum of the products at the present depth bounds all rows not met yet. A query stops when that
 bound is below its k-th best score (strictly, as ties go to the smaller id). Depths double.
 
 Queries are dealt in blocks and meet every shard in a co-group of bounded size; the best k of each
@@ -25,7 +25,8 @@ from rigstream.llm import vectors as packing
 
 SHARD = 4_096
 QUERIES = 4_096
-FIRST_DEPTH = 16
+#: Queries that read the lists together, and the depth they read to at first.
+GROUP, FIRST_DEPTH = 64, 16
 
 
 def scaled(vectors: DataFrame, scale: int = 64, vec_id: str = "vec_id", vector: str = "embedding") -> DataFrame:
@@ -43,20 +44,26 @@ class Lists:
         self.rising = np.take_along_axis(rows, order, 0)
         self.order = np.ascontiguousarray(order.T.astype(np.int32))
 
-    def _bound(self, query: np.ndarray, up: np.ndarray, down: np.ndarray, depth: int, small: bool) -> int:
-        """What no row beyond ``depth`` in all lists exceeds."""
-        at = np.zeros(len(query))
-        at[up], at[down] = self.rising[len(self.rows) - depth, up], self.rising[depth - 1, down]
-        return int(packing.products(query[None, :], at[None, :], small)[0, 0])
+    def _bounds(self, queries: np.ndarray, depth: int, small: bool) -> np.ndarray:
+        """What no row beyond ``depth`` in all lists exceeds, for each query."""
+        high, low = self.rising[len(self.rows) - depth], self.rising[depth - 1]
+        if small:
+            return (np.maximum(queries, 0) @ high + np.minimum(queries, 0) @ low).astype(np.int64)
+        ends = np.where(queries > 0, high, np.where(queries < 0, low, 0.0))
+        return np.array([packing.products(q[None, :], e[None, :], False)[0, 0] for q, e in zip(queries, ends)])
 
-    def search(self, query: np.ndarray, own: int, k: int, small: bool) -> tuple[np.ndarray, np.ndarray, int]:
-        """The rows of the ``k`` best, their scores, and how many rows were scored."""
+    def search(self, queries: np.ndarray, own: np.ndarray, k: int, small: bool) -> tuple[list[tuple[np.ndarray, np.ndarray]], int]:
+        """For each of some queries the rows of the ``k`` best and their scores; and how many products were taken.
+
+        The queries read the lists together: a row that any of them newly meets is scored, once, for all that still search.
+        """
         n = len(self.rows)
-        up, down = np.flatnonzero(query > 0), np.flatnonzero(query < 0)
-        left = self.ids != own
-        best, scores = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        taken, before, depth = 0, 0, min(FIRST_DEPTH, n)
-        while True:
+        best = [(np.zeros(0, np.int64), np.zeros(0, np.int64))] * len(queries)
+        left = np.ones(n, bool)
+        searching, taken, before, depth = np.arange(len(queries)), 0, 0, min(FIRST_DEPTH, n)
+        while len(searching):
+            q = queries[searching]
+            up, down = np.flatnonzero((q > 0).any(axis=0)), np.flatnonzero((q < 0).any(axis=0))
             met = np.zeros(n, bool)
             met[self.order[up, n - depth : n - before]] = True
             met[self.order[down, before:depth]] = True
@@ -64,22 +71,36 @@ class Lists:
                 met[:] = True
             new = np.flatnonzero(met & left)
             left[new] = False
-            taken += len(new)
-            best = np.append(best, new)
-            scores = np.append(scores, packing.products(self.rows[new], query[None, :], small)[:, 0])
-            # the lowest 64-bit number has no opposite
-            kept = np.lexsort((self.ids[best], -np.maximum(scores, packing.LEAST + 1)))[:k]
-            best, scores = best[kept], scores[kept]
-            if depth == n or (len(best) == k and scores[-1] > self._bound(query, up, down, depth, small)):
-                return best, scores, taken
+            taken += len(q) * len(new)
+            scores = packing.products(q, self.rows[new], small)
+            ids = self.ids[new]
+            bounds = self._bounds(q, depth, small)
+            goes_on = np.ones(len(searching), bool)
+            for at, number in enumerate(searching):
+                best[number] = self._merged(best[number], new, np.where(ids == own[number], packing.LEAST, scores[at]), own[number], k)
+                found = best[number][1]
+                goes_on[at] = depth < n and not (len(found) == k and found[-1] > bounds[at])
+            searching = searching[goes_on]
             before, depth = depth, min(n, 2 * depth)
+        return best, taken
+
+    def _merged(self, best: tuple[np.ndarray, np.ndarray], new: np.ndarray, scores: np.ndarray, own: int, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """The ``k`` best of those so far and the new rows; ties go to the smaller id."""
+        rows, held = best
+        cut = held[-1] if len(held) == k else np.partition(scores, len(scores) - k)[len(scores) - k] if len(scores) > k else packing.LEAST
+        may = np.flatnonzero(scores >= cut)
+        may = may[self.ids[new[may]] != own]
+        rows, held = np.append(rows, new[may]), np.append(held, scores[may])
+        # the lowest 64-bit number has no opposite
+        kept = np.lexsort((self.ids[rows], -np.maximum(held, packing.LEAST + 1)))[:k]
+        return rows[kept], held[kept]
 
 
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, shard: int = SHARD, block: int = QUERIES) -> DataFrame:
     """``query_id``, ``rank``, ``vec_id``, ``score``, ``rows_scored``: the k best of ``vectors`` for each of ``queries``.
 
-    Both hold ``vec_id``, ``dims`` and ``v``, as ``scaled`` makes them. ``rows_scored`` counts the products taken in the
-    shard that the row comes from.
+    Both hold ``vec_id``, ``dims`` and ``v``, as ``scaled`` makes them. ``rows_scored`` counts the products that the
+    query's group took in the shard that the row comes from.
     """
     # queries that come of the same table must not share its columns' identities with it
     asked = queries.groupBy(F.col("vec_id").alias("asked")).agg(F.min(F.struct("dims", "v")).alias("_q")).select("asked", "_q.*")
@@ -98,9 +119,11 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, shard: int = SHAR
             asking, own = packing.unpacked(theirs.column("v"), dims), theirs.column("asked").to_numpy()
             lists = Lists(packing.unpacked(rows.column("v"), dims), rows.column("vec_id").to_numpy())
             small = packing.are_small(asking, lists.rows)
-            for query, query_id in zip(asking, own):
-                best, scores, taken = lists.search(query, query_id, k, small)
-                found.append([np.full(len(best), query_id), lists.ids[best], scores, np.full(len(best), taken)])
+            for begin in range(0, len(own), GROUP):
+                part = slice(begin, begin + GROUP)
+                searched, taken = lists.search(asking[part], own[part], k, small)
+                for query_id, (best, scores) in zip(own[part], searched):
+                    found.append([np.full(len(best), query_id), lists.ids[best], scores, np.full(len(best), taken)])
         columns = [np.concatenate([f[i] for f in found]) if found else np.zeros(0, np.int64) for i in range(4)]
         return pa.table(columns, schema=schema)
 
